@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 _CHUNK_VALUES = 2**32
 
 
-def md5_chunk(text: Column, index: int) -> Column:
-    """Hex digits 8*index .. 8*index+7 of the md5 of ``text``, as a long."""
-    digits = F.substring(F.md5(text), 1 + 8 * index, 8)
-    return F.conv(digits, 16, 10).cast("long")
+def hex_chunk(digest: Column, index: int) -> Column:
+    """Hex digits 8*index .. 8*index+7 of a digest, as a long."""
+    return F.conv(F.substring(digest, 1 + 8 * index, 8), 16, 10).cast("long")
 
 
 def md5_mod(text: Column, modulus: int) -> Column:
@@ -23,9 +22,10 @@ def md5_mod(text: Column, modulus: int) -> Column:
     if not 0 < modulus < 2**31:
         raise ValueError("modulus must lie in 1 .. 2**31-1")
     carry = _CHUNK_VALUES % modulus
-    residue = md5_chunk(text, 0) % modulus
+    digest = F.md5(text)
+    residue = hex_chunk(digest, 0) % modulus
     for index in (1, 2, 3):
-        residue = (residue * carry + md5_chunk(text, index)) % modulus
+        residue = (residue * carry + hex_chunk(digest, index)) % modulus
     return residue
 
 

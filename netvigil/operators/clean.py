@@ -70,6 +70,27 @@ def clean_flows(raw: DataFrame) -> DataFrame:
     return with_time_parts(unique).select(*FLOW_SCHEMA.names)
 
 
+def funnel_columns(counted: DataFrame) -> DataFrame:
+    raw_n, valid_n, clean_n = (F.col(c) for c in ("raw_records", "valid_records", "clean_records"))
+    return counted.select(
+        raw_n, valid_n, clean_n,
+        (raw_n - valid_n).alias("invalid_dropped"),
+        (valid_n - clean_n).alias("duplicates_dropped"),
+        (raw_n - clean_n).alias("total_dropped"),
+    )
+
+
+def written_funnel(raw: DataFrame, flows: DataFrame) -> DataFrame:
+    """The funnel of logs whose clean table is already written: no second de-duplication."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    before = typed_flows(raw).select(
+        one.alias("raw_records"), is_valid().cast("long").alias("valid_records"), zero.alias("clean_records")
+    )
+    after = flows.select(zero.alias("raw_records"), zero.alias("valid_records"), one.alias("clean_records"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in before.columns]
+    return funnel_columns(before.unionByName(after).agg(*sums))
+
+
 def clean_funnel(raw: DataFrame) -> DataFrame:
     """How many records each cleaning step keeps and drops, in one pass over the logs."""
     valid = is_valid()
@@ -82,10 +103,4 @@ def clean_funnel(raw: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("valid"), F.col("n"))), F.lit(0)).alias("valid_records"),
         F.count_if("valid").alias("clean_records"),
     )
-    raw_n, valid_n, clean_n = (F.col(c) for c in ("raw_records", "valid_records", "clean_records"))
-    return counted.select(
-        raw_n, valid_n, clean_n,
-        (raw_n - valid_n).alias("invalid_dropped"),
-        (valid_n - clean_n).alias("duplicates_dropped"),
-        (raw_n - clean_n).alias("total_dropped"),
-    )
+    return funnel_columns(counted)

@@ -90,16 +90,29 @@ def ip_attack_crosstab(
 ) -> DataFrame:
     """Attack counts per class for the ``top_ips`` busiest attackers, zeros filled.
 
-    Without ``classes`` the columns are the classes these attackers actually
-    used, which takes one small extra query; with ``classes`` they are fixed.
+    The counts are conditional sums, so one pass yields totals and columns.
+    Without ``classes`` the columns are the classes these attackers used, which
+    takes one query beforehand.
     """
+    if classes is None:
+        classes = classes_of_busiest(table, top_ips)
+    m = Measures(table)
+    counted = attack_flows(table).groupBy("source_ip").agg(
+        m.flows().alias("total"),
+        *[m.flows_where(F.col("attack_type") == name).alias(name) for name in classes],
+    )
+    busiest = counted.orderBy(F.desc("total"), "source_ip").limit(top_ips)
+    return busiest.select("source_ip", *[F.col(f"`{name}`") for name in classes]).orderBy("source_ip")
+
+
+def classes_of_busiest(table: DataFrame, top_ips: int) -> list[str]:
+    """Sorted class names used by the busiest attackers: ``top_ips`` small sets, read to the driver."""
     m = Measures(table)
     per_class = attack_flows(table).groupBy("source_ip", "attack_type").agg(m.flows().alias("n"))
-    busiest = per_class.groupBy("source_ip").agg(F.sum("n").alias("total")).orderBy(
-        F.desc("total"), "source_ip"
-    ).limit(top_ips).select("source_ip")
-    selected = per_class.join(broadcast_if_small(busiest, top_ips), "source_ip", "left_semi")
-    return selected.groupBy("source_ip").pivot("attack_type", classes).agg(F.sum("n")).fillna(0).orderBy("source_ip")
+    busiest = per_class.groupBy("source_ip").agg(
+        F.sum("n").alias("total"), F.collect_set("attack_type").alias("classes")
+    ).orderBy(F.desc("total"), "source_ip").limit(top_ips)
+    return sorted({name for row in busiest.select("classes").collect() for name in row["classes"]})
 
 
 def known_class_crosstab(table: DataFrame, top_ips: int = 20) -> DataFrame:
@@ -113,9 +126,9 @@ def exclude_listed(table: DataFrame, blacklist: DataFrame) -> DataFrame:
     optimizer broadcasts it when its measured size allows, and otherwise joins
     by shuffle, splitting a dominant source across tasks.
     """
-    return table.join(blacklist.select("source_ip").distinct(), "source_ip", "left_anti")
+    return table.join(blacklist.select("source_ip"), "source_ip", "left_anti")
 
 
 def only_listed(table: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Flows whose source is on the blacklist."""
-    return table.join(blacklist.select("source_ip").distinct(), "source_ip", "left_semi")
+    return table.join(blacklist.select("source_ip"), "source_ip", "left_semi")

@@ -280,7 +280,10 @@ def _table_counts() -> str:
     each = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS records, "
         f"CAST((SELECT count(*) FROM (DESCRIBE {t})) AS INT) AS fields" for t in _TABLES)
-    return each
+    derived = " UNION ALL ".join(
+        f"SELECT '{label}' AS table_name, count(*) AS records, CAST({fields} AS INT) AS fields FROM {source}"
+        for label, source, fields in (("raw_flows", "raw", 10), ("flows", "flows", 12)))
+    return statement(f"{derived} UNION ALL {each}")
 
 
 def _quality() -> str:
@@ -401,6 +404,9 @@ FROM (SELECT source_ip, attack_type, count(*) AS flows FROM flows GROUP BY 1, 2)
 JOIN technique ON attack_key = CASE WHEN attack_type IN (SELECT attack_key FROM technique) THEN attack_type ELSE 'DDoS' END""", "technique"),
         "geo_enriched": s("SELECT * FROM geo", "geo"),
         "geo_filtered": s("SELECT * FROM geo WHERE attack_type = 'DDoS' AND risk_level = 'Critical'", "geo"),
+        "geo_overview_table": s("""SELECT source_ip AS "Source IP", country AS "Country", city AS "Origin City", asn AS "Autonomous System (ASN)",
+  attack_type AS "Vector", risk_score AS "Risk Score", risk_level AS "Risk Tier", flows_detected AS "Flow Volume",
+  target_subnet AS "Target Destination" FROM geo""", "geo"),
         "country_top": s("SELECT country, CAST(sum(flows_detected) AS BIGINT) AS flows_detected FROM geo GROUP BY country ORDER BY 2 DESC, 1 LIMIT 8", "geo"),
         "asn_top": s("SELECT asn, CAST(sum(flows_detected) AS BIGINT) AS flows_detected FROM geo GROUP BY asn ORDER BY 2 DESC, 1 LIMIT 8", "geo"),
         "mitigation_rules": s(_RULE_TEXT),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from netvigil.ml import evaluation, features, inference, training
 from netvigil.operators import distributions, hosts, risk, rollup, timeline
-from netvigil.operators.clean import clean_flows, clean_funnel
+from netvigil.operators.clean import clean_flows, written_funnel
 from netvigil.session import materialize
 from netvigil.sinks import tables
 from netvigil.sources.documents import table_or_none
@@ -59,7 +59,7 @@ def run_etl(spark: SparkSession, raw_path: str, out: str) -> DataFrame:
     raw = read_raw_flows(spark, raw_path)
     flows = tables.write_table(clean_flows(raw), f"{out}/{CLEAN}")
     run_features(spark, flows, out)
-    return clean_funnel(raw)
+    return written_funnel(raw, flows)
 
 
 def run_features(spark: SparkSession, flows: DataFrame, out: str) -> PipelineModel:

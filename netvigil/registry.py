@@ -36,6 +36,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean flows as a written table, for queries that read them in several branches."""
+    return materialize(flows(spark, sf_dir), "clean")
+
+
+def written_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(rollup.pair_rollup(flows(spark, sf_dir)), "pairs")
+
+
 def raw_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_flows_from_events(table(spark, sf_dir, "events"))
 
@@ -101,7 +110,9 @@ def serving_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flow_source.table_counts({name: table(spark, sf_dir, name) for name in DRIVER_TABLES})
+    derived = {"raw_flows": raw_flows(spark, sf_dir), "flows": flows(spark, sf_dir)}
+    given = {name: table(spark, sf_dir, name) for name in DRIVER_TABLES}
+    return flow_source.table_counts(derived | given)
 
 
 # --- sinks -------------------------------------------------------------------
@@ -168,7 +179,7 @@ def critical_sources(flow_table: DataFrame) -> DataFrame:
 
 
 def blacklist_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean_table = flows(spark, sf_dir)
+    clean_table = written_flows(spark, sf_dir)
     return hosts.exclude_listed(clean_table, critical_sources(clean_table))
 
 
@@ -178,13 +189,13 @@ def mitre_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attackers_with_modal_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = rollup.pair_rollup(flows(spark, sf_dir))
+    pairs = written_pairs(spark, sf_dir)
     scored = risk.ip_risk_scores(pairs, ordered=False).select("source_ip", "attack_count")
     return hosts.with_modal_type(scored, hosts.modal_attack_type(pairs))
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean_table = flows(spark, sf_dir)
+    clean_table = written_flows(spark, sf_dir)
     return quality.quality_report(
         clean_table, risk.ip_risk_scores(clean_table, ordered=False), timeline.hourly_timeline(clean_table)
     )
@@ -194,8 +205,12 @@ def on_links(op: Callable[[DataFrame], DataFrame]) -> Query:
     return on_flows(lambda f: op(graph.host_links(f)))
 
 
+def on_written_links(op: Callable[[DataFrame], DataFrame]) -> Query:
+    return on_links(lambda links: op(materialize(links, "links")))
+
+
 def graph_edges_labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = rollup.pair_rollup(flows(spark, sf_dir))
+    pairs = written_pairs(spark, sf_dir)
     return graph.label_edges(graph.graph_edges(pairs), graph.graph_degree(graph.host_links(pairs)))
 
 
@@ -225,7 +240,7 @@ _models: dict[tuple[str, str], ModelSet] = {}
 def models(spark: SparkSession, sf_dir: str) -> ModelSet:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        clean_table = materialize(flows(spark, sf_dir), "clean")
+        clean_table = written_flows(spark, sf_dir)
         fitted = features.fit_features(clean_table)
         table_ = materialize(features.feature_table(fitted, clean_table), "features")
         kinds = (training.DECISION_TREE, training.RANDOM_FOREST)
@@ -240,7 +255,7 @@ def models(spark: SparkSession, sf_dir: str) -> ModelSet:
 
 
 def indexed_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean_table = materialize(flows(spark, sf_dir), "clean")
+    clean_table = written_flows(spark, sf_dir)
     return features.fit_features(clean_table).transform(clean_table).select(
         "timestamp", "source_ip", "destination_ip", "protocol", "severity", "attack_type",
         "protocol_index", "severity_index", "label",
@@ -249,7 +264,7 @@ def indexed_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_entries(vector: str, digits: int | None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        clean_table = materialize(flows(spark, sf_dir), "clean")
+        clean_table = written_flows(spark, sf_dir)
         table_ = features.feature_table(features.fit_features(clean_table), clean_table)
         entries = features.vector_columns(table_, vector)
         if digits is not None:
@@ -406,6 +421,7 @@ def queries() -> dict[str, Query]:
         "mitre_enriched": mitre_enriched,
         "geo_enriched": on_geo(lambda g: g),
         "geo_filtered": on_geo(lambda g: enrich.geo_filtered(g, "DDoS", "Critical")),
+        "geo_overview_table": on_geo(enrich.geo_overview),
         "country_top": on_geo(lambda g: enrich.volume_by(g, "country")),
         "asn_top": on_geo(lambda g: enrich.volume_by(g, "asn")),
         "mitigation_rules": on_flows(
@@ -419,8 +435,8 @@ def queries() -> dict[str, Query]:
         "graph_pivots": on_links(lambda k: graph.graph_pivots(graph.graph_degree(k))),
         "graph_summary": on_links(lambda k: graph.graph_summary(graph.graph_degree(k))),
         "graph_edges_labeled": graph_edges_labeled,
-        "lateral_hops": on_links(lambda k: graph.lateral_hops(k, graph.graph_degree(k))),
-        "lateral_paths": on_links(graph.lateral_paths),
+        "lateral_hops": on_written_links(lambda k: graph.lateral_hops(k, graph.graph_degree(k))),
+        "lateral_paths": on_written_links(graph.lateral_paths),
         # entropy
         "packet_entropy": on_flows(entropy.packet_entropy),
         "entropy_flags": on_flows(lambda f: entropy.entropy_flags(entropy.packet_entropy(f))),

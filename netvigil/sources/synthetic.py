@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netvigil.functions.hashing import md5_chunk
+from netvigil.functions.hashing import hex_chunk
 from netvigil.schema import RAW_COLUMNS
 
 # Class mix in percent, per-class ranges and pools.
@@ -32,22 +32,15 @@ START = "2026-08-26 10:00:00"
 STEP_MS, JITTER_MS = 105, 96
 
 
-class Draws:
-    """Independent 32-bit draws of one row, four per digest."""
+DRAWS = 10
 
-    def __init__(self, row: Column, seed: int):
-        self.row, self.seed = row, seed
 
-    def chunk(self, i: int) -> Column:
-        text = F.concat_ws(":", F.lit(str(self.seed)), self.row.cast("string"), F.lit(str(i // 4)))
-        return md5_chunk(text, i % 4)
-
-    def below(self, i: int, n: int) -> Column:
-        return self.chunk(i) % n
-
-    def between(self, i: int, span: tuple[int, int]) -> Column:
-        low, high = span
-        return self.chunk(i) % (high - low + 1) + low
+def with_draws(rows: DataFrame, seed: int) -> DataFrame:
+    """Add columns u0 .. u9: independent 32-bit draws per row, four from each digest."""
+    digests = range((DRAWS + 3) // 4)
+    text = lambda j: F.concat_ws(":", F.lit(str(seed)), F.col("row").cast("string"), F.lit(str(j)))
+    digested = rows.select("row", *[F.md5(text(j)).alias(f"digest{j}") for j in digests])
+    return digested.select("row", *[hex_chunk(F.col(f"digest{i // 4}"), i % 4).alias(f"u{i}") for i in range(DRAWS)])
 
 
 def ipv4(*parts) -> Column:
@@ -92,44 +85,34 @@ def pick(draw: Column, options: list[str]) -> Column:
 
 def generate_flows(rows: DataFrame, id_column: str = "id", seed: int = 42) -> DataFrame:
     """One raw flow per row number in ``rows`` (numbers start at 0)."""
-    d = Draws(F.col("row"), seed)
-    numbered = rows.select(F.col(id_column).cast("long").alias("row"))
+    u = [F.col(f"u{i}") for i in range(DRAWS)]
+    drawn = with_draws(rows.select(F.col(id_column).cast("long").alias("row")), seed)
 
-    class_draw, cases, upper = d.below(0, 100), F, 0
+    classes, upper = F, 0
     for name, weight in CLASS_MIX:
         upper += weight
-        cases = cases.when(class_draw < upper, name)
-    drawn = numbered.select(
-        "row", cases.alias("attack_type"), d.chunk(2).alias("member"),
-        d.below(1, 100).alias("pool"), d.chunk(5).alias("u5"), d.chunk(6).alias("u6"),
-        d.chunk(7).alias("u7"),
-    )
-    span = lambda u, s: F.col(u) % (s[1] - s[0] + 1) + s[0]
+        classes = classes.when(u[0] % 100 < upper, name)
+    spread = lambda draw, ranges: per_class(
+        {name: draw % (high - low + 1) + low for name, (low, high) in ranges.items()})
     attacker = {
-        name: F.when(F.col("pool") < share, persistent_ip(F.col("member") % PERSISTENT))
-        .otherwise(occasional_ip(F.col("member") % OCCASIONAL))
+        name: F.when(u[1] % 100 < share, persistent_ip(u[2] % PERSISTENT)).otherwise(occasional_ip(u[2] % OCCASIONAL))
         for name, share in PERSISTENT_SHARE.items()
     }
-    source = per_class({"BENIGN": client_ip(F.col("member") % CLIENTS)} | attacker)
-    sized = drawn.select(
-        "row", "attack_type", source.alias("source_ip"),
-        per_class({c: span("u5", s) for c, s in DURATION.items()}).alias("flow_duration"),
-        per_class({c: span("u6", s) for c, s in PACKETS.items()}).alias("packet_count"),
-        per_class({c: span("u7", s) for c, s in LENGTH.items()}).alias("packet_length"),
-    )
-    elapsed = F.floor((F.col("row") * STEP_MS + d.below(9, JITTER_MS)) / 1000)
+    elapsed = F.floor((F.col("row") * STEP_MS + u[9] % JITTER_MS) / 1000)
     clock = F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(secs=elapsed)
-    text = lambda name: F.col(name).cast("string").alias(name)
-    return sized.select(
+    shaped = drawn.withColumn("attack_type", classes).select(
         F.date_format(clock, "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-        "source_ip",
-        server_ip(d.below(3, SERVERS)).alias("destination_ip"),
-        per_class({c: pick(d.chunk(4), o) for c, o in PROTOCOL_CHOICES.items()}).alias("protocol"),
-        text("flow_duration"), text("packet_length"),
-        (F.col("packet_count") * F.col("packet_length")).cast("string").alias("total_bytes"),
-        text("packet_count"), "attack_type",
-        per_class({c: pick(d.chunk(8), o) for c, o in SEVERITY_CHOICES.items()}).alias("severity"),
-    ).select(*RAW_COLUMNS)
+        per_class({"BENIGN": client_ip(u[2] % CLIENTS)} | attacker).alias("source_ip"),
+        server_ip(u[3] % SERVERS).alias("destination_ip"),
+        per_class({c: pick(u[4], o) for c, o in PROTOCOL_CHOICES.items()}).alias("protocol"),
+        spread(u[5], DURATION).alias("flow_duration"),
+        spread(u[6], PACKETS).alias("packet_count"),
+        spread(u[7], LENGTH).alias("packet_length"),
+        "attack_type",
+        per_class({c: pick(u[8], o) for c, o in SEVERITY_CHOICES.items()}).alias("severity"),
+    )
+    sized = shaped.withColumn("total_bytes", F.col("packet_count") * F.col("packet_length"))
+    return sized.select(*[F.col(name).cast("string").alias(name) for name in RAW_COLUMNS])
 
 
 def generate_range(spark: SparkSession, n: int, seed: int = 42, partitions: int | None = None) -> DataFrame:

@@ -24,9 +24,10 @@ from netvigil.schema import RAW_SCHEMA
 DEFAULT_POLICY = "Hard Drop & BGP Null-Route"
 
 
-def stream_raw_flows(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw CSV logs as they arrive in a folder."""
-    return spark.readStream.schema(RAW_SCHEMA).option("header", True).csv(folder)
+def stream_raw_flows(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """Raw CSV logs as they arrive in a folder; a backlog is worked off in bounded batches."""
+    reader = spark.readStream.schema(RAW_SCHEMA).option("header", True)
+    return reader.option("maxFilesPerTrigger", files_per_batch).csv(folder)
 
 
 def clean_stream(raw: DataFrame) -> DataFrame:
