@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from netvigil.schema import TIMESTAMP_FORMAT
+
 # Six-hour surge windows and weekday names (1 is Sunday).
 SURGE_WINDOWS = [(6, "00-05"), (12, "06-11"), (18, "12-17")]
 LAST_SURGE_WINDOW = "18-23"
@@ -25,4 +27,4 @@ def day_name(day_of_week: Column) -> Column:
 
 
 def as_text(timestamp: Column) -> Column:
-    return F.date_format(timestamp, "yyyy-MM-dd HH:mm:ss")
+    return F.date_format(timestamp, TIMESTAMP_FORMAT)

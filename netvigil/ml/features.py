@@ -68,6 +68,11 @@ def test_part(table: DataFrame, percent: int = 80) -> DataFrame:
     return table.where(F.col(BUCKET) >= percent)
 
 
+def held_out_flows(flows: DataFrame, percent: int = 80, seed: int = 42) -> DataFrame:
+    """The flows that land in the test part."""
+    return flows.where(split_bucket(seed) >= percent)
+
+
 def split_counts(flows: DataFrame, percent: int = 80, seed: int = 42) -> DataFrame:
     """Sizes of both parts per class."""
     part = F.when(split_bucket(seed) < percent, "train").otherwise("test")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from netvigil.ml import evaluation, features, inference, training
 from netvigil.operators import distributions, hosts, risk, rollup, timeline
 from netvigil.operators.clean import clean_flows, written_funnel
-from netvigil.session import materialize
+from netvigil.session import at_once, materialize
 from netvigil.sinks import tables
 from netvigil.sources.documents import table_or_none
 from netvigil.sources.flows import read_flows, read_raw_flows
@@ -70,18 +70,19 @@ def run_features(spark: SparkSession, flows: DataFrame, out: str) -> PipelineMod
     return model
 
 
-def _write_reports(source: DataFrame, reports: dict, out: str) -> dict[str, DataFrame]:
-    return {name: tables.write_table(report(source), f"{out}/{name}") for name, report in reports.items()}
+def write_reports(source: DataFrame, reports: dict, out: str) -> dict[str, DataFrame]:
+    write = lambda name: tables.write_table(reports[name](source), f"{out}/{name}")
+    return dict(zip(reports, at_once(source.sparkSession, write, reports)))
 
 
 def run_profile_reports(spark: SparkSession, flows: DataFrame, out: str) -> dict[str, DataFrame]:
     """The seven class, protocol, severity and time reports from one scan of the flows."""
-    return _write_reports(materialize(rollup.profile_rollup(flows), "profile"), STATISTICS | TIMELINES, out)
+    return write_reports(materialize(rollup.profile_rollup(flows), "profile"), STATISTICS | TIMELINES, out)
 
 
 def run_host_reports(pairs: DataFrame, out: str) -> dict[str, DataFrame]:
     """The three host reports from a written pair rollup."""
-    return _write_reports(pairs, HOSTS, out)
+    return write_reports(pairs, HOSTS, out)
 
 
 def run_risk(pairs: DataFrame, out: str) -> DataFrame:
@@ -154,6 +155,16 @@ def run_training(spark: SparkSession, out: str) -> TrainingRun:
     return run
 
 
+def run_evaluation(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """Confusion matrix and class report of the saved model on the held-out flows."""
+    model = training.load_model(f"{out}/threat_model")
+    held_out = features.held_out_flows(read_flows(spark, f"{out}/{CLEAN}"))
+    outcomes = materialize(evaluation.outcome_counts(model.transform(held_out)), "outcomes")
+    names = features.class_labels(model)
+    labels = spark.createDataFrame(list(enumerate(names)), "label int, attack_type string")
+    return evaluation.confusion_matrix(outcomes, names), evaluation.class_report(outcomes, labels)
+
+
 def missing_outputs(spark: SparkSession, out: str, names) -> list[str]:
     return [name for name in names if table_or_none(spark, f"{out}/{name}") is None]
 
@@ -175,12 +186,16 @@ def ensure_outputs(spark: SparkSession, out: str, force: bool = False) -> None:
 def publish(spark: SparkSession, out: str, force: bool = False) -> DataFrame:
     """Refresh all serving tables and mirrors; returns the manifest."""
     ensure_outputs(spark, out, force)
-    published = {}
-    for collection, name in PUBLISHED.items():
-        table = spark.read.parquet(f"{out}/{name}")
-        if tables.refresh_serving(table, f"{out}/serving/{collection}"):
-            tables.json_mirror(table, f"{out}/{collection}.json")
-            published[collection] = spark.read.parquet(f"{out}/serving/{collection}")
+
+    def refresh(collection: str) -> DataFrame | None:
+        table = spark.read.parquet(f"{out}/{PUBLISHED[collection]}")
+        if not tables.refresh_serving(table, f"{out}/serving/{collection}"):
+            return None
+        tables.json_mirror(table, f"{out}/{collection}.json")
+        return spark.read.parquet(f"{out}/serving/{collection}")
+
+    refreshed = zip(PUBLISHED, at_once(spark, refresh, PUBLISHED))
+    published = {name: table for name, table in refreshed if table is not None}
     published |= publish_model_results(spark, out)
     manifest = tables.integration_manifest(published, PIPELINE_VERSION)
     return tables.write_table(manifest, f"{out}/serving/integration_log")

@@ -18,7 +18,7 @@ from netvigil.operators import (
     clean, distributions, enrich, entropy, graph, hosts, quality, risk, rollup, sharding, timeline, verdicts,
 )
 from netvigil.plans import jobs
-from netvigil.session import fresh_path, materialize
+from netvigil.session import at_once, fresh_path, materialize
 from netvigil.sinks import tables
 from netvigil.sources import documents, flows as flow_source
 from netvigil.sources.events import raw_flows_from_events
@@ -139,12 +139,13 @@ def written_run(spark: SparkSession, sf_dir: str, serving: bool = False) -> tupl
 
 def json_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = written_run(spark, sf_dir)
-    mirrors = {}
-    for collection, name in jobs.PUBLISHED.items():
-        report = spark.read.parquet(f"{out}/{name}")
+
+    def mirror(collection: str) -> DataFrame:
+        report = spark.read.parquet(f"{out}/{jobs.PUBLISHED[collection]}")
         tables.json_mirror(report, f"{out}/{collection}.json")
-        mirrors[collection] = tables.read_mirror(spark, f"{out}/{collection}.json", report)
-    return tables.rows_per_output(mirrors)
+        return tables.read_mirror(spark, f"{out}/{collection}.json", report)
+
+    return tables.rows_per_output(dict(zip(jobs.PUBLISHED, at_once(spark, mirror, jobs.PUBLISHED))))
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,7 +309,7 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = models(spark, sf_dir)
     path = fresh_path(spark, "model")
     training.save_model(m.scorer(), path)
-    held_out = m.flows.where(features.split_bucket() >= 80)
+    held_out = features.held_out_flows(m.flows)
     both = training.load_model(path).transform(
         m.scorer().transform(held_out).select(*m.flows.columns, F.col("prediction").alias("expected"))
     )

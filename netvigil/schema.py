@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The time format of raw logs, as a pattern and as a regular expression.
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_SHAPE = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
 
 # Class, protocol and severity vocabularies.
 BENIGN = "BENIGN"

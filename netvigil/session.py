@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job should run with; each can be overridden by the caller.
@@ -14,6 +17,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # The JVM does not compile methods above this size; Spark then splits the stage instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -55,6 +60,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def at_once(spark: SparkSession, action: Callable, items: Iterable, threads: int = 4) -> list:
+    """Run independent small Spark actions side by side, so that short jobs do not leave the cluster idle."""
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(action), items))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the work folder and continue from the written table.
 

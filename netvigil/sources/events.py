@@ -8,48 +8,39 @@ mixed-case text, and repeated records.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from netvigil.functions.temporal import as_text
 from netvigil.schema import RAW_COLUMNS
 
 
-def every(n: int):
-    return F.col("event_id") % n == 0
+_KEYED = ["event_id", "ts", "user_id", "event_type", "value",
+          """CAST(trim(BOTH '{"k: }' FROM props) AS BIGINT) AS k"""]
+
+_MAPPED = [
+    "event_id",
+    "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS timestamp",
+    """CASE WHEN event_id % 97 = 0 THEN ''
+            WHEN user_id % 15 = 0 THEN concat('172.16.1.', k % 10)
+            ELSE concat_ws('.', '10', user_id DIV 256, user_id % 256, day(ts)) END AS source_ip""",
+    "concat('172.16.1.', (event_id * 7 + k) % 20) AS destination_ip",
+    "CASE event_id % 3 WHEN 0 THEN ' tcp' WHEN 1 THEN 'UDP' ELSE 'Icmp ' END AS protocol",
+    """CASE WHEN event_id % 89 = 0 THEN '-1' WHEN event_id % 83 = 0 THEN 'n/a'
+            ELSE CAST(floor(value * 1000) AS STRING) END AS flow_duration""",
+    "CAST(40 + k * 14 AS STRING) AS packet_length",
+    "CAST((40 + k * 14) * (1 + event_id % 500) AS STRING) AS total_bytes",
+    "CAST(1 + event_id % 500 AS STRING) AS packet_count",
+    """CASE event_type WHEN 'view' THEN 'BENIGN' WHEN 'error' THEN 'DDoS' WHEN 'click' THEN ' PortScan'
+            WHEN 'signup' THEN 'Botnet' ELSE 'BruteForce' END AS attack_type""",
+    """CASE event_type WHEN 'view' THEN 'Low'
+            WHEN 'click' THEN if(event_id % 2 = 0, 'Low', 'Medium')
+            WHEN 'purchase' THEN if(event_id % 2 = 0, 'Medium', 'High')
+            ELSE if(event_id % 2 = 0, 'High', 'Critical') END AS severity""",
+]
+
+# Every 50th record is logged twice; repeating it in place keeps this one scan.
+_COPIES = "explode(array_repeat(1, if(event_id % 50 = 0, 2, 1))) AS copy"
 
 
 def raw_flows_from_events(events: DataFrame) -> DataFrame:
-    k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
-    packets = 1 + F.col("event_id") % 500
-    length = 40 + k * 14
-    odd_even = lambda even, odd: F.when(every(2), even).otherwise(odd)
-    text = lambda number: number.cast("string")
-
-    keyed = events.select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        F.regexp_extract("props", "([0-9]+)", 1).cast("long").alias("k"),
-    )
-    mapped = keyed.select(
-        "event_id",
-        as_text(F.col("ts")).alias("timestamp"),
-        F.when(every(97), "")
-        .when(user % 15 == 0, F.concat(F.lit("172.16.1."), text(k % 10)))
-        .otherwise(F.concat(F.lit("10."), text(F.floor(user / 256)), F.lit("."), text(user % 256),
-                            F.lit("."), text(F.dayofmonth("ts"))))
-        .alias("source_ip"),
-        F.concat(F.lit("172.16.1."), text((F.col("event_id") * 7 + k) % 20)).alias("destination_ip"),
-        F.when(every(3), " tcp").when(F.col("event_id") % 3 == 1, "UDP").otherwise("Icmp ").alias("protocol"),
-        F.when(every(89), "-1").when(every(83), "n/a")
-        .otherwise(text(F.floor(F.col("value") * 1000))).alias("flow_duration"),
-        text(length).alias("packet_length"),
-        text(length * packets).alias("total_bytes"),
-        text(packets).alias("packet_count"),
-        F.when(kind == "view", "BENIGN").when(kind == "error", "DDoS").when(kind == "click", " PortScan")
-        .when(kind == "signup", "Botnet").otherwise("BruteForce").alias("attack_type"),
-        F.when(kind == "view", "Low").when(kind == "click", odd_even("Low", "Medium"))
-        .when(kind == "purchase", odd_even("Medium", "High"))
-        .otherwise(odd_even("High", "Critical")).alias("severity"),
-    )
-    # Every 50th record is logged twice; repeating it in place keeps this one scan.
-    copies = F.array_repeat(F.lit(1), F.when(every(50), 2).otherwise(1))
-    return mapped.withColumn("copy", F.explode(copies)).select(*RAW_COLUMNS)
+    """Raw flow logs, all fields as text, from one scan of the events."""
+    mapped = events.selectExpr(*_KEYED).selectExpr(*_MAPPED)
+    return mapped.selectExpr("*", _COPIES).select(*RAW_COLUMNS)
