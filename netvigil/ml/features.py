@@ -16,6 +16,7 @@ from netvigil.functions.temporal import as_text
 FEATURES = ["flow_duration", "packet_length", "total_bytes", "packet_count",
             "hour", "day_of_week", "protocol_index", "severity_index"]
 INDEXED = {"protocol": "protocol_index", "severity": "severity_index", "attack_type": "label"}
+NUMERIC_INPUTS = FEATURES[:6]
 CARRIED = ["timestamp", "source_ip", "destination_ip", "attack_type"]
 BUCKET = "split_bucket"
 

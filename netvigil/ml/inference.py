@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from netvigil.functions.temporal import as_text
 from netvigil.functions.verdicts import alert_severity
-from netvigil.ml.features import class_labels
+from netvigil.ml.features import NUMERIC_INPUTS, class_labels
+from netvigil.schema import FLOW_KEY
 
-PREDICTION_ORDER = ["timestamp", "source_ip", "destination_ip"]
+PREDICTION_ORDER = FLOW_KEY
 
 
 def class_name(prediction: Column, labels: list[str]) -> Column:
@@ -40,7 +41,15 @@ def name_predictions(scored: DataFrame, labels: list[str]) -> DataFrame:
     )
 
 
+def scorable(flows: DataFrame) -> DataFrame:
+    """Flows that have a feature vector: every numeric input is known."""
+    return flows.dropna(subset=NUMERIC_INPUTS)
+
+
 def predict(flows: DataFrame, model: PipelineModel, limit: int | None = None) -> DataFrame:
-    """Score flows; with ``limit``, the first records by time, source and destination."""
-    records = name_predictions(model.transform(flows), class_labels(model))
-    return records if limit is None else records.orderBy(*PREDICTION_ORDER).limit(limit)
+    """Score flows; with ``limit``, the first scorable ones by time, source and destination.
+
+    The sample is drawn before the model runs, so only its rows are scored.
+    """
+    chosen = flows if limit is None else scorable(flows).orderBy(*PREDICTION_ORDER).limit(limit)
+    return name_predictions(model.transform(chosen), class_labels(model))

@@ -337,7 +337,8 @@ def predictions_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream of cleaned flows."""
     schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # Written as a glob, the path may name one file as well as a folder of part files.
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events.parquet}}")
     return streams.clean_stream(raw_flows_from_events(events))
 
 

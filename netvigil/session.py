@@ -19,6 +19,8 @@ RECOMMENDED_CONF = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     # The JVM does not compile methods above this size; Spark then splits the stage instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Recording the call site of every column expression takes longer than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
