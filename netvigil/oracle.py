@@ -267,7 +267,7 @@ _EIGHT = {
     "timeline_stats": "hourly", "ip_reputation": "risk",
 }
 _EIGHT_PARTS = ("dist", "hourly", "sev", "top50", "targets50", "risk")
-_SAMPLE = "(SELECT * FROM flows ORDER BY timestamp, source_ip, destination_ip LIMIT 500)"
+_SAMPLE = "(SELECT * FROM flows ORDER BY timestamp, source_ip, destination_ip, protocol, flow_duration, total_bytes LIMIT 500)"
 _DAYS = "['Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday'][day_of_week]"
 _TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
            "benchmark labels conversations").split()
@@ -465,6 +465,8 @@ FROM indexed""", "index"),
 FROM splits GROUP BY 1, 2""", "split"),
         "class_support": s("SELECT attack_type, count(*) AS support FROM splits WHERE split_bucket >= 80 GROUP BY 1", "split"),
         "model_roundtrip": s("SELECT count(*) AS compared, CAST(0 AS BIGINT) AS differing FROM splits WHERE split_bucket >= 80", "split"),
+        "prediction_sample_flows": s(f"""SELECT strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, source_ip, destination_ip,
+  attack_type AS actual_attack FROM {_SAMPLE}"""),
         "predictions_append": s(f"SELECT 2 * count(*) AS records FROM {_SAMPLE}"),
         # streams
         "stream_blacklist": s(f"""SELECT * EXCLUDE (ts), ts AS timestamp, CAST(hour(ts) AS INT) AS hour, CAST(dayofweek(ts) + 1 AS INT) AS day_of_week

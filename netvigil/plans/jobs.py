@@ -112,19 +112,33 @@ def run_analytics(spark: SparkSession, flows: DataFrame, out: str, serving: bool
 
 @dataclass
 class TrainingRun:
-    model: PipelineModel
-    metrics: DataFrame
-    matrix: DataFrame
-    report: DataFrame
+    """Both classifiers with their outcome counts on the held-out flows."""
 
+    features: PipelineModel
+    trained: dict[str, training.Trained]
+    outcomes: dict[str, DataFrame]
 
-def train_models(spark: SparkSession, table: DataFrame, feature_model: PipelineModel) -> TrainingRun:
-    """Train both classifiers on a feature table and evaluate them on its held-out part.
+    @property
+    def metrics(self) -> DataFrame:
+        return evaluation.model_metrics(self.outcomes, {kind: t.seconds for kind, t in self.trained.items()})
 
-    The returned scoring model holds the classifier with the higher F1. Test
-    predictions are scanned once per model; metrics, matrix and report all come
-    from the written outcome counts.
-    """
+    def best(self) -> str:
+        """Name of the classifier with the higher F1."""
+        return self.metrics.where("best").first()["model"]
+
+    def scorer(self, kind: str) -> PipelineModel:
+        return training.scoring_pipeline(self.features, self.trained[kind])
+
+    def matrix(self, kind: str) -> DataFrame:
+        return evaluation.confusion_matrix(self.outcomes[kind], features.class_labels(self.features))
+
+    def report(self, kind: str) -> DataFrame:
+        return evaluation.class_report(
+            self.outcomes[kind], features.label_map(self.outcomes[kind].sparkSession, self.features))
+
+
+def train_models(table: DataFrame, feature_model: PipelineModel) -> TrainingRun:
+    """Train both classifiers on a feature table and score its held-out part once per model."""
     kinds = (training.DECISION_TREE, training.RANDOM_FOREST)
     trained = {kind: training.train(features.training_part(table), kind) for kind in kinds}
     held_out = features.test_part(table)
@@ -132,26 +146,17 @@ def train_models(spark: SparkSession, table: DataFrame, feature_model: PipelineM
         kind: materialize(evaluation.outcome_counts(t.model.transform(held_out)), "outcomes")
         for kind, t in trained.items()
     }
-    metrics = evaluation.model_metrics(outcomes, {kind: t.seconds for kind, t in trained.items()})
-    best = metrics.where("best").first()["model"]
-    names = features.class_labels(feature_model)
-    labels = spark.createDataFrame(list(enumerate(names)), "label int, attack_type string")
-    return TrainingRun(
-        model=training.scoring_pipeline(feature_model, trained[best]),
-        metrics=metrics,
-        matrix=evaluation.confusion_matrix(outcomes[best], names),
-        report=evaluation.class_report(outcomes[best], labels),
-    )
+    return TrainingRun(feature_model, trained, outcomes)
 
 
 def run_training(spark: SparkSession, out: str) -> TrainingRun:
-    run = train_models(
-        spark, spark.read.parquet(f"{out}/{FEATURES}"), PipelineModel.load(f"{out}/feature_model")
-    )
-    training.save_model(run.model, f"{out}/threat_model")
-    run.metrics.coalesce(1).write.mode("overwrite").json(f"{out}/model_metrics.json")
-    run.matrix.coalesce(1).write.mode("overwrite").json(f"{out}/confusion_matrix.json")
-    run.report.coalesce(1).write.mode("overwrite").json(f"{out}/class_report.json")
+    """Train, save the better model, and write metrics, confusion matrix and class report."""
+    run = train_models(spark.read.parquet(f"{out}/{FEATURES}"), PipelineModel.load(f"{out}/feature_model"))
+    best = run.best()
+    training.save_model(run.scorer(best), f"{out}/threat_model")
+    written = {"model_metrics": run.metrics, "confusion_matrix": run.matrix(best), "class_report": run.report(best)}
+    for name, table in written.items():
+        table.coalesce(1).write.mode("overwrite").json(f"{out}/{name}.json")
     return run
 
 
@@ -160,8 +165,7 @@ def run_evaluation(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]
     model = training.load_model(f"{out}/threat_model")
     held_out = features.held_out_flows(read_flows(spark, f"{out}/{CLEAN}"))
     outcomes = materialize(evaluation.outcome_counts(model.transform(held_out)), "outcomes")
-    names = features.class_labels(model)
-    labels = spark.createDataFrame(list(enumerate(names)), "label int, attack_type string")
+    names, labels = features.class_labels(model), features.label_map(spark, model)
     return evaluation.confusion_matrix(outcomes, names), evaluation.class_report(outcomes, labels)
 
 

@@ -8,8 +8,6 @@ itself is a sink, a stream or a model fit.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -217,42 +215,23 @@ def graph_edges_labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- models ------------------------------------------------------------------
 
-@dataclass
-class ModelSet:
-    """Models of one data folder, trained once per application and shared by the queries below."""
-
-    flows: DataFrame
-    table: DataFrame
-    features: object
-    trained: dict[str, training.Trained]
-    outcomes: dict[str, DataFrame]
-
-    @property
-    def labels(self) -> list[str]:
-        return features.class_labels(self.features)
-
-    def scorer(self, kind: str = training.RANDOM_FOREST):
-        return training.scoring_pipeline(self.features, self.trained[kind])
+# Clean flows and trained models of one data folder, made once per application and
+# shared by the queries below.
+_trained: dict[tuple[str, str], tuple[DataFrame, jobs.TrainingRun]] = {}
 
 
-_models: dict[tuple[str, str], ModelSet] = {}
-
-
-def models(spark: SparkSession, sf_dir: str) -> ModelSet:
+def models(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, jobs.TrainingRun]:
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _models:
+    if key not in _trained:
         clean_table = written_flows(spark, sf_dir)
         fitted = features.fit_features(clean_table)
-        table_ = materialize(features.feature_table(fitted, clean_table), "features")
-        kinds = (training.DECISION_TREE, training.RANDOM_FOREST)
-        trained = {kind: training.train(features.training_part(table_), kind) for kind in kinds}
-        outcomes = {
-            kind: materialize(
-                evaluation.outcome_counts(t.model.transform(features.test_part(table_))), "outcomes")
-            for kind, t in trained.items()
-        }
-        _models[key] = ModelSet(clean_table, table_, fitted, trained, outcomes)
-    return _models[key]
+        feature_table = materialize(features.feature_table(fitted, clean_table), "features")
+        _trained[key] = clean_table, jobs.train_models(feature_table, fitted)
+    return _trained[key]
+
+
+def on_models(op: Callable[[jobs.TrainingRun], DataFrame]) -> Query:
+    return lambda spark, sf_dir: op(models(spark, sf_dir)[1])
 
 
 def indexed_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,52 +262,42 @@ def label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics_of(kind: str) -> Query:
-    return lambda spark, sf_dir: evaluation.overall_metrics(models(spark, sf_dir).outcomes[kind])
+    return on_models(lambda run: evaluation.overall_metrics(run.outcomes[kind]))
 
 
-def all_metrics(m: ModelSet) -> DataFrame:
-    return evaluation.model_metrics(m.outcomes, {kind: t.seconds for kind, t in m.trained.items()})
-
-
-def matrix_of(m: ModelSet) -> DataFrame:
-    return evaluation.confusion_matrix(m.outcomes[training.RANDOM_FOREST], m.labels)
-
-
-def report_of(m: ModelSet) -> DataFrame:
-    labels = features.label_map(m.flows.sparkSession, m.features)
-    return evaluation.class_report(m.outcomes[training.RANDOM_FOREST], labels)
-
-
-def model_metrics_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = models(spark, sf_dir)
-    return evaluation.metrics_document(all_metrics(m), matrix_of(m), report_of(m))
+def metrics_document(run: jobs.TrainingRun) -> DataFrame:
+    best = run.best()
+    return evaluation.metrics_document(run.metrics, run.matrix(best), run.report(best))
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows on which a saved and reloaded model disagrees with the one in memory (none)."""
-    m = models(spark, sf_dir)
-    path = fresh_path(spark, "model")
-    training.save_model(m.scorer(), path)
-    held_out = features.held_out_flows(m.flows)
-    both = training.load_model(path).transform(
-        m.scorer().transform(held_out).select(*m.flows.columns, F.col("prediction").alias("expected"))
+    clean_table, run = models(spark, sf_dir)
+    scorer, path = run.scorer(training.RANDOM_FOREST), fresh_path(spark, "model")
+    training.save_model(scorer, path)
+    expected = scorer.transform(features.held_out_flows(clean_table)).select(
+        *clean_table.columns, F.col("prediction").alias("expected")
     )
-    return both.agg(
+    return training.load_model(path).transform(expected).agg(
         F.count(F.lit(1)).alias("compared"),
         F.count_if(F.col("prediction") != F.col("expected")).alias("differing"),
     )
 
 
 def predictions(spark: SparkSession, sf_dir: str, limit: int | None = None) -> DataFrame:
-    m = models(spark, sf_dir)
-    return inference.predict(m.flows, m.scorer(), limit)
+    clean_table, run = models(spark, sf_dir)
+    return inference.predict(clean_table, run.scorer(training.RANDOM_FOREST), limit)
+
+
+def prediction_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predictions(spark, sf_dir, jobs.PREDICTION_SAMPLE)
 
 
 def predictions_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records after appending the prediction sample twice."""
     path = fresh_path(spark, "predictions")
     for _ in range(2):
-        tables.append_predictions(predictions(spark, sf_dir, jobs.PREDICTION_SAMPLE), path)
+        tables.append_predictions(prediction_sample(spark, sf_dir), path)
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("records"))
 
 
@@ -363,7 +332,7 @@ def incident_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = fresh_path(spark, "scored"), fresh_path(spark, "stream-state")
-    scored = streams.score_stream(streamed_flows(spark, sf_dir), models(spark, sf_dir).scorer())
+    scored = streams.score_stream(streamed_flows(spark, sf_dir), models(spark, sf_dir)[1].scorer(training.RANDOM_FOREST))
     streams.run_to_table(scored, path, checkpoint)
     return spark.read.parquet(path)
 
@@ -460,14 +429,17 @@ def queries() -> dict[str, Query]:
         "split_counts": on_flows(features.split_counts),
         "dt_metrics": metrics_of(training.DECISION_TREE),
         "rf_metrics": metrics_of(training.RANDOM_FOREST),
-        "model_metrics": lambda spark, d: all_metrics(models(spark, d)),
-        "confusion_matrix": lambda spark, d: matrix_of(models(spark, d)),
-        "class_report": lambda spark, d: report_of(models(spark, d)),
-        "class_support": lambda spark, d: report_of(models(spark, d)).select("attack_type", "support"),
-        "model_metrics_doc": model_metrics_doc,
+        "model_metrics": on_models(lambda run: run.metrics),
+        "confusion_matrix": on_models(lambda run: run.matrix(training.RANDOM_FOREST)),
+        "class_report": on_models(lambda run: run.report(training.RANDOM_FOREST)),
+        "class_support": on_models(
+            lambda run: run.report(training.RANDOM_FOREST).select("attack_type", "support")),
+        "model_metrics_doc": on_models(metrics_document),
         "model_roundtrip": model_roundtrip,
         "predictions": predictions,
-        "prediction_sample": lambda spark, d: predictions(spark, d, jobs.PREDICTION_SAMPLE),
+        "prediction_sample": prediction_sample,
+        "prediction_sample_flows": lambda spark, d: prediction_sample(spark, d).select(
+            "timestamp", "source_ip", "destination_ip", "actual_attack"),
         "predictions_append": predictions_append,
         # streams
         "stream_blacklist": stream_blacklist,

@@ -11,8 +11,13 @@ from netvigil.schema import RAW_SCHEMA
 
 
 def read_raw_flows(spark: SparkSession, path: str) -> DataFrame:
-    """Raw flow logs from CSV with a header, all fields as text (no inference pass)."""
-    return spark.read.schema(RAW_SCHEMA).option("header", True).csv(path)
+    """Raw flow logs from CSV, all fields as text (no inference pass).
+
+    Columns are found by their names in the header, in any order and among
+    others; a file whose header differs from the first one is an error.
+    """
+    found = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    return found.select(*RAW_SCHEMA.names)
 
 
 def write_raw_flows(raw: DataFrame, path: str) -> None:

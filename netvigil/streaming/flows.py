@@ -25,8 +25,11 @@ DEFAULT_POLICY = "Hard Drop & BGP Null-Route"
 
 
 def stream_raw_flows(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """Raw CSV logs as they arrive in a folder; a backlog is worked off in bounded batches."""
-    reader = spark.readStream.schema(RAW_SCHEMA).option("header", True)
+    """Raw CSV logs as they arrive in a folder; a backlog is worked off in bounded batches.
+
+    Headers must list the raw columns in their order; other files are an error.
+    """
+    reader = spark.readStream.schema(RAW_SCHEMA).option("header", True).option("enforceSchema", False)
     return reader.option("maxFilesPerTrigger", files_per_batch).csv(folder)
 
 

@@ -96,3 +96,25 @@ def test_documents_append_and_keep_nulls(spark, make_raw):
     broken = documents.where("flow_duration IS NULL").first()
     assert broken["source_ip"] is None and broken["severity"] is None and broken["total_bytes"] == 500
     assert spark.read.text(path).where("value LIKE '%\"source_ip\":null%'").count() == 2
+
+
+def test_csv_columns_are_found_by_name(spark):
+    folder = fresh_path(spark, "csv")
+    header = "severity,source_ip,extra,timestamp,destination_ip,protocol,flow_duration,packet_length,total_bytes,packet_count,attack_type"
+    row = "High,10.0.0.1,x,2024-01-07 10:30:00,172.16.1.1,TCP,1,2,3,4,DDoS"
+    spark.createDataFrame([(header,), (row,)], "line string").coalesce(1).write.text(folder)
+    raw = read_raw_flows(spark, folder)
+    assert raw.first().asDict()["severity"] == "High" and raw.first()["total_bytes"] == "3"
+    assert clean.clean_flows(raw).first()["day_of_week"] == 1
+
+
+def test_csv_files_with_another_header_are_refused(spark):
+    import pytest
+
+    folder = fresh_path(spark, "csv")
+    names = "timestamp,source_ip,destination_ip,protocol,flow_duration,packet_length,total_bytes,packet_count,attack_type,severity"
+    for header in (names, names.replace("source_ip,destination_ip", "destination_ip,source_ip")):
+        lines = [(header,), ("2024-01-07 10:30:00,a,b,TCP,1,2,3,4,DDoS,High",)]
+        spark.createDataFrame(lines, "line string").coalesce(1).write.mode("append").text(folder)
+    with pytest.raises(Exception, match="(?i)header"):
+        clean.clean_flows(read_raw_flows(spark, folder)).collect()
