@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netvigil.ml.training import RANDOM_FOREST
+from netvigil.sources.flows import inline_rows
 
 
 def outcome_counts(predictions: DataFrame) -> DataFrame:
@@ -71,9 +72,9 @@ def class_report(outcomes: DataFrame, labels: DataFrame) -> DataFrame:
 
 def confusion_matrix(outcomes: DataFrame, class_names: list[str]) -> DataFrame:
     """Counts for every pair of (actual, predicted) class names, zeros included."""
-    spark = outcomes.sparkSession
     names = list(enumerate(class_names))
-    grid = spark.createDataFrame(
+    grid = inline_rows(
+        outcomes.sparkSession,
         [(i, actual, j, predicted) for i, actual in names for j, predicted in names],
         "label int, actual string, prediction int, predicted string",
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from netvigil.functions.hashing import md5_mod
 from netvigil.functions.temporal import as_text
+from netvigil.sources.flows import inline_rows
 
 # Feature order. Severity follows from the class in most logs, so
 # a caller who wants to avoid that leak passes a shorter list.
@@ -42,7 +43,7 @@ def class_labels(model: PipelineModel) -> list[str]:
 
 
 def label_map(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(class_labels(model))), "label int, attack_type string")
+    return inline_rows(spark, list(enumerate(class_labels(model))), "label int, attack_type string")
 
 
 def split_bucket(seed: int = 42):

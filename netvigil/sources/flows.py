@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from netvigil.schema import RAW_SCHEMA
 
@@ -35,8 +37,14 @@ def read_flows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def inline_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small in-memory reference list as a DataFrame."""
-    return spark.createDataFrame(rows, schema)
+    """A small in-memory list as a DataFrame.
+
+    Handed over as Arrow, it becomes a local table in the plan and needs no
+    Python worker on the executors.
+    """
+    fields = T.StructType.fromDDL(schema)
+    columns = [pa.array(values) for values in zip(*rows)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=fields.names), fields)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
