@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from netvigil.functions.measures import Measures
 from netvigil.operators.distributions import GIB
 from netvigil.operators.hosts import attack_flows, broadcast_if_small
+from netvigil.session import materialize
 
 ADVERSARY, PIVOT, TARGET = "Adversary", "Pivot", "Target"
 
@@ -73,14 +74,24 @@ def graph_summary(degree: DataFrame) -> DataFrame:
     return totals.withColumn("max_depth", depth)
 
 
+def pivot_hosts(degree: DataFrame) -> DataFrame:
+    """The pivots as a written table.
+
+    Adaptive execution splits a hot key only where both join inputs come
+    straight from a shuffle. Joined as an aggregate, the pivots would bring
+    their own partitioning along and leave a hot host in one task.
+    """
+    return materialize(graph_pivots(degree).select("host"), "pivots")
+
+
 def label_edges(edges: DataFrame, degree: DataFrame) -> DataFrame:
     """Edges with the roles of both ends.
 
     Every source has an outgoing link and every destination an incoming one, so
     only the pivots have to be looked up; their set is far smaller than the
-    vertex table.
+    vertex table. It is written before the joins.
     """
-    pivots = graph_pivots(degree).select("host", F.lit(True).alias("pivot"))
+    pivots = pivot_hosts(degree).select("host", F.lit(True).alias("pivot"))
     by_source = pivots.select(F.col("host").alias("source_ip"), F.col("pivot").alias("source_pivot"))
     by_target = pivots.select(F.col("host").alias("destination_ip"), F.col("pivot").alias("target_pivot"))
     joined = edges.join(by_source, "source_ip", "left").join(by_target, "destination_ip", "left")
@@ -95,6 +106,7 @@ def lateral_hops(links: DataFrame, degree: DataFrame) -> DataFrame:
     """All two-hop paths in factored form: per pivot its ingress and its egress hops.
 
     Any ingress peer followed by any egress peer of the same pivot is a path.
+    The set of pivots is written before the join.
     """
     hops = links.select(
         "flows",
@@ -105,7 +117,7 @@ def lateral_hops(links: DataFrame, degree: DataFrame) -> DataFrame:
                      F.col("destination_ip").alias("peer")),
         )).alias("h"),
     ).select("h.*", "flows")
-    pivots = graph_pivots(degree).select(F.col("host").alias("pivot"))
+    pivots = pivot_hosts(degree).select(F.col("host").alias("pivot"))
     return hops.join(pivots, "pivot", "left_semi")
 
 

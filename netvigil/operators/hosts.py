@@ -124,7 +124,8 @@ def exclude_listed(table: DataFrame, blacklist: DataFrame) -> DataFrame:
 
     The list may grow with the data, so it carries no broadcast hint: the
     optimizer broadcasts it when its measured size allows, and otherwise joins
-    by shuffle, splitting a dominant source across tasks.
+    by shuffle, splitting a dominant source across tasks. For the split the
+    list must be a written table, not an aggregate still to be computed.
     """
     return table.join(blacklist.select("source_ip"), "source_ip", "left_anti")
 

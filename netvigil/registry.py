@@ -179,7 +179,7 @@ def critical_sources(flow_table: DataFrame) -> DataFrame:
 
 def blacklist_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean_table = written_flows(spark, sf_dir)
-    return hosts.exclude_listed(clean_table, critical_sources(clean_table))
+    return hosts.exclude_listed(clean_table, materialize(critical_sources(clean_table), "blacklist"))
 
 
 def mitre_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
