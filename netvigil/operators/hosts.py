@@ -13,6 +13,7 @@ MIB = 2**20
 
 # A top-N list is only broadcast when N itself bounds it to a small table.
 BROADCAST_ROWS = 10_000
+MAX_CLASS_COLUMNS = 10_000
 
 
 def attack_flows(table: DataFrame) -> DataFrame:
@@ -106,13 +107,17 @@ def ip_attack_crosstab(
 
 
 def classes_of_busiest(table: DataFrame, top_ips: int) -> list[str]:
-    """Sorted class names used by the busiest attackers: ``top_ips`` small sets, read to the driver."""
+    """Sorted class names used by the busiest attackers; they become columns, so their number is limited."""
     m = Measures(table)
     per_class = attack_flows(table).groupBy("source_ip", "attack_type").agg(m.flows().alias("n"))
-    busiest = per_class.groupBy("source_ip").agg(
-        F.sum("n").alias("total"), F.collect_set("attack_type").alias("classes")
-    ).orderBy(F.desc("total"), "source_ip").limit(top_ips)
-    return sorted({name for row in busiest.select("classes").collect() for name in row["classes"]})
+    busiest = per_class.groupBy("source_ip").agg(F.sum("n").alias("total")).orderBy(
+        F.desc("total"), "source_ip"
+    ).limit(top_ips).select("source_ip")
+    used = per_class.join(broadcast_if_small(busiest, top_ips), "source_ip", "left_semi").select("attack_type")
+    names = [row["attack_type"] for row in used.distinct().limit(MAX_CLASS_COLUMNS + 1).collect()]
+    if len(names) > MAX_CLASS_COLUMNS:
+        raise ValueError(f"more than {MAX_CLASS_COLUMNS} attack classes; pass the wanted ones")
+    return sorted(names)
 
 
 def known_class_crosstab(table: DataFrame, top_ips: int = 20) -> DataFrame:

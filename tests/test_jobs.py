@@ -123,7 +123,7 @@ def test_unseen_class_gets_the_extra_label(spark, run, make_flows):
     assert [r["label"] for r in scored.collect()] == [5.0]  # the row without an hour has no vector
 
 
-def test_reference_rows_of_the_metrics_document(spark, run):
+def test_metrics_document(spark, run):
     document = spark.read.parquet(f"{run['out']}/serving/model_metrics").first()
     assert '"model":"random_forest"' in document["models"] and '"actual":"DDoS"' in document["confusion_matrix"]
     assert '"recall"' in document["per_class_metrics"] and document["integrated_at"] is not None
