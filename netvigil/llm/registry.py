@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from netvigil.llm.best_fit_packing import op3_best_fit_packing
 from netvigil.llm.sentencepiece_codec import op1_sentencepiece
+from netvigil.llm.wavelet_ids import op8_wavelet_ids
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op8_wavelet_ids": op8_wavelet_ids,
 }
 ORACLE_SQL: dict[str, str] = {}
