@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from netvigil.llm.best_fit_packing import op3_best_fit_packing
+from netvigil.llm.exact_dedup import ORACLE as EXACT_DEDUP_SQL
+from netvigil.llm.exact_dedup import op6_exact_dedup
+from netvigil.llm.quality_gam import op9_quality_gam
 from netvigil.llm.sentencepiece_codec import op1_sentencepiece
 from netvigil.llm.wavelet_ids import op8_wavelet_ids
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_exact_dedup": op6_exact_dedup,
     "op8_wavelet_ids": op8_wavelet_ids,
+    "op9_quality_gam": op9_quality_gam,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_dedup": EXACT_DEDUP_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
