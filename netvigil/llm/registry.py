@@ -5,16 +5,20 @@ from __future__ import annotations
 from netvigil.llm.best_fit_packing import op3_best_fit_packing
 from netvigil.llm.exact_dedup import ORACLE as EXACT_DEDUP_SQL
 from netvigil.llm.exact_dedup import op6_exact_dedup
+from netvigil.llm.pu_toxicity import op2_pu_toxicity
 from netvigil.llm.quality_gam import op9_quality_gam
 from netvigil.llm.sentencepiece_codec import op1_sentencepiece
+from netvigil.llm.site_style import op10_site_style
 from netvigil.llm.wavelet_ids import op8_wavelet_ids
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_pu_toxicity": op2_pu_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_wavelet_ids": op8_wavelet_ids,
     "op9_quality_gam": op9_quality_gam,
+    "op10_site_style": op10_site_style,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_exact_dedup": EXACT_DEDUP_SQL,
