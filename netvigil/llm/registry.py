@@ -5,6 +5,8 @@ from __future__ import annotations
 from netvigil.llm.best_fit_packing import op3_best_fit_packing
 from netvigil.llm.exact_dedup import ORACLE as EXACT_DEDUP_SQL
 from netvigil.llm.exact_dedup import op6_exact_dedup
+from netvigil.llm.license_scan import op4_license_scan
+from netvigil.llm.license_scan import oracle as license_scan_sql
 from netvigil.llm.pu_toxicity import op2_pu_toxicity
 from netvigil.llm.quality_gam import op9_quality_gam
 from netvigil.llm.sentencepiece_codec import op1_sentencepiece
@@ -15,11 +17,13 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_pu_toxicity": op2_pu_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_license_scan": op4_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_wavelet_ids": op8_wavelet_ids,
     "op9_quality_gam": op9_quality_gam,
     "op10_site_style": op10_site_style,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op4_license_scan": license_scan_sql(),
     "op6_exact_dedup": EXACT_DEDUP_SQL,
 }
