@@ -1,4 +1,4 @@
-"""Distinct-chunk tables: each distinct piece of text between spaces is tokenised once per task.
+"""Distinct-chunk tables: each distinct piece of text between spaces is tokenised once per Python worker.
 
 A tokeniser whose tokens never cross the start of a word gives the same ids for
 a text as for its chunks one after the other. Texts are cut into chunks, the
@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
+import types
 
-# Entries of one task's table. Beyond it the table starts anew: results stay the same, memory stays bounded.
-TABLE_ENTRIES = 600_000
+# Entries of one generation of a table. Beyond it the generation before is dropped: results stay the same, memory
+# stays bounded, and what is in use stays known.
+TABLE_ENTRIES = 400_000
 # Longer chunks (junk without white space) are tokenised without being kept.
 KEPT_CHARS = 64
 
@@ -24,16 +27,29 @@ class ChunkTable(dict):
         super().__init__()
         self.encode = encode
         self.entries = entries
+        self.older: dict = {}
 
     def __missing__(self, chunk):
-        value = self.encode(chunk)
-        if len(chunk) <= KEPT_CHARS:
-            if len(self) >= self.entries:
-                self.clear()
-            self[chunk] = value
+        value = self.older.get(chunk)
+        if value is None:
+            value = self.encode(chunk)
+            if len(chunk) > KEPT_CHARS:
+                return value
+        if len(self) >= self.entries:
+            self.older = dict(self)
+            self.clear()
+        self[chunk] = value
         return value
 
 
+def for_this_worker(name: str, make):
+    """What ``make`` gave when it was first called under this name in this Python worker, which serves many tasks."""
+    store = sys.modules.setdefault("netvigil_worker_store", types.ModuleType("netvigil_worker_store")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def load_tokenizer(path: str):
     """A ``tokenizers`` file in which the strings of special tokens are ordinary text."""
     import os

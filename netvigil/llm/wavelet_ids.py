@@ -37,7 +37,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from netvigil.llm.chunks import ByteLevelEncoder
+from netvigil.llm.chunks import ByteLevelEncoder, for_this_worker
 from netvigil.llm.common import batches_of, column_of, read_table
 from netvigil.session import fresh_path
 
@@ -188,7 +188,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, shard_tokens: int
     def run(batches):
         from pyspark import TaskContext
 
-        encoder = ByteLevelEncoder(tokenizer_path)
+        encoder = for_this_worker(f"bytes {tokenizer_path}", lambda: ByteLevelEncoder(tokenizer_path))
         end = END_ID.to_bytes(4, "little")
         number, shard = TaskContext.get().partitionId(), 0
         ids, doc_ids, size = [], [], 0
