@@ -84,8 +84,8 @@ class IdEncoder:
         self.table = ChunkTable(self._chunk, entries)
 
     def _run(self, run: str) -> bytes:
-        if run.isascii() and run[0] > " ":
-            named = run
+        if run.isascii() and run[0] >= " ":
+            named = "Ġ" + run[1:] if run[0] == " " else run  # only the first can be a space
         else:
             named = run.encode().decode("latin-1").translate(self.byte_names)
         return packed([token.id for token in self.model.tokenize(named)])
