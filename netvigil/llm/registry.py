@@ -10,6 +10,7 @@ from netvigil.llm.license_scan import oracle as license_scan_sql
 from netvigil.llm.pu_toxicity import op2_pu_toxicity
 from netvigil.llm.quality_gam import op9_quality_gam
 from netvigil.llm.sentencepiece_codec import op1_sentencepiece
+from netvigil.llm.signature_join import op5_signature_join
 from netvigil.llm.site_style import op10_site_style
 from netvigil.llm.wavelet_ids import op8_wavelet_ids
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_pu_toxicity": op2_pu_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_license_scan": op4_license_scan,
+    "op5_signature_join": op5_signature_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_wavelet_ids": op8_wavelet_ids,
     "op9_quality_gam": op9_quality_gam,
