@@ -7,6 +7,7 @@ from netvigil.llm.exact_dedup import ORACLE as EXACT_DEDUP_SQL
 from netvigil.llm.exact_dedup import op6_exact_dedup
 from netvigil.llm.license_scan import op4_license_scan
 from netvigil.llm.license_scan import oracle as license_scan_sql
+from netvigil.llm.nn_descent import op7_nn_descent
 from netvigil.llm.pu_toxicity import op2_pu_toxicity
 from netvigil.llm.quality_gam import op9_quality_gam
 from netvigil.llm.sentencepiece_codec import op1_sentencepiece
@@ -21,6 +22,7 @@ QUERIES = {
     "op4_license_scan": op4_license_scan,
     "op5_signature_join": op5_signature_join,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_nn_descent": op7_nn_descent,
     "op8_wavelet_ids": op8_wavelet_ids,
     "op9_quality_gam": op9_quality_gam,
     "op10_site_style": op10_site_style,
