@@ -24,6 +24,7 @@ Results of ``score`` (one row per row of the input):
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from typing import NamedTuple
@@ -32,7 +33,6 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netvigil.llm.chunks import ChunkTable
 from netvigil.llm.common import batches_of, column_of, held_out, read_table
 
 POSITIVES, UNLABELLED, VOCABULARY = 4_000, 12_000, 5_000
@@ -61,16 +61,13 @@ class Model(NamedTuple):
     base: float
     weights: dict[str, float]
 
-    def score(self, text: str | None, table: ChunkTable) -> float:
+    def score(self, text: str | None) -> float:
         words = words_of(text)
+        found = [self.weights[w] for w in words if w in self.weights]
         stems = {word[:STEM] + "*" for word in words if len(word) > STEM}
-        total = self.base + sum([table[w] for w in words]) + sum([table[s] for s in stems])
-        return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
-
-    def table(self) -> ChunkTable:
-        found = ChunkTable(lambda feature: 0.0)
-        found.update(self.weights)
-        return found
+        found += [self.weights[s] for s in stems if s in self.weights]
+        total = math.fsum([self.base, *found])  # exact, so in any order of the words alike
+        return float(1 / (1 + math.exp(-min(max(total, -30.0), 30.0))))
 
 
 def choose_features(texts: list[list[str]], toxic: np.ndarray, limit: int) -> dict[str, int]:
@@ -154,10 +151,9 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     """(doc_id, score) of every row."""
 
     def run(batches):
-        table = model.table()
         for batch in batches:
             ids, texts = (c.to_pylist() for c in batch.columns)
-            yield from batches_of([[(i, model.score(t, table)) for i, t in zip(ids, texts)]], SCORES)
+            yield from batches_of([[(i, model.score(t)) for i, t in zip(ids, texts)]], SCORES)
 
     return docs.select(column_of(docs, id_column, "long").alias("doc_id"),
                        column_of(docs, text_column, "string").alias("text")).mapInArrow(run, SCORES)
@@ -170,8 +166,7 @@ def not_toxic(docs: DataFrame, model: Model, text_column: str = "text", below: f
     def own_score(texts):
         import pandas as pd
 
-        table = model.table()
-        return pd.Series([model.score(t, table) for t in texts], dtype=float)
+        return pd.Series([model.score(t) for t in texts], dtype=float)
 
     return docs.where(own_score(column_of(docs, text_column, "string")) < below)
 

@@ -29,6 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netvigil.llm.chunks import for_this_worker
 from netvigil.llm.common import batches_of, column_of, held_out, read_table
 
 SAMPLE = 20_000
@@ -212,7 +213,7 @@ def measured(rows: DataFrame, key: str, text_column: str) -> DataFrame:
     schema = "key long, features array<double>"
 
     def run(batches):
-        classes = _character_classes()
+        classes = for_this_worker("character classes", _character_classes)
         for batch in batches:
             yield from batches_of([[(k, measure(t, classes)) for k, t in zip(*(c.to_pylist() for c in batch.columns))]], schema)
 
@@ -232,7 +233,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     """(doc_id, score) of every row."""
 
     def run(batches):
-        classes = _character_classes()
+        classes = for_this_worker("character classes", _character_classes)
         for batch in batches:
             ids, texts = (c.to_pylist() for c in batch.columns)
             if ids:
@@ -248,9 +249,9 @@ def accepted(docs: DataFrame, model: Model, text_column: str = "text", least: fl
 
     @F.pandas_udf("double")
     def own_score(texts):
-        classes = _character_classes()
         import pandas as pd
 
+        classes = for_this_worker("character classes", _character_classes)
         return pd.Series(model.score(np.array([measure(t, classes) for t in texts], float).reshape(len(texts), len(FEATURES))))
 
     return docs.where(own_score(column_of(docs, text_column, "string")) >= least)
