@@ -12,8 +12,8 @@ Two documents link when 100 * common >= ``percent`` * union. The steps:
 3. Large groups of near copies are collapsed first: documents that agree in two
    minima of random orders are compared with the smallest of them only. What links
    with the same document is in one component, and pairs within need no look.
-4. In every cell that still holds two components, a signature tree is built: each
-   node has the OR of its records' token bitmaps and the range of their sizes. Two
+4. Of the cells that still hold two components (one of each that hold the same documents), a signature tree is built in
+   each: a node has the OR of its records' token bitmaps and the range of their sizes. Two
    nodes are traversed together only if their sizes and the largest overlap that
    their bitmaps allow can reach the threshold.
 5. The distinct candidate pairs are verified on whole sets, and the links' connected
@@ -47,12 +47,14 @@ FREQUENT = 65_536
 FREQUENT_SHARE, LEAST_COUNT = 0.002, 3  # of a block's documents, to be counted as a frequent shingle
 BLOCK_SHINGLES = 2_000_000
 BANDS, MINIMA = 6, 2
-BITS = 2048
+BITS = 1024
 LEAF = 8
 TOKEN_BITS = 48  # of the 64 bits in cells; equal ends only add candidates, which are verified
 SEEN = 200_000
-SIGNATURES = "doc_id long, n_shingles long, digest binary, bands array<long>, shingles array<long>, counts array<long>"
-SETS = "doc_id long, size long, hashes array<long>, bitmap binary"
+FILTER_BITS = 1 << 24
+SIGNATURES = ("doc_id long, n_shingles long, digest binary, bands array<long>, bitmap binary, "
+              "shingles array<long>, counts array<long>")
+SETS = "doc_id long, hashes array<long>"
 
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -102,7 +104,7 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """Per document its set's size, digest and band keys; per block of documents its frequent shingles."""
+    """Per document its set's size, digest, band keys and bitmap; per block of documents its frequent shingles."""
 
     def run(batches):
         held, docs_held, size = [], 0, 0
@@ -110,17 +112,17 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
         def frequent():
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             often = counts >= max(LEAST_COUNT, FREQUENT_SHARE * docs_held)
-            return (None, None, None, None, values[often].view(np.int64).tolist(), counts[often].tolist())
+            return (None, None, None, None, None, values[often].view(np.int64).tolist(), counts[often].tolist())
 
         for batch in batches:
             rows = []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 own = shingle_set(text, words)
                 if not len(own):
-                    rows.append((doc_id, 0, None, None, None, None))
+                    rows.append((doc_id, 0, None, None, None, None, None))
                     continue
                 rows.append((doc_id, len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(), band_keys(own),
-                             None, None))
+                             bitmap_of(own).tobytes(), None, None))
                 held.append(own)
                 docs_held, size = docs_held + 1, size + len(own)
                 if size >= BLOCK_SHINGLES:
@@ -218,8 +220,18 @@ def shared_cells(rows: DataFrame) -> DataFrame:
     return rows.repartition("token").sortWithinPartitions("token", "doc_id").mapInArrow(run, schema)
 
 
-def document_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """Whole sets, sizes and bitmaps of the documents named in ``ids``."""
+def only_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents named in ``ids``. A bitmap of their hashes, of fixed size, drops most others before the shuffle."""
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    words = ids.select(at.alias("at")).groupBy((F.col("at") / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at % 64 AS int))")).alias("bits"))
+    likely = docs.withColumn("word", (at / 64).cast("int")).join(F.broadcast(words), "word").where(
+        F.getbit("bits", (at % 64).cast("int")) == 1)
+    return likely.select(*docs.columns).join(ids, "doc_id", "left_semi")
+
+
+def document_sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """Whole sets of the documents that occur in ``pairs``."""
 
     def run(batches):
         for batch in batches:
@@ -227,14 +239,17 @@ def document_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 own = shingle_set(text, words)
                 if len(own):
-                    rows.append((doc_id, len(own), own.view(np.int64).tolist(), bitmap_of(own).tobytes()))
+                    rows.append((doc_id, own.view(np.int64).tolist()))
             yield from batches_of([rows], SETS)
 
-    return docs.join(ids, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(run, SETS)
+    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
+    return only_ids(docs, kept(ids)).select("doc_id", "text").mapInArrow(run, SETS)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose whole sets reach the threshold."""
+    pairs = kept(pairs)
+    sets = kept(document_sets(docs, pairs, words))
     left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("of_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("of_b"))
     both = pairs.join(left, "a").join(right, "b")
@@ -305,6 +320,19 @@ class SignatureTree:
             work.append((level - 1, left[keep], right[keep]))
 
 
+def one_of_equal_cells(rows: DataFrame) -> DataFrame:
+    """The rows of the cells with two components or more; of cells with the same documents only one.
+
+    Documents that share a passage share a cell for each of its shingles. Equal
+    cells are told by 128 bits of hashes and the number of their documents.
+    """
+    cells = rows.groupBy("token").agg(
+        F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("documents"),
+        F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"))
+    chosen = cells.where("first < last").groupBy("x", "y", "documents").agg(F.min("token").alias("token")).select("token")
+    return rows.join(chosen, "token", "left_semi")
+
+
 def candidate_pairs(cells: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that may link, from rows (token, doc_id, component, size, bitmap)."""
     schema = "a long, b long"
@@ -351,21 +379,20 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     rows = signed.where("shingles IS NULL")
 
     classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    class_of = kept(rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").join(classes, "digest").select("doc_id", "rep", "bands"))
+    class_of = kept(rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").join(classes, "digest").select(
+        "doc_id", "rep", "bands", "n_shingles", "bitmap"))
     copies = class_of.select("doc_id", "rep").distinct()
     reps = class_of.where("doc_id = rep").drop("rep")
 
     shared = shared_cells(prefix_rows(own, frequent_shingles(signed), words, percent))
     shared = kept(shared.join(copies, "doc_id").select("token", F.col("rep").alias("doc_id")).distinct())
     active = shared.select("doc_id").distinct()
-    sets = kept(document_sets(own, active, words))
 
-    near = kept(verified(star_pairs(reps, active), sets, percent))
+    near = kept(verified(star_pairs(reps, active), own, words, percent))
     label = near.groupBy(F.col("b").alias("doc_id")).agg(F.min("a").alias("component"))
     labelled = shared.join(label, "doc_id", "left").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    two = labelled.groupBy("token").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first < last")
-    cells = labelled.join(two.select("token"), "token", "left_semi").join(sets.select("doc_id", "size", "bitmap"), "doc_id")
-    links = near.unionAll(verified(candidate_pairs(cells, percent), sets, percent))
+    cells = one_of_equal_cells(kept(labelled)).join(reps.select("doc_id", F.col("n_shingles").alias("size"), "bitmap"), "doc_id")
+    links = near.unionAll(verified(candidate_pairs(cells, percent), own, words, percent))
 
     grouped = components(links).select(F.col("vertex").alias("rep"), F.col("component"))
     found = classes.join(grouped, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
