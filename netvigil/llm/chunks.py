@@ -112,14 +112,17 @@ class ByteLevelEncoder(IdEncoder):
     _run_of = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")
 
     def _chunk(self, chunk: str) -> bytes:
+        runs = self.runs
         if chunk[0] == "\n":
-            body, lead, start = chunk[1:], "", self.runs["\n"]
-        else:
-            body, lead, start = chunk, " ", b""
-        if self._plain.fullmatch(body):
-            first, *more = self._run_of.findall(body)
-            return start + self.runs[lead + first] + b"".join([self.runs[run] for run in more])
-        return self._whole(chunk if start else " " + chunk)
+            if self._plain.fullmatch(chunk, 1):
+                return runs["\n"] + b"".join([runs[run] for run in self._run_of.findall(chunk, 1)])
+            return self._whole(chunk)
+        if not self._plain.fullmatch(chunk):
+            return self._whole(" " + chunk)
+        first, *more = self._run_of.findall(chunk)
+        if not more:
+            return self._run(" " + chunk)
+        return self.table[first] + b"".join([runs[run] for run in more])
 
     def _single_spaced(self, text: str) -> bool:
         return not (text[0].isspace() or text[-1].isspace() or "  " in text or " \n" in text or "\n " in text
@@ -144,9 +147,12 @@ class WordEncoder(IdEncoder):
 
     def _chunk(self, chunk: str) -> bytes:
         lower = chunk.lower()
-        if self._plain.fullmatch(lower):
-            return b"".join([self.runs[run] for run in self._run_of.findall(lower)])
-        return self._whole(chunk)
+        if not self._plain.fullmatch(lower):
+            return self._whole(chunk)
+        runs = self._run_of.findall(lower)
+        if len(runs) == 1 and lower == chunk:
+            return self._run(lower)
+        return b"".join([self.table[run] for run in runs])
 
     def ids(self, text: str | None) -> bytes:
         if not text:
