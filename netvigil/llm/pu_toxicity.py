@@ -10,8 +10,8 @@ to estimate the class prior.
 
 Features are counted on whole texts. The model is fitted on the driver from at
 most ``positives`` toxic and ``unlabelled`` other texts (those with the smallest
-hash of their id), over at most ``vocabulary`` features; everything else covers
-all rows.
+hash of their id), over at most ``vocabulary`` features, which Spark counts and
+chooses among these texts; everything else covers all rows.
 
 Results of ``score`` (one row per row of the input):
 
@@ -26,14 +26,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netvigil.llm.common import batches_of, column_of, held_out, read_table
+from netvigil.llm.common import batches_of, column_of, held_out, kept, read_table
 
 POSITIVES, UNLABELLED, VOCABULARY = 4_000, 12_000, 5_000
 MODULUS, REMAINDER = 5, 0
@@ -70,32 +69,28 @@ class Model(NamedTuple):
         return float(1 / (1 + math.exp(-min(max(total, -30.0), 30.0))))
 
 
-def choose_features(texts: list[list[str]], toxic: np.ndarray, limit: int) -> dict[str, int]:
-    """The features that are most clearly more frequent among toxic texts than among the others."""
-    counts = [Counter(), Counter()]
-    for features, label in zip(texts, toxic):
-        counts[int(label)].update(features)
-    n_other, n_toxic = max(1, int((~toxic).sum())), max(1, int(toxic.sum()))
-    scored = []
-    for feature, own in counts[1].items():
-        if own >= LEAST_TOXIC:
-            other = counts[0][feature]
-            p = (own + other) / (n_toxic + n_other)
-            z = (own / n_toxic - other / n_other) / np.sqrt(p * (1 - p) * (1 / n_toxic + 1 / n_other) + 1e-12)
-            if z >= LEAST_Z:
-                scored.append((-z, feature))
-    return {feature: i for i, (_, feature) in enumerate(sorted(scored)[:limit])}
-
-
-def fit(texts: list[list[str]], toxic: np.ndarray, prior: float, vocabulary: int = VOCABULARY) -> Model:
-    """Non-negative positive-unlabelled learning with logistic loss and Adam steps."""
+def choose_features(featured: DataFrame, limit: int) -> list[str]:
+    """The features that are most clearly more frequent among toxic texts than among the others, at most ``limit``."""
+    sizes = featured.agg(F.sum("label").alias("toxic"), F.count("*").alias("all")).first()
+    n_toxic, n_other = max(1, sizes["toxic"] or 0), max(1, (sizes["all"] or 0) - (sizes["toxic"] or 0))
+    counts = featured.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.sum("label").alias("own"), F.sum(1 - F.col("label")).alias("other")).where(F.col("own") >= LEAST_TOXIC)
+    p = (F.col("own") + F.col("other")) / (n_toxic + n_other)
+    z = (F.col("own") / n_toxic - F.col("other") / n_other) / F.sqrt(p * (1 - p) * (1 / n_toxic + 1 / n_other) + 1e-12)
+    return [r["feature"] for r in counts.withColumn("z", z).where(F.col("z") >= LEAST_Z).orderBy(
+        F.desc("z"), "feature").limit(limit).collect()]
+
+
+def fit(texts: list[list[int]], toxic: np.ndarray, names: list[str], prior: float) -> Model:
+    """Non-negative positive-unlabelled learning with logistic loss and Adam steps.
+
+    ``texts`` has for each text the numbers of its features among ``names``.
+    """
     if not toxic.any():
         return Model(-60.0, {})
-    index = choose_features(texts, toxic, vocabulary)
-    columns = [np.array([index[f] for f in features if f in index], np.int64) for features in texts]
-    rows = np.repeat(np.arange(len(texts)), [len(c) for c in columns])
-    flat = np.concatenate(columns) if columns else np.empty(0, np.int64)
-    weights = np.zeros(len(index) + 1)
+    rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    flat = np.array([f for t in texts for f in t], np.int64)
+    weights = np.zeros(len(names) + 1)
     weights[-1] = np.log(prior / (1 - prior))
     moment, square = np.zeros_like(weights), np.zeros_like(weights)
     n_toxic, n_other = int(toxic.sum()), max(1, int((~toxic).sum()))
@@ -108,13 +103,13 @@ def fit(texts: list[list[str]], toxic: np.ndarray, prior: float, vocabulary: int
             slope = np.where(toxic, -prior * (1 - p) / n_toxic - prior * p / n_toxic, p / n_other)
         else:  # the estimate cannot be right: undo what made it negative
             slope = RETURN * np.where(toxic, prior * p / n_toxic, -p / n_other)
-        gradient = np.append(np.bincount(flat, slope[rows], len(index)), slope.sum())
+        gradient = np.append(np.bincount(flat, slope[rows], len(names)), slope.sum())
         gradient[:-1] += DECAY * weights[:-1]
         moment = 0.9 * moment + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
         weights -= RATE * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
         np.maximum(weights[:-1], 0, out=weights[:-1])  # a harmless word is no excuse for a toxic one
-    return Model(float(weights[-1]), {f: float(weights[i]) for f, i in index.items()})
+    return Model(float(weights[-1]), dict(zip(names, weights.tolist())))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -137,14 +132,24 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     rows = docs.join(F.broadcast(chosen), key == F.col("__nv_id"))
     schema = "label long, features array<string>"
 
-    def run(batches):
+    def measure(batches):
         for batch in batches:
             yield from batches_of([[(label, sorted({f for w in words_of(text) for f in word_features(w)}))
                                     for label, text in zip(*(c.to_pylist() for c in batch.columns))]], schema)
 
-    found = sorted((r["label"], r["features"]) for r in rows.select(  # at most positives + unlabelled rows
-        F.col("__nv_label").cast("long"), column_of(rows, text_column, "string")).mapInArrow(run, schema).collect())
-    return fit([f for _, f in found], np.array([bool(label) for label, _ in found], bool), prior, vocabulary)
+    featured = kept(rows.select(F.col("__nv_label").cast("long"), column_of(rows, text_column, "string")).mapInArrow(
+        measure, schema))
+    names = choose_features(featured, vocabulary)
+    index = {name: i for i, name in enumerate(names)}
+    numbers = "label long, numbers array<long>"
+
+    def number(batches):
+        for batch in batches:
+            yield from batches_of([[(label, [index[f] for f in features if f in index])
+                                    for label, features in zip(*(c.to_pylist() for c in batch.columns))]], numbers)
+
+    found = sorted((r["label"], r["numbers"]) for r in featured.mapInArrow(number, numbers).collect())  # a row per sampled text
+    return fit([f for _, f in found], np.array([bool(label) for label, _ in found], bool), names, prior)
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

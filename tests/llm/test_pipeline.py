@@ -84,7 +84,5 @@ def test_toxicity_of_odd_rows(spark):
 
 def test_risk_never_learns_unlabelled_toxic_by_heart():
     """Half of the unlabelled texts are toxic; with the right prior the model still finds them."""
-    toxic = [["bad"] for _ in range(100)]
-    other = [["bad"] for _ in range(100)] + [["good"] for _ in range(100)]
-    model = pu_toxicity.fit(toxic + other, np.array([True] * 100 + [False] * 200), prior=0.5)
+    model = pu_toxicity.fit([[0]] * 200 + [[1]] * 100, np.array([True] * 100 + [False] * 200), ["bad", "good"], prior=0.5)
     assert model.score("bad") > 0.5 > model.score("good")
