@@ -64,11 +64,11 @@ def main() -> None:
         "surge_windows": lambda: timeline.surge_windows(flows),
         "top_attacking_ips": lambda: hosts.top_attacking_ips(flows),
         "top_targeted_ips": lambda: hosts.top_targeted_ips(flows),
-        "crosstab": lambda: hosts.known_class_crosstab(flows),
+        "crosstab": lambda: hosts.ip_attack_crosstab(flows),
         "ip_risk_scores": lambda: risk.ip_risk_scores(flows),
         "blacklist_filter": lambda: hosts.exclude_listed(flows, materialize(registry.critical_sources(flows), "blacklist")),
         "geo_enriched": lambda: enrich.geo_enriched(scored()),
-        "mitigation_rules": lambda: enrich.mitigation_rules(flows.select("source_ip", "attack_type").distinct()),
+        "mitigation_rules": lambda: enrich.mitigation_rules(flows.select("source_ip", "attack_type").distinct(), registry.RULES),
         "rule_classifier": lambda: verdicts.rule_classifier(flows),
         "graph_summary": lambda: graph.graph_summary(graph.graph_degree(links())),
         "graph_edges": lambda: graph.graph_edges(flows),

@@ -12,12 +12,32 @@ def sum_name(metric: str) -> str:
     return f"{metric}_sum"
 
 
+PART_BITS = 21
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of longs that never overflows.
+
+    The three parts of 21 bits (the highest with the sign) are summed as longs, which keeps the hash aggregate and
+    has room for 2**42 rows, and joined at the end.
+    """
+    mask = F.lit(2**PART_BITS - 1).cast("long")
+    parts = [F.shiftright(value, 2 * PART_BITS), F.shiftright(value, PART_BITS).bitwiseAND(mask), value.bitwiseAND(mask)]
+    high, middle, low = (F.sum(part).cast("decimal(20,0)") for part in parts)
+    scale = F.lit(2**PART_BITS).cast("decimal(8,0)")
+    return ((high * scale + middle).cast("decimal(29,0)") * scale + low).cast("decimal(38,0)")
+
+
+def as_double(total: Column) -> Column:
+    return total.cast("double")
+
+
 class Measures:
     """Aggregate expressions over a flow table or over a rollup of one.
 
     A rollup has ``flow_count`` and ``<metric>_sum`` columns; every aggregate
     below gives the same value on it as on the flows it was built from. Sums
-    are exact longs, and a mean is one division at the end, so results do not
+    are exact and wide enough for any flows, and a mean is one division at the end, so results do not
     depend on the order in which partitions are merged.
     """
 
@@ -36,10 +56,13 @@ class Measures:
         return F.count_if(condition)
 
     def total(self, metric: str) -> Column:
-        return F.sum(sum_name(metric) if self.rolled else metric)
+        """Exact sum as decimal(38,0); ``as_double`` turns it into a number to divide."""
+        if self.rolled:
+            return F.sum(sum_name(metric)).cast("decimal(38,0)")
+        return exact_sum(F.col(metric))
 
     def mean(self, metric: str) -> Column:
-        return self.total(metric) / self.flows()
+        return as_double(self.total(metric)) / self.flows()
 
     def mean_of(self, value: Column) -> Column:
         """Mean of a per-flow expression over grouping columns of the rollup."""

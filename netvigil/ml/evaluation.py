@@ -27,6 +27,11 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
 
 
+def named(name: str, label: str) -> Column:
+    """The class name, or ``Unknown_<n>`` for a label without one."""
+    return F.coalesce(F.col(name), F.concat(F.lit("Unknown_"), F.col(label).cast("string"))).alias(name)
+
+
 def per_label(outcomes: DataFrame) -> DataFrame:
     """Support, precision, recall and F1 of every label that occurs."""
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0))
@@ -61,26 +66,36 @@ def overall_metrics(outcomes: DataFrame) -> DataFrame:
 
 
 def class_report(outcomes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Precision, recall and F1 per class name; classes that never occur get zeros."""
+    """Precision, recall and F1 per class name; classes that never occur get zeros, unknown labels a row each."""
     rated = per_label(outcomes)
     four = lambda name: F.round(F.coalesce(F.col(name), F.lit(0.0)), 4).alias(name)
-    return labels.join(rated, "label", "left").select(
-        "attack_type", F.coalesce("support", F.lit(0)).alias("support"),
+    return labels.join(rated, "label", "full").select(
+        named("attack_type", "label"), F.coalesce("support", F.lit(0)).alias("support"),
         four("precision"), four("recall"), four("f1_score"),
     )
 
 
 def confusion_matrix(outcomes: DataFrame, class_names: list[str]) -> DataFrame:
-    """Counts for every pair of (actual, predicted) class names, zeros included."""
+    """Counts for every pair of (actual, predicted) class names, zeros included.
+
+    Labels without a name, such as those of classes that were not in training,
+    add a row for each pair in which they occur, so the sum is the number of rows.
+    """
     names = list(enumerate(class_names))
     grid = inline_rows(
         outcomes.sparkSession,
         [(i, actual, j, predicted) for i, actual in names for j, predicted in names],
         "label int, actual string, prediction int, predicted string",
     )
-    return grid.join(outcomes, ["label", "prediction"], "left").select(
-        "actual", "predicted", F.coalesce("n", F.lit(0)).alias("n")
-    )
+    known = inline_rows(outcomes.sparkSession, names, "label int, name string")
+    cells = grid.join(outcomes, ["label", "prediction"], "full")
+    # A cell outside the grid has no names yet; each of its labels may still have one.
+    named_actual = cells.join(known.select("label", F.col("name").alias("actual_name")), "label", "left")
+    both = named_actual.join(
+        known.select(F.col("label").alias("prediction"), F.col("name").alias("predicted_name")), "prediction", "left")
+    return both.select(
+        named("actual_name", "label").alias("actual"), named("predicted_name", "prediction").alias("predicted"),
+        F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def model_metrics(outcomes_by_model: dict[str, DataFrame], seconds: dict[str, float]) -> DataFrame:

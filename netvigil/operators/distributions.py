@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netvigil.functions.measures import Measures
+from netvigil.functions.measures import Measures, as_double
 from netvigil.functions.scoring import is_attack, is_benign, severity_rank, severity_score
 
 GIB = 2**30
@@ -32,7 +32,7 @@ def attack_distribution(table: DataFrame) -> DataFrame:
         F.round(m.mean_of(severity_score()), 2).alias("avg_severity_score"),
         F.round(m.mean("flow_duration"), 2).alias("avg_flow_duration_ms"),
         F.round(m.mean("packet_length"), 2).alias("avg_packet_length"),
-        F.round(m.total("total_bytes") / GIB, 6).alias("total_bytes_gb"),
+        F.round(as_double(m.total("total_bytes")) / GIB, 6).alias("total_bytes_gb"),
     )
     return grouped.select(
         "attack_type", "total_flows", share_of_all("total_flows").alias("pct_share"),

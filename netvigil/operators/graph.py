@@ -7,12 +7,12 @@ attackers and a million targets takes two million rows, not a trillion.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netvigil.functions.measures import Measures
+from netvigil.functions.measures import Measures, as_double
 from netvigil.operators.distributions import GIB
-from netvigil.operators.hosts import attack_flows, broadcast_if_small
+from netvigil.operators.hosts import attack_flows
 from netvigil.session import materialize
 
 ADVERSARY, PIVOT, TARGET = "Adversary", "Pivot", "Target"
@@ -22,7 +22,7 @@ def graph_edges(table: DataFrame) -> DataFrame:
     """Weighted edges per (source, destination, class)."""
     m = Measures(table)
     return attack_flows(table).groupBy("source_ip", "destination_ip", "attack_type").agg(
-        m.flows().alias("flows"), F.round(m.total("total_bytes") / GIB, 6).alias("bytes_gb")
+        m.flows().alias("flows"), F.round(as_double(m.total("total_bytes")) / GIB, 6).alias("bytes_gb")
     )
 
 
@@ -53,22 +53,30 @@ def graph_degree(links: DataFrame) -> DataFrame:
     return degrees.withColumn("role", role)
 
 
+def walks() -> Column:
+    return F.col("in_degree").cast("double") * F.col("out_degree").cast("double")
+
+
 def graph_pivots(degree: DataFrame) -> DataFrame:
-    """Hosts that are attacked and attack others, with the number of two-hop paths over them."""
+    """Hosts that are attacked and attack others, with the number of two-hop walks over them.
+
+    A walk may use a self-loop or return to where it came from; ``lateral_paths`` has neither. The number is a
+    double, exact up to 2**53, so that no degrees overflow it.
+    """
     return degree.where((F.col("in_degree") > 0) & (F.col("out_degree") > 0)).select(
         "host", "in_degree", "out_degree",
-        (F.col("in_degree") * F.col("out_degree")).alias("two_hop_paths"),
+        walks().alias("two_hop_walks"),
     )
 
 
 def graph_summary(degree: DataFrame) -> DataFrame:
-    """Vertices, links, pivots, two-hop paths and the depth reached (at most 2)."""
+    """Vertices, links, pivots, two-hop walks and the depth reached (at most 2)."""
     pivot = (F.col("in_degree") > 0) & (F.col("out_degree") > 0)
     totals = degree.agg(
         F.count(F.lit(1)).alias("vertices"),
         F.coalesce(F.sum("out_degree"), F.lit(0)).alias("edges"),
         F.count_if(pivot).alias("pivots"),
-        F.coalesce(F.sum(F.col("in_degree") * F.col("out_degree")), F.lit(0)).alias("two_hop_paths"),
+        F.coalesce(F.sum(walks()), F.lit(0.0)).alias("two_hop_walks"),
     )
     depth = F.when(F.col("pivots") > 0, 2).when(F.col("edges") > 0, 1).otherwise(0)
     return totals.withColumn("max_depth", depth)
@@ -121,17 +129,14 @@ def lateral_hops(links: DataFrame, degree: DataFrame) -> DataFrame:
     return hops.join(pivots, "pivot", "left_semi")
 
 
-def lateral_paths(links: DataFrame, adversaries: int = 5) -> DataFrame:
-    """Two-hop paths source -> pivot -> asset of the busiest adversaries, written out.
+def lateral_paths(links: DataFrame, sources: list[str]) -> DataFrame:
+    """All two-hop paths source -> pivot -> asset of the named sources, written out.
 
-    An adversary meets each link of a pivot at most once, so the result grows
-    with the links, times the small number of adversaries. Hosts never repeat
-    within a path.
+    A source meets each link of a pivot at most once, so the result grows with
+    the links, times the number of sources named. Hosts never repeat within a
+    path. ``lateral_hops`` has the paths of all sources in factored form.
     """
-    busiest = links.groupBy("source_ip").agg(F.sum("flows").alias("total")).orderBy(
-        F.desc("total"), "source_ip"
-    ).limit(adversaries).select("source_ip")
-    first = links.join(broadcast_if_small(busiest, adversaries), "source_ip", "left_semi").select(
+    first = links.where(F.col("source_ip").isin(sources)).select(
         "source_ip", F.col("destination_ip").alias("pivot"), F.col("flows").alias("ingress_flows")
     )
     second = links.select(

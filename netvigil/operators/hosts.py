@@ -2,29 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netvigil.functions.measures import Measures
+from netvigil.functions.measures import Measures, as_double
 from netvigil.functions.scoring import is_attack
 from netvigil.schema import ATTACK_CLASSES
 
 MIB = 2**20
 
-# A top-N list is only broadcast when N itself bounds it to a small table.
-BROADCAST_ROWS = 10_000
-MAX_CLASS_COLUMNS = 10_000
-
 
 def attack_flows(table: DataFrame) -> DataFrame:
     return table.where(is_attack())
 
 
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Mark a frame of at most ``rows`` rows for broadcast; larger ones are left to the optimizer."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def leading_class(table: DataFrame) -> DataFrame:
     """Attack totals of every source and the class it uses most (ties: first name).
 
@@ -53,9 +44,9 @@ def top_attacking_ips(table: DataFrame, n: int = 50) -> DataFrame:
     return leading_class(table).select(
         "source_ip",
         F.col("attack_flows").alias("attack_flow_count"),
-        F.round(F.col("bytes") / MIB, 4).alias("total_bytes_sent_mb"),
+        F.round(as_double(F.col("bytes")) / MIB, 4).alias("total_bytes_sent_mb"),
         F.col("classes").alias("unique_attack_types"),
-        F.round(F.col("length") / F.col("attack_flows"), 2).alias("avg_packet_length"),
+        F.round(as_double(F.col("length")) / F.col("attack_flows"), 2).alias("avg_packet_length"),
         "top_attack_type",
     ).orderBy(F.desc("attack_flow_count"), "source_ip").limit(n)
 
@@ -78,50 +69,41 @@ def with_modal_type(per_source: DataFrame, modal: DataFrame) -> DataFrame:
 def top_targeted_ips(table: DataFrame, n: int = 50) -> DataFrame:
     """The ``n`` destinations with most attack flows, their attackers and classes."""
     m = Measures(table)
-    return attack_flows(table).groupBy("destination_ip").agg(
-        m.flows().alias("attack_flow_count"),
-        F.count_distinct("source_ip").alias("unique_attackers"),
-        F.count_distinct("attack_type").alias("unique_attack_types"),
-        F.round(m.total("total_bytes") / MIB, 4).alias("total_bytes_received_mb"),
+    parts = attack_flows(table).groupBy("destination_ip", "source_ip", "attack_type").agg(
+        m.flows().alias("n"), m.total("total_bytes").alias("bytes"))
+    # Summed per attacker first, which spreads a hot destination; classes travel along as a set of few names.
+    per_attacker = parts.groupBy("destination_ip", "source_ip").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    attackers = per_attacker.groupBy("destination_ip").agg(
+        F.sum("n").alias("attack_flow_count"), F.count("source_ip").alias("unique_attackers"), F.sum("bytes").alias("bytes"))
+    per_class = parts.groupBy("destination_ip", "attack_type").agg(F.sum("n").alias("n"))
+    classes = per_class.groupBy("destination_ip").agg(F.count("attack_type").alias("unique_attack_types"))
+    return attackers.join(classes, "destination_ip").select(
+        "destination_ip", "attack_flow_count", "unique_attackers", "unique_attack_types",
+        F.round(as_double(F.col("bytes")) / MIB, 4).alias("total_bytes_received_mb"),
     ).orderBy(F.desc("attack_flow_count"), "destination_ip").limit(n)
 
 
-def ip_attack_crosstab(
-    table: DataFrame, top_ips: int = 20, classes: list[str] | None = None
-) -> DataFrame:
-    """Attack counts per class for the ``top_ips`` busiest attackers, zeros filled.
+def ip_attack_crosstab(table: DataFrame, top_ips: int = 20) -> DataFrame:
+    """Attack flows per source and class for the ``top_ips`` busiest attackers, in long form.
 
-    The counts are conditional sums, so one pass yields totals and columns.
-    Without ``classes`` the columns are the classes these attackers used, which
-    takes one query beforehand.
+    Whatever classes occur are there, so their number needs no limit.
     """
-    if classes is None:
-        classes = classes_of_busiest(table, top_ips)
-    m = Measures(table)
-    counted = attack_flows(table).groupBy("source_ip").agg(
-        m.flows().alias("total"),
-        *[m.flows_where(F.col("attack_type") == name).alias(name) for name in classes],
-    )
-    busiest = counted.orderBy(F.desc("total"), "source_ip").limit(top_ips)
-    return busiest.select("source_ip", *[F.col(f"`{name}`") for name in classes]).orderBy("source_ip")
-
-
-def classes_of_busiest(table: DataFrame, top_ips: int) -> list[str]:
-    """Sorted class names used by the busiest attackers; they become columns, so their number is limited."""
     m = Measures(table)
-    per_class = attack_flows(table).groupBy("source_ip", "attack_type").agg(m.flows().alias("n"))
-    busiest = per_class.groupBy("source_ip").agg(F.sum("n").alias("total")).orderBy(
+    per_class = attack_flows(table).groupBy("source_ip", "attack_type").agg(m.flows().alias("flows"))
+    busiest = per_class.groupBy("source_ip").agg(F.sum("flows").alias("total")).orderBy(
         F.desc("total"), "source_ip"
     ).limit(top_ips).select("source_ip")
-    used = per_class.join(broadcast_if_small(busiest, top_ips), "source_ip", "left_semi").select("attack_type")
-    names = [row["attack_type"] for row in used.distinct().limit(MAX_CLASS_COLUMNS + 1).collect()]
-    if len(names) > MAX_CLASS_COLUMNS:
-        raise ValueError(f"more than {MAX_CLASS_COLUMNS} attack classes; pass the wanted ones")
-    return sorted(names)
+    return per_class.join(busiest, "source_ip", "left_semi")
+
 
+def crosstab_columns(crosstab: DataFrame, classes: list[str] = ATTACK_CLASSES) -> DataFrame:
+    """The long crosstab with a column per named class, zeros filled; all other classes add up in ``Other``."""
+    def where(condition) -> Column:
+        return F.sum(F.when(condition, F.col("flows")).otherwise(F.lit(0)))
 
-def known_class_crosstab(table: DataFrame, top_ips: int = 20) -> DataFrame:
-    return ip_attack_crosstab(table, top_ips, ATTACK_CLASSES)
+    known = F.coalesce(F.col("attack_type").isin(classes), F.lit(False))
+    return crosstab.groupBy("source_ip").agg(
+        *[where(F.col("attack_type") == name).alias(name) for name in classes], where(~known).alias("Other"))
 
 
 def exclude_listed(table: DataFrame, blacklist: DataFrame) -> DataFrame:

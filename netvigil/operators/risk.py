@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netvigil.functions.measures import Measures
+from netvigil.functions.measures import Measures, as_double
 from netvigil.functions.scoring import attack_weight, is_attack, risk_score, risk_tier, tier_action
 
 
@@ -45,13 +45,19 @@ def ip_risk_scores(table: DataFrame, ordered: bool = True) -> DataFrame:
 def ip_risk_signals(table: DataFrame) -> DataFrame:
     """The signals behind the score, with class diversity and mean flow size."""
     m = Measures(table)
-    return table.groupBy("source_ip").agg(
-        m.flows().alias("total_flows"),
-        m.flows_where(is_attack()).alias("attack_count"),
-        F.count_distinct("destination_ip").alias("unique_destinations"),
-        F.count_distinct("attack_type").alias("unique_attack_types"),
-        F.max(attack_weight()).alias("max_severity_weight"),
-        F.round(m.mean("total_bytes"), 2).alias("avg_bytes_per_flow"),
+    parts = table.groupBy("source_ip", "destination_ip", "attack_type").agg(
+        m.flows().alias("n"), m.total("total_bytes").alias("bytes"))
+    pairs = parts.groupBy("source_ip", "destination_ip").agg(
+        F.sum("n").alias("n"), F.sum("bytes").alias("bytes"),
+        F.sum(F.when(is_attack(), F.col("n")).otherwise(F.lit(0))).alias("attacks"))
+    hosts = pairs.groupBy("source_ip").agg(
+        F.sum("n").alias("total_flows"), F.sum("attacks").alias("attack_count"),
+        F.count("destination_ip").alias("unique_destinations"), F.sum("bytes").alias("bytes"))
+    classes = parts.groupBy("source_ip", "attack_type").agg(F.sum("n").alias("n")).groupBy("source_ip").agg(
+        F.count("attack_type").alias("unique_attack_types"), F.max(attack_weight()).alias("max_severity_weight"))
+    return hosts.join(classes, "source_ip").select(
+        "source_ip", "total_flows", "attack_count", "unique_destinations", "unique_attack_types", "max_severity_weight",
+        F.round(as_double(F.col("bytes")) / F.col("total_flows"), 2).alias("avg_bytes_per_flow"),
     )
 
 
@@ -74,6 +80,6 @@ def risk_bounds(risk: DataFrame) -> DataFrame:
     )
 
 
-def reputation_export(risk: DataFrame, cap: int = 500) -> DataFrame:
-    """The ``cap`` riskiest sources, stamped with the time of the export."""
-    return top_risk_actors(risk, cap).withColumn("updated_at", F.current_timestamp())
+def reputation_export(risk: DataFrame) -> DataFrame:
+    """All sources, stamped with the time of the export."""
+    return risk.withColumn("updated_at", F.current_timestamp())

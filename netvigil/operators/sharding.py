@@ -21,13 +21,30 @@ def partition_balance(flows: DataFrame, shards: int = 2) -> DataFrame:
     return sized.select("shard", "documents", share_of_all("documents", 1).alias("pct")).orderBy("shard")
 
 
-def write_sharded(flows: DataFrame, path: str, shards: int, writers_per_shard: int = 8) -> None:
+def write_sharded(flows: DataFrame, path: str, shards: int, writers_per_shard: int | None = None) -> None:
     """Write one folder per shard.
 
+    Without ``writers_per_shard`` the session's shuffle partitions are shared out among the shards.
+
     All records of a source land in its shard, but each shard is written by
     several tasks, so a source that holds most of the records does not end up
     in a single writer.
     """
+    if writers_per_shard is None:
+        writers_per_shard = max(1, int(flows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
     spread = F.pmod(F.xxhash64("destination_ip", "timestamp", "total_bytes"), F.lit(writers_per_shard))
     placed = flows.withColumn("shard", shard_of(F.col("source_ip"), shards))
     placed.repartition(shards * writers_per_shard, "shard", spread).write.partitionBy("shard").parquet(path)
+
+
+def write_bucketed(flows: DataFrame, table: str, path: str, buckets: int | None = None) -> DataFrame:
+    """A table bucketed by source address: later joins and aggregates on the source need no shuffle.
+
+    A bucket holds all records of its sources, so a dominant source makes a
+    large bucket; for such logs ``write_sharded`` spreads the writers.
+    """
+    spark = flows.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    flows.repartition(buckets, "source_ip").write.bucketBy(buckets, "source_ip").sortBy("source_ip").mode(
+        "overwrite").option("path", path).saveAsTable(table)
+    return spark.table(table)

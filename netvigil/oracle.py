@@ -31,8 +31,8 @@ f AS (SELECT event_id,
 raw AS (SELECT * EXCLUDE (event_id) FROM f UNION ALL SELECT * EXCLUDE (event_id) FROM f WHERE event_id % 50 = 0),
 typed AS (SELECT try_strptime(timestamp, '%Y-%m-%d %H:%M:%S') AS ts,
   trim(source_ip) AS source_ip, trim(destination_ip) AS destination_ip, upper(trim(protocol)) AS protocol,
-  try_cast(flow_duration AS BIGINT) AS flow_duration, try_cast(packet_length AS BIGINT) AS packet_length,
-  try_cast(total_bytes AS BIGINT) AS total_bytes, try_cast(packet_count AS BIGINT) AS packet_count,
+  coalesce(try_cast(flow_duration AS BIGINT), try_cast(trunc(try_cast(flow_duration AS DOUBLE)) AS BIGINT)) AS flow_duration, coalesce(try_cast(packet_length AS BIGINT), try_cast(trunc(try_cast(packet_length AS DOUBLE)) AS BIGINT)) AS packet_length,
+  coalesce(try_cast(total_bytes AS BIGINT), try_cast(trunc(try_cast(total_bytes AS DOUBLE)) AS BIGINT)) AS total_bytes, coalesce(try_cast(packet_count AS BIGINT), try_cast(trunc(try_cast(packet_count AS DOUBLE)) AS BIGINT)) AS packet_count,
   trim(attack_type) AS attack_type, trim(severity) AS severity FROM raw),
 valid AS (SELECT * FROM typed WHERE source_ip <> '' AND destination_ip <> '' AND attack_type <> ''
   AND flow_duration >= 0 AND packet_length >= 0 AND total_bytes >= 0 AND packet_count >= 0),
@@ -68,6 +68,8 @@ _PARTS = {
     "attackers": """attackers AS (SELECT source_ip, count(*) AS attack_flow_count,
   round(sum(total_bytes) / 1048576, 4) AS total_bytes_sent_mb, count(DISTINCT attack_type) AS unique_attack_types,
   round(sum(packet_length) / count(*), 2) AS avg_packet_length FROM attacks GROUP BY source_ip)""",
+    "crosstab": """crosstab AS (SELECT source_ip, attack_type, count(*) AS flows FROM attacks
+  WHERE source_ip IN (SELECT source_ip FROM attackers ORDER BY attack_flow_count DESC, source_ip LIMIT 20) GROUP BY 1, 2)""",
     "top50": """top50 AS (SELECT a.*, m.top_attack_type FROM attackers a LEFT JOIN modal m USING (source_ip)
   ORDER BY attack_flow_count DESC, source_ip LIMIT 50)""",
     "targets50": """targets50 AS (SELECT destination_ip, count(*) AS attack_flow_count,
@@ -109,12 +111,28 @@ indexed AS (SELECT flows.*, CAST(protocol_index AS DOUBLE) AS protocol_index, CA
     "split": """bucketed AS (SELECT *, concat_ws('|', strftime(timestamp, '%Y-%m-%d %H:%M:%S'), source_ip, destination_ip, protocol,
   CAST(flow_duration AS VARCHAR), CAST(total_bytes AS VARCHAR), '42') AS split_key FROM flows),
 splits AS (SELECT * EXCLUDE (split_key), CAST({MOD:split_key:100} AS INT) AS split_bucket FROM bucketed)""",
-    "technique": """technique(attack_key, tactic, technique_id, technique_name, recommended_containment) AS (VALUES
-  ('PortScan', 'Reconnaissance / Discovery', 'T1046', 'Network Service Discovery', 'TCP SYN Cookie Enforcement & IP Rate-Limiting'),
-  ('DDoS', 'Impact', 'T1498', 'Network Denial of Service', 'BGP Flowspec Null-Route & Anycast Edge Blackhole'),
-  ('BruteForce', 'Credential Access', 'T1110', 'Brute Force / Password Spraying', 'Host Credential Quarantine & Stateful Session Reset'),
-  ('Botnet', 'Command and Control / Execution', 'T1584', 'Compromise Infrastructure / C2 Channel', 'DNS Sinkholing, C2 Quarantine & BGP Edge Blacklist'),
-  ('BENIGN', 'Legitimate Traffic', 'T0000', 'Standard Enterprise Protocol', 'Standard Routing - Whitelisted in SOC Gateway'))""",
+    "technique": """technique(attack_key, tactic, technique_id, technique_name, tactical_description, detection_signature,
+  recommended_containment) AS (VALUES
+  ('PortScan', 'Reconnaissance / Discovery', 'T1046', 'Network Service Discovery',
+   'Adversary actively probes network ports to establish reachable listening services prior to targeted exploitation.',
+   'Threshold surge of TCP SYN packets with sequential dest_port cycling within < 15ms windows.',
+   'TCP SYN Cookie Enforcement & IP Rate-Limiting'),
+  ('DDoS', 'Impact', 'T1498', 'Network Denial of Service',
+   'Volumetric amplification targeting bandwidth and router state tables to degrade infrastructure availability.',
+   'Abnormal UDP/ICMP byte surges (> 2.5 MB/flow) coupled with high packet density.',
+   'BGP Flowspec Null-Route & Anycast Edge Blackhole'),
+  ('BruteForce', 'Credential Access', 'T1110', 'Brute Force / Password Spraying',
+   'Repetitive authentication attempts targeting administrative remote services (SSH, RDP, HTTPS portal).',
+   'Long session flow duration with high packet count and small asymmetric response frames.',
+   'Host Credential Quarantine & Stateful Session Reset'),
+  ('Botnet', 'Command and Control / Execution', 'T1584', 'Compromise Infrastructure / C2 Channel',
+   'Coordinated zombie node establishing encrypted or DNS-covert beacons to command and control infrastructure.',
+   'Intermittent periodic beaconing cycles and known malicious ASN autonomous cluster signatures.',
+   'DNS Sinkholing, C2 Quarantine & BGP Edge Blacklist'),
+  ('BENIGN', 'Legitimate Traffic', 'T0000', 'Standard Enterprise Protocol',
+   'Verified regular operational telemetry complying with standard baseline network profile.',
+   'Balanced packet length, verified handshake completion, and nominal duration.',
+   'Standard Routing - Whitelisted in SOC Gateway'))""",
     "place": """place(bucket, country, country_code, city, lat, lon, asn) AS (VALUES
   (0, 'United States', 'USA', 'Ashburn, VA', 39.0438::DOUBLE, -77.4874::DOUBLE, 'AS16509 Amazon AWS'),
   (1, 'China', 'CHN', 'Shenzhen', 22.5431, 114.0579, 'AS4134 Chinanet'),
@@ -126,8 +144,7 @@ splits AS (SELECT * EXCLUDE (split_key), CAST({MOD:split_key:100} AS INT) AS spl
   (7, 'United Kingdom', 'GBR', 'London', 51.5074, -0.1278, 'AS5413 British Telecom'),
   (8, 'Japan', 'JPN', 'Tokyo', 35.6762, 139.6503, 'AS2516 KDDI Corp'),
   (9, 'South Korea', 'KOR', 'Seoul', 37.5665, 126.9780, 'AS9318 SK Broadband'))""",
-    "geo": """actors AS (SELECT *, {MOD:source_ip:70000} AS h FROM (SELECT * FROM risk
-  ORDER BY risk_score DESC, attack_count DESC, source_ip LIMIT 60)),
+    "geo": """actors AS (SELECT *, {MOD:source_ip:70000} AS h FROM risk),
 geo AS (SELECT source_ip, country, country_code, city, asn,
   round(lat + (h % 100 - 50) * 0.03::DOUBLE, 4) AS latitude, round(lon + (h // 100 % 100 - 50) * 0.03::DOUBLE, 4) AS longitude,
   CASE h // 10 % 4 WHEN 0 THEN 'DDoS' WHEN 1 THEN 'PortScan' WHEN 2 THEN 'BruteForce' ELSE 'Botnet' END AS attack_type,
@@ -147,7 +164,7 @@ facts(predicted_attack, confidence, tier, action) AS (VALUES
 
 # What each block builds on.
 _NEEDS = {
-    "modal": ["attacks"], "attackers": ["attacks"], "top50": ["attackers", "modal"],
+    "modal": ["attacks"], "attackers": ["attacks"], "top50": ["attackers", "modal"], "crosstab": ["attackers"],
     "targets50": ["attacks"], "risk": ["signals"], "links": ["attacks"], "edges": ["attacks"],
     "degree": ["links"], "geo": ["risk", "place"],
 }
@@ -195,70 +212,20 @@ def _counts(named: dict[str, str]) -> str:
 
 
 _RULE_TEXT = """
-SELECT source_ip, attack_type,
-  CASE attack_type
-    WHEN 'PortScan' THEN 'nft add rule inet filter input ip saddr ' || source_ip || ' tcp flags syn limit rate over 1/second drop'
-    WHEN 'BruteForce' THEN 'nft add rule inet filter input ip saddr ' || source_ip || ' tcp dport { 22, 443, 3389 } drop'
-    WHEN 'Botnet' THEN 'nft insert rule inet filter forward ip saddr ' || source_ip || ' reject with icmp type admin-prohibited'
-    WHEN 'BENIGN' THEN 'nft add rule inet filter input ip saddr ' || source_ip || ' accept'
-    ELSE 'nft insert rule inet filter input ip saddr ' || source_ip || ' drop' END AS firewall_rule,
-  CASE attack_type
-    WHEN 'PortScan' THEN 'alert tcp ' || source_ip || ' any -> $HOME_NET any (msg:"port sweep from ' || source_ip || '"; flags:S; sid:9001046; rev:1;)'
-    WHEN 'BruteForce' THEN 'alert tcp ' || source_ip || ' any -> $HOME_NET [22,3389] (msg:"repeated logins from ' || source_ip || '"; sid:9001110; rev:1;)'
-    WHEN 'Botnet' THEN 'alert ip ' || source_ip || ' any -> any any (msg:"beaconing from ' || source_ip || '"; sid:9001584; rev:1;)'
-    WHEN 'BENIGN' THEN 'pass ip ' || source_ip || ' any -> $HOME_NET any (sid:9000000; rev:1;)'
-    ELSE 'alert ip ' || source_ip || ' any -> $HOME_NET any (msg:"volumetric flood from ' || source_ip || '"; sid:9001498; rev:1;)' END AS ids_rule,
-  CASE attack_type
-    WHEN 'PortScan' THEN 'route scan-' || substr(md5(source_ip), 1, 6) || ' { match source ' || source_ip || '/32; protocol tcp; } then discard'
-    WHEN 'BruteForce' THEN 'route login-' || substr(md5(source_ip), 1, 6) || ' { match source ' || source_ip || '/32; port 22 3389; } then rate-limit 64k'
-    WHEN 'Botnet' THEN 'route sinkhole-' || substr(md5(source_ip), 1, 6) || ' { match source ' || source_ip || '/32; } then redirect 65000:666'
-    WHEN 'BENIGN' THEN '# ' || source_ip || ': no routing change'
-    ELSE 'route flood-' || substr(md5(source_ip), 1, 6) || ' { match source ' || source_ip || '/32; } then discard' END AS bgp_rule
-FROM (SELECT DISTINCT source_ip, attack_type FROM flows)
+SELECT source_ip, attack_type, concat(name, ' firewall rule for ', source_ip) AS firewall_rule,
+  concat(name, ' detection rule for ', source_ip) AS ids_rule,
+  concat(name, ' route ', substr(md5(source_ip), 1, 6), ' for ', source_ip) AS bgp_rule
+FROM (SELECT DISTINCT source_ip, attack_type,
+  CASE WHEN attack_type IN ('PortScan', 'DDoS', 'BruteForce', 'Botnet', 'BENIGN') THEN attack_type ELSE 'DDoS' END AS name FROM flows)
 """
 
-_SYNTHETIC = """
-WITH r AS (SELECT event_id AS row, {D0} % 100 AS class_draw, {D1} % 100 AS pool, {D2} AS member, {D3} % 30 AS server,
-  {D4} AS u4, {D5} AS u5, {D6} AS u6, {D7} AS u7, {D8} AS u8, {D9} % 96 AS jitter FROM events),
-c AS (SELECT *, CASE WHEN class_draw < 40 THEN 'BENIGN' WHEN class_draw < 65 THEN 'DDoS' WHEN class_draw < 80 THEN 'PortScan'
-  WHEN class_draw < 90 THEN 'BruteForce' ELSE 'Botnet' END AS attack_type FROM r),
-p AS (SELECT *, CASE WHEN attack_type = 'BENIGN' THEN 'client'
-  WHEN pool < CASE attack_type WHEN 'DDoS' THEN 70 WHEN 'PortScan' THEN 60 WHEN 'BruteForce' THEN 50 ELSE 100 END THEN 'persistent'
-  ELSE 'occasional' END AS kind FROM c),
-i AS (SELECT *, CASE kind WHEN 'client' THEN member % 1500 WHEN 'persistent' THEN member % 100 ELSE member % 300 END AS m FROM p),
-v AS (SELECT *,
-  CASE attack_type WHEN 'BENIGN' THEN u5 % 785001 + 15000 WHEN 'DDoS' THEN u5 % 49501 + 500 WHEN 'PortScan' THEN u5 % 4901 + 100
-    WHEN 'BruteForce' THEN u5 % 1150001 + 50000 ELSE u5 % 2900001 + 100000 END AS duration,
-  CASE attack_type WHEN 'BENIGN' THEN u6 % 146 + 5 WHEN 'DDoS' THEN u6 % 9501 + 500 WHEN 'PortScan' THEN u6 % 5 + 1
-    WHEN 'BruteForce' THEN u6 % 551 + 50 ELSE u6 % 381 + 20 END AS packets,
-  CASE attack_type WHEN 'BENIGN' THEN u7 % 1301 + 200 WHEN 'DDoS' THEN u7 % 449 + 64 WHEN 'PortScan' THEN u7 % 25 + 40
-    WHEN 'BruteForce' THEN u7 % 701 + 100 ELSE u7 % 1051 + 150 END AS length FROM i)
-SELECT strftime(TIMESTAMP '2026-08-26 10:00:00' + to_seconds((row * 105 + jitter) // 1000), '%Y-%m-%d %H:%M:%S') AS timestamp,
-  CASE kind
-    WHEN 'client' THEN CASE WHEN m < 500 THEN concat('10.0.', m % 20 + 1, '.', m * 37 % 254 + 1)
-      WHEN m < 1000 THEN concat('172.16.', m % 10 + 1, '.', m * 37 % 254 + 1) ELSE concat('192.168.100.', m * 37 % 254 + 1) END
-    WHEN 'persistent' THEN CASE WHEN m < 50 THEN concat('192.168.1.', m + 10)
-      WHEN m < 80 THEN concat('45.33.', m * 37 % 254 + 1, '.', m * 101 % 254 + 1) ELSE concat('185.220.101.', m - 79) END
-    ELSE concat(m * 53 % 210 + 11, '.', m * 37 % 254 + 1, '.', m * 101 % 254 + 1, '.', m * 151 % 254 + 1) END AS source_ip,
-  CASE WHEN server < 20 THEN concat('10.0.0.', server + 1) ELSE concat('172.16.1.', server - 19) END AS destination_ip,
-  CASE attack_type WHEN 'BENIGN' THEN CASE u4 % 3 WHEN 2 THEN 'UDP' ELSE 'TCP' END
-    WHEN 'DDoS' THEN CASE u4 % 2 WHEN 0 THEN 'TCP' ELSE 'UDP' END
-    WHEN 'Botnet' THEN CASE u4 % 3 WHEN 0 THEN 'TCP' WHEN 1 THEN 'UDP' ELSE 'ICMP' END ELSE 'TCP' END AS protocol,
-  CAST(duration AS VARCHAR) AS flow_duration, CAST(length AS VARCHAR) AS packet_length,
-  CAST(packets * length AS VARCHAR) AS total_bytes, CAST(packets AS VARCHAR) AS packet_count, attack_type,
-  CASE attack_type WHEN 'BENIGN' THEN 'Low' WHEN 'PortScan' THEN CASE u8 % 2 WHEN 0 THEN 'Low' ELSE 'Medium' END
-    WHEN 'BruteForce' THEN CASE u8 % 2 WHEN 0 THEN 'Medium' ELSE 'High' END
-    ELSE CASE u8 % 2 WHEN 0 THEN 'High' ELSE 'Critical' END END AS severity
-FROM v
-"""
-
-
-def _synthetic() -> str:
-    text = _SYNTHETIC
-    for i in range(10):
-        row = f"concat('42:', CAST(event_id AS VARCHAR), ':{i // 4}')"
-        text = text.replace(f"{{D{i}}}", md5_chunk(row, i % 4))
-    return text.strip()
+# Outcomes of the threshold classifier, and its rates per class.
+_RULE_RATES = """oc AS (SELECT attack_type AS actual, predicted_attack AS predicted, count(*) AS n FROM verdicts GROUP BY 1, 2),
+sums AS (SELECT attack_type, coalesce((SELECT sum(n) FROM oc WHERE actual = attack_type), 0) AS support,
+  coalesce((SELECT sum(n) FROM oc WHERE predicted = attack_type), 0) AS predicted,
+  coalesce((SELECT sum(n) FROM oc WHERE predicted = attack_type AND actual = attack_type), 0) AS hits FROM label_rank),
+rates AS (SELECT *, coalesce(hits / nullif(predicted, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r FROM sums),
+rated AS (SELECT *, coalesce(2 * p * r / nullif(p + r, 0), 0) AS f FROM rates)"""
 
 
 _EIGHT = {
@@ -266,8 +233,8 @@ _EIGHT = {
     "severity_stats": "sev", "ip_threat_frequency": "top50", "top_targeted_ips": "targets50",
     "timeline_stats": "hourly", "ip_reputation": "risk",
 }
-_EIGHT_PARTS = ("dist", "hourly", "sev", "top50", "targets50", "risk")
-_SAMPLE = "(SELECT * FROM flows ORDER BY timestamp, source_ip, destination_ip, protocol, flow_duration, total_bytes LIMIT 500)"
+_EIGHT_PARTS = ("dist", "hourly", "sev", "top50", "crosstab", "targets50", "risk")
+_PREVIEW = "(SELECT * FROM flows ORDER BY timestamp, source_ip, destination_ip, protocol, flow_duration, total_bytes LIMIT 500)"
 _DAYS = "['Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday'][day_of_week]"
 _TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
            "benchmark labels conversations").split()
@@ -319,14 +286,14 @@ def oracle_sql() -> dict[str, str]:
         for c in ("flow_duration", "packet_length", "total_bytes", "packet_count", "hour", "day_of_week",
                   "protocol_index", "severity_index"))
     collection_counts = _counts(_EIGHT)
-    manifest_counts = _counts(_EIGHT | {"predictions": _SAMPLE, "model_metrics": "(SELECT 1)"}).format(key="collection", n="documents")
+    manifest_counts = _counts(_EIGHT | {"predictions": "flows", "model_metrics": "(SELECT 1)"}).format(key="collection", n="documents")
     outputs = {
         "attack_distribution.parquet": "dist", "protocol_distribution.parquet": "(SELECT DISTINCT protocol FROM flows)",
         "hourly_attack_intensity.parquet": "hourly", "severity_distribution.parquet": "sev",
         "network_timeline_hourly.parquet": "hourly", "network_timeline_daily.parquet": "(SELECT DISTINCT day_of_week FROM flows)",
         "attack_surge_windows.parquet": "(SELECT DISTINCT coalesce(hour, 23) // 6 FROM flows)",
         "top_attacking_ips.parquet": "top50", "top_targeted_ips.parquet": "targets50",
-        "ip_attack_crosstab.parquet": "(SELECT * FROM attackers ORDER BY attack_flow_count DESC, source_ip LIMIT 20)",
+        "ip_attack_crosstab.parquet": "crosstab",
         "ip_risk_scores.parquet": "risk", "total_records_analysed": "flows",
     }
     stream_incidents = f"""SELECT source_ip, coalesce(t.technique_id, 'T1498') AS technique_id, 'Hard Drop & BGP Null-Route' AS action_taken,
@@ -335,15 +302,14 @@ def oracle_sql() -> dict[str, str]:
         # sources
         "raw_flow_scan": s(_RAW_NULLS),
         "document_load": s("""SELECT timestamp, nullif(source_ip, '') AS source_ip, destination_ip, protocol,
-  try_cast(flow_duration AS BIGINT) AS flow_duration, try_cast(packet_length AS BIGINT) AS packet_length,
-  try_cast(total_bytes AS BIGINT) AS total_bytes, try_cast(packet_count AS BIGINT) AS packet_count, attack_type, severity FROM raw"""),
+  coalesce(try_cast(flow_duration AS BIGINT), try_cast(trunc(try_cast(flow_duration AS DOUBLE)) AS BIGINT)) AS flow_duration, coalesce(try_cast(packet_length AS BIGINT), try_cast(trunc(try_cast(packet_length AS DOUBLE)) AS BIGINT)) AS packet_length,
+  coalesce(try_cast(total_bytes AS BIGINT), try_cast(trunc(try_cast(total_bytes AS DOUBLE)) AS BIGINT)) AS total_bytes, coalesce(try_cast(packet_count AS BIGINT), try_cast(trunc(try_cast(packet_count AS DOUBLE)) AS BIGINT)) AS packet_count, attack_type, severity FROM raw"""),
         "inline_rows": s("""SELECT i.event_id, i.protocol, i.attack_type, count(f.source_ip) AS flows
 FROM (VALUES (1::BIGINT, 'TCP', 'BENIGN'), (2, 'UDP', 'DDoS'), (3, 'ICMP', 'PortScan')) i(event_id, protocol, attack_type)
 LEFT JOIN flows f ON f.protocol = i.protocol AND f.attack_type = i.attack_type GROUP BY 1, 2, 3"""),
         "serving_read": s(*distribution),
         "table_counts": _table_counts(),
         "distributed_sum": "SELECT count(*) AS items, CAST(sum(event_id) AS BIGINT) AS total FROM events",
-        "synthetic_flows": _synthetic(),
         # cleaning
         "typed_flows": s("SELECT * EXCLUDE (ts), ts AS timestamp FROM typed"),
         "valid_flows": s("SELECT * EXCLUDE (ts), ts AS timestamp FROM valid"),
@@ -385,10 +351,12 @@ FROM flows GROUP BY protocol"""),
         "attackers_with_modal_type": s("""SELECT source_ip, attack_count, m.top_attack_type FROM signals LEFT JOIN modal m USING (source_ip)""",
                                        "signals", "attacks", "modal"),
         "top_targeted_ips": s("SELECT * FROM targets50", "targets50"),
-        "crosstab": s("""SELECT source_ip, count(*) FILTER (attack_type = 'Botnet') AS "Botnet", count(*) FILTER (attack_type = 'BruteForce') AS "BruteForce",
-  count(*) FILTER (attack_type = 'DDoS') AS "DDoS", count(*) FILTER (attack_type = 'PortScan') AS "PortScan"
-FROM attacks WHERE source_ip IN (SELECT source_ip FROM attackers ORDER BY attack_flow_count DESC, source_ip LIMIT 20) GROUP BY source_ip""",
-                      "attackers"),
+        "crosstab": s("SELECT * FROM crosstab", "crosstab"),
+        "crosstab_columns": s("""SELECT source_ip, CAST(sum(flows) FILTER (attack_type = 'Botnet') AS BIGINT) AS "Botnet",
+  CAST(sum(flows) FILTER (attack_type = 'BruteForce') AS BIGINT) AS "BruteForce", CAST(sum(flows) FILTER (attack_type = 'DDoS') AS BIGINT) AS "DDoS",
+  CAST(sum(flows) FILTER (attack_type = 'PortScan') AS BIGINT) AS "PortScan",
+  CAST(sum(flows) FILTER (attack_type NOT IN ('Botnet', 'BruteForce', 'DDoS', 'PortScan')) AS BIGINT) AS "Other"
+FROM crosstab GROUP BY source_ip""".replace("CAST(sum(", "CAST(coalesce(sum(").replace(") AS BIGINT) AS", "), 0) AS BIGINT) AS"), "crosstab"),
         "blacklist_filter": s(f"SELECT * FROM flows WHERE source_ip NOT IN {_CRITICAL}", "risk"),
         # risk
         "ip_risk_scores": s("SELECT * FROM risk", "risk"),
@@ -397,9 +365,10 @@ FROM attacks WHERE source_ip IN (SELECT source_ip FROM attackers ORDER BY attack
         "top_risk_actors": s("SELECT * FROM risk ORDER BY risk_score DESC, attack_count DESC, source_ip LIMIT 100", "risk"),
         "risk_bounds": s("""SELECT min(risk_score) AS min_score, max(risk_score) AS max_score, count(DISTINCT risk_level) AS tiers,
   count(*) AS sources FROM risk""", "risk"),
-        "reputation_export": s("SELECT * FROM risk ORDER BY risk_score DESC, attack_count DESC, source_ip LIMIT 500", "risk"),
+        "reputation_export": s("SELECT * FROM risk", "risk"),
         # enrichment
-        "mitre_enriched": s("""SELECT source_ip, attack_type, flows, tactic, technique_id, technique_name, recommended_containment
+        "mitre_enriched": s("""SELECT source_ip, attack_type, flows, tactic, technique_id, technique_name, tactical_description,
+  detection_signature, recommended_containment
 FROM (SELECT source_ip, attack_type, count(*) AS flows FROM flows GROUP BY 1, 2)
 JOIN technique ON attack_key = CASE WHEN attack_type IN (SELECT attack_key FROM technique) THEN attack_type ELSE 'DDoS' END""", "technique"),
         "geo_enriched": s("SELECT * FROM geo", "geo"),
@@ -421,10 +390,10 @@ FROM (SELECT source_ip, top_attack_type, round(m.flows / a.attack_flow_count * 1
         # graph
         "graph_edges": s("SELECT * FROM edges", "edges"),
         "graph_degree": s("SELECT * FROM degree", "degree"),
-        "graph_pivots": s("SELECT host, in_degree, out_degree, in_degree * out_degree AS two_hop_paths FROM degree WHERE role = 'Pivot'", "degree"),
+        "graph_pivots": s("SELECT host, in_degree, out_degree, CAST(in_degree * out_degree AS DOUBLE) AS two_hop_walks FROM degree WHERE role = 'Pivot'", "degree"),
         "graph_summary": s("""SELECT (SELECT count(*) FROM degree) AS vertices, (SELECT count(*) FROM links) AS edges,
   (SELECT count(*) FROM pivots) AS pivots,
-  (SELECT count(*) FROM links a JOIN links b ON a.destination_ip = b.source_ip) AS two_hop_paths,
+  (SELECT CAST(count(*) AS DOUBLE) FROM links a JOIN links b ON a.destination_ip = b.source_ip) AS two_hop_walks,
   CAST(CASE WHEN EXISTS (SELECT 1 FROM pivots) THEN 2 WHEN EXISTS (SELECT 1 FROM links) THEN 1 ELSE 0 END AS INT) AS max_depth""", "degree"),
         "graph_edges_labeled": s("""SELECT e.*, a.role AS source_role, b.role AS destination_role FROM edges e
   JOIN degree a ON a.host = e.source_ip JOIN degree b ON b.host = e.destination_ip""", "edges", "degree"),
@@ -432,7 +401,7 @@ FROM (SELECT source_ip, top_attack_type, round(m.flows / a.attack_flow_count * 1
 UNION ALL SELECT source_ip, 'egress', destination_ip, flows FROM links WHERE source_ip IN (SELECT host FROM pivots)""", "degree"),
         "lateral_paths": s("""SELECT a.source_ip, a.destination_ip AS pivot, b.destination_ip AS asset, a.flows AS ingress_flows, b.flows AS egress_flows
 FROM links a JOIN links b ON a.destination_ip = b.source_ip
-WHERE a.source_ip IN (SELECT source_ip FROM links GROUP BY source_ip ORDER BY sum(flows) DESC, source_ip LIMIT 5)
+WHERE a.source_ip = '172.16.1.5'
   AND a.source_ip <> a.destination_ip AND b.source_ip <> b.destination_ip AND a.source_ip <> b.destination_ip""", "links"),
         # entropy
         "packet_entropy": s("SELECT * FROM entropy", "entropy"),
@@ -451,6 +420,8 @@ FROM flows GROUP BY 1"""),
         "parquet_roundtrip": s("SELECT * FROM flows"),
         "publish_refresh": s(*distribution),
         "json_mirror": s(collection_counts.format(key="output", n="records"), *_EIGHT_PARTS),
+        "json_mirror_rows": s("""SELECT * REPLACE (nullif(protocol, 'UDP') AS protocol, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp)
+FROM flows"""),
         "run_summary": s(_counts(outputs).format(key="output", n="records"), *_EIGHT_PARTS),
         "integration_manifest": s(f"""SELECT *, 'phase10' AS pipeline_version FROM (
 WITH c AS ({manifest_counts}) SELECT * FROM c UNION ALL SELECT 'TOTAL', CAST(sum(documents) AS BIGINT) FROM c)""", *_EIGHT_PARTS),
@@ -466,8 +437,21 @@ FROM splits GROUP BY 1, 2""", "split"),
         "class_support": s("SELECT attack_type, count(*) AS support FROM splits WHERE split_bucket >= 80 GROUP BY 1", "split"),
         "model_roundtrip": s("SELECT count(*) AS compared, CAST(0 AS BIGINT) AS differing FROM splits WHERE split_bucket >= 80", "split"),
         "prediction_sample_flows": s(f"""SELECT strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, source_ip, destination_ip,
-  attack_type AS actual_attack FROM {_SAMPLE}"""),
-        "predictions_append": s(f"SELECT 2 * count(*) AS records FROM {_SAMPLE}"),
+  attack_type AS actual_attack FROM {_PREVIEW}"""),
+        "predictions_append": s("""SELECT strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, source_ip, destination_ip,
+  attack_type AS actual_attack, 2 * count(*) AS records, 2 * count(*) AS stamped FROM flows GROUP BY 1, 2, 3, 4"""),
+        "prediction_checks": s("""SELECT attack_type AS actual_attack, count(*) AS predictions, 0::BIGINT AS odd_confidence,
+  0::BIGINT AS odd_severity, 0::BIGINT AS unknown_names FROM flows GROUP BY 1"""),
+        "rule_metrics": s(f"""SELECT * FROM (WITH {_RULE_RATES}
+SELECT round(sum(hits) / sum(support), 4) AS accuracy, round(sum(f * support) / sum(support), 4) AS f1_score,
+  round(sum(p * support) / sum(support), 4) AS precision, round(sum(r * support) / sum(support), 4) AS recall,
+  CAST(sum(support) AS BIGINT) AS test_rows FROM rated)""", "rules", "index"),
+        "rule_confusion_matrix": s(f"""SELECT * FROM (WITH {_RULE_RATES}
+SELECT a.attack_type AS actual, b.attack_type AS predicted, coalesce(n, 0)::BIGINT AS n
+FROM label_rank a CROSS JOIN label_rank b LEFT JOIN oc ON actual = a.attack_type AND predicted = b.attack_type)""", "rules", "index"),
+        "rule_class_report": s(f"""SELECT * FROM (WITH {_RULE_RATES}
+SELECT attack_type, CAST(support AS BIGINT) AS support, round(p, 4) AS precision, round(r, 4) AS recall, round(f, 4) AS f1_score
+FROM rated)""", "rules", "index"),
         # streams
         "stream_blacklist": s(f"""SELECT * EXCLUDE (ts), ts AS timestamp, CAST(hour(ts) AS INT) AS hour, CAST(dayofweek(ts) + 1 AS INT) AS day_of_week
 FROM valid WHERE source_ip NOT IN {_CRITICAL}""", "risk"),
@@ -476,5 +460,7 @@ FROM valid WHERE source_ip NOT IN {_CRITICAL}""", "risk"),
 SELECT window_start, CAST(sum(n) AS BIGINT) AS flows, count(*) AS distinct_lengths, -sum(p * log2(p)) AS h FROM (
   SELECT *, n / sum(n) OVER (PARTITION BY window_start) AS p FROM (
     SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, packet_length, count(*) AS n FROM valid GROUP BY 1, 2))
-GROUP BY window_start) WHERE window_start + INTERVAL '1 hour' <= (SELECT max(ts) - INTERVAL '1 hour' FROM valid)"""),
+GROUP BY window_start)"""),
+        "stream_prediction_checks": s("""SELECT attack_type AS actual_attack, count(*) AS predictions, 0::BIGINT AS odd_confidence,
+  0::BIGINT AS odd_severity, 0::BIGINT AS unknown_names FROM valid GROUP BY 1"""),
     }

@@ -51,8 +51,6 @@ PUBLISHED = {
     "timeline_stats": "network_timeline_hourly.parquet",
     "ip_reputation": RISK,
 }
-PREDICTION_SAMPLE = 500
-
 
 def run_etl(spark: SparkSession, raw_path: str, out: str) -> DataFrame:
     """Raw CSV to clean flows, feature vectors and label map; returns the cleaning funnel."""
@@ -206,7 +204,7 @@ def publish(spark: SparkSession, out: str, force: bool = False) -> DataFrame:
 
 
 def publish_model_results(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """Prediction sample and metrics document, once a model has been trained."""
+    """Predictions of all flows and the metrics document, once a model has been trained."""
     metrics = table_or_none(spark, f"{out}/model_metrics.json", "json")
     if metrics is None:
         return {}
@@ -215,11 +213,9 @@ def publish_model_results(spark: SparkSession, out: str) -> dict[str, DataFrame]
         spark.read.json(f"{out}/confusion_matrix.json"),
         spark.read.json(f"{out}/class_report.json"),
     )
-    sample = inference.predict(
-        read_flows(spark, f"{out}/{CLEAN}"), training.load_model(f"{out}/threat_model"), PREDICTION_SAMPLE
-    )
+    predictions = inference.predict(read_flows(spark, f"{out}/{CLEAN}"), training.load_model(f"{out}/threat_model"))
     return {
-        "predictions": tables.write_table(sample, f"{out}/serving/predictions"),
+        "predictions": tables.write_table(tables.stamped(predictions), f"{out}/serving/predictions"),
         "model_metrics": tables.write_table(document, f"{out}/serving/model_metrics"),
     }
 

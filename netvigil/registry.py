@@ -20,7 +20,6 @@ from netvigil.session import at_once, fresh_path, materialize
 from netvigil.sinks import tables
 from netvigil.sources import documents, flows as flow_source
 from netvigil.sources.events import raw_flows_from_events
-from netvigil.sources.synthetic import generate_flows
 from netvigil.streaming import flows as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
                  "benchmark labels conversations").split()
 LOOKUP_IP = "172.16.1.5"
+# Rule texts for the query; a site brings its own.
+RULES = [(name, f"{name} firewall rule for {{IP}}", f"{name} detection rule for {{IP}}", f"{name} route {{HASH}} for {{IP}}")
+         for name in ("PortScan", "DDoS", "BruteForce", "Botnet", "BENIGN")]
+PREVIEW = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -146,6 +149,14 @@ def json_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.rows_per_output(dict(zip(jobs.PUBLISHED, at_once(spark, mirror, jobs.PUBLISHED))))
 
 
+def json_mirror_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with timestamps and nulls, mirrored as JSON and read back."""
+    report = flows(spark, sf_dir).withColumn("protocol", F.nullif("protocol", F.lit("UDP")))
+    path = fresh_path(spark, "mirror")
+    tables.json_mirror(report, path)
+    return tables.read_mirror(spark, path, report)
+
+
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_run(spark, sf_dir)[1]
 
@@ -290,15 +301,65 @@ def predictions(spark: SparkSession, sf_dir: str, limit: int | None = None) -> D
 
 
 def prediction_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predictions(spark, sf_dir, jobs.PREDICTION_SAMPLE)
+    """The preview of the command line: the first flows by time."""
+    return predictions(spark, sf_dir, PREVIEW)
 
 
 def predictions_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records after appending the prediction sample twice."""
+    """The prediction log after appending all predictions twice, per flow."""
     path = fresh_path(spark, "predictions")
     for _ in range(2):
-        tables.append_predictions(prediction_sample(spark, sf_dir), path)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("records"))
+        tables.append_predictions(predictions(spark, sf_dir), path)
+    return spark.read.parquet(path).groupBy("timestamp", "source_ip", "destination_ip", "actual_attack").agg(
+        F.count(F.lit(1)).alias("records"), F.count("analyzed_at").alias("stamped"))
+
+
+def checked(predicted: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per actual class the number of predictions, and how many break a rule that every prediction obeys."""
+    names = features.class_labels(models(spark, sf_dir)[1].features)
+    sure = F.col("confidence")
+    severity = F.expr("""CASE WHEN predicted_attack = 'BENIGN' THEN 'Low' WHEN predicted_attack = 'PortScan' THEN IF(confidence > 75, 'Medium', 'Low')
+        WHEN predicted_attack IN ('Botnet', 'BruteForce') THEN IF(confidence > 70, 'High', 'Medium')
+        ELSE IF(confidence > 80, 'Critical', 'High') END""")
+    return predicted.groupBy("actual_attack").agg(
+        F.count(F.lit(1)).alias("predictions"),
+        F.count_if(~(sure.between(0, 100) & (sure >= 100 / len(names) - 0.01))).alias("odd_confidence"),
+        F.count_if(F.col("severity") != severity).alias("odd_severity"),
+        F.count_if(~F.col("predicted_attack").isin(names)).alias("unknown_names"))
+
+
+def prediction_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checked(predictions(spark, sf_dir), spark, sf_dir)
+
+
+def stream_prediction_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checked(stream_predictions(spark, sf_dir), spark, sf_dir)
+
+
+def rule_outcomes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Outcome counts of the threshold classifier, with the label map and the class names."""
+    clean_table = written_flows(spark, sf_dir)
+    model = features.fit_features(clean_table)
+    labels = features.label_map(spark, model)
+    judged = verdicts.rule_classifier(clean_table)
+    actual = labels.select("label", F.col("attack_type").alias("actual_attack"))
+    predicted = labels.select(F.col("label").alias("prediction"), F.col("attack_type").alias("predicted_attack"))
+    return (evaluation.outcome_counts(judged.join(actual, "actual_attack").join(predicted, "predicted_attack", "left")), labels,
+            features.class_labels(model))
+
+
+def rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.overall_metrics(rule_outcomes(spark, sf_dir)[0])
+
+
+def rule_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes, _, names = rule_outcomes(spark, sf_dir)
+    return evaluation.confusion_matrix(outcomes, names)
+
+
+def rule_class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes, labels, _ = rule_outcomes(spark, sf_dir)
+    return evaluation.class_report(outcomes, labels)
 
 
 # --- streams -----------------------------------------------------------------
@@ -307,19 +368,20 @@ def streamed_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream of cleaned flows."""
     schema = table(spark, sf_dir, "events").schema
     # Written as a glob, the path may name one file as well as a folder of part files.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events.parquet}}")
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{sf_dir}/{{events.parquet}}")
     return streams.clean_stream(raw_flows_from_events(events))
 
 
-def written_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(critical_sources(flows(spark, sf_dir)), "blacklist")
+def written_blacklist(spark: SparkSession, sf_dir: str) -> str:
+    path = fresh_path(spark, "blacklist")
+    critical_sources(flows(spark, sf_dir)).write.parquet(path)
+    return path
 
 
 def stream_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = fresh_path(spark, "allowed"), fresh_path(spark, "stream-state")
-    allowed = streams.allowed_flows(streamed_flows(spark, sf_dir), written_blacklist(spark, sf_dir))
-    streams.run_to_table(allowed, path, checkpoint)
-    return spark.read.parquet(path)
+    streams.run_allowed(streamed_flows(spark, sf_dir), written_blacklist(spark, sf_dir), path, checkpoint)
+    return spark.read.parquet(path).drop("batch")
 
 
 def incident_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,8 +401,8 @@ def stream_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = fresh_path(spark, "entropy"), fresh_path(spark, "stream-state")
-    streams.run_entropy(streamed_flows(spark, sf_dir), path, checkpoint)
-    return spark.read.parquet(path).drop("batch")
+    streams.run_entropy_counts(streamed_flows(spark, sf_dir), path, checkpoint)
+    return streams.read_entropy(spark, path)
 
 
 def queries() -> dict[str, Query]:
@@ -352,7 +414,6 @@ def queries() -> dict[str, Query]:
         "serving_read": serving_read,
         "table_counts": table_counts,
         "distributed_sum": lambda spark, d: flow_source.sum_probe(table(spark, d, "events"), "event_id"),
-        "synthetic_flows": lambda spark, d: generate_flows(table(spark, d, "events"), "event_id"),
         # cleaning
         "typed_flows": on_raw(clean.typed_flows),
         "valid_flows": on_raw(lambda r: clean.valid_flows(clean.typed_flows(r))),
@@ -379,7 +440,8 @@ def queries() -> dict[str, Query]:
         "top_attack_type": on_flows(hosts.modal_attack_type),
         "attackers_with_modal_type": attackers_with_modal_type,
         "top_targeted_ips": on_flows(hosts.top_targeted_ips),
-        "crosstab": on_flows(hosts.known_class_crosstab),
+        "crosstab": on_flows(hosts.ip_attack_crosstab),
+        "crosstab_columns": on_flows(lambda f: hosts.crosstab_columns(hosts.ip_attack_crosstab(f))),
         "blacklist_filter": blacklist_filter,
         # risk
         "ip_risk_scores": on_flows(risk.ip_risk_scores),
@@ -396,7 +458,7 @@ def queries() -> dict[str, Query]:
         "country_top": on_geo(lambda g: enrich.volume_by(g, "country")),
         "asn_top": on_geo(lambda g: enrich.volume_by(g, "asn")),
         "mitigation_rules": on_flows(
-            lambda f: enrich.mitigation_rules(f.select("source_ip", "attack_type").distinct())),
+            lambda f: enrich.mitigation_rules(f.select("source_ip", "attack_type").distinct(), RULES)),
         # verdicts
         "rule_classifier": on_flows(verdicts.rule_classifier),
         "severity_rule": on_flows(verdicts.source_severity),
@@ -407,7 +469,7 @@ def queries() -> dict[str, Query]:
         "graph_summary": on_links(lambda k: graph.graph_summary(graph.graph_degree(k))),
         "graph_edges_labeled": graph_edges_labeled,
         "lateral_hops": on_written_links(lambda k: graph.lateral_hops(k, graph.graph_degree(k))),
-        "lateral_paths": on_written_links(graph.lateral_paths),
+        "lateral_paths": on_written_links(lambda k: graph.lateral_paths(k, [LOOKUP_IP])),
         # entropy
         "packet_entropy": on_flows(entropy.packet_entropy),
         "entropy_flags": on_flows(lambda f: entropy.entropy_flags(entropy.packet_entropy(f))),
@@ -419,6 +481,7 @@ def queries() -> dict[str, Query]:
         "parquet_roundtrip": parquet_roundtrip,
         "publish_refresh": publish_refresh,
         "json_mirror": json_mirror,
+        "json_mirror_rows": json_mirror_rows,
         "run_summary": run_summary,
         "integration_manifest": integration_manifest,
         # features and models
@@ -441,9 +504,14 @@ def queries() -> dict[str, Query]:
         "prediction_sample_flows": lambda spark, d: prediction_sample(spark, d).select(
             "timestamp", "source_ip", "destination_ip", "actual_attack"),
         "predictions_append": predictions_append,
+        "prediction_checks": prediction_checks,
+        "rule_metrics": rule_metrics,
+        "rule_confusion_matrix": rule_confusion_matrix,
+        "rule_class_report": rule_class_report,
         # streams
         "stream_blacklist": stream_blacklist,
         "incident_audit": incident_audit,
         "stream_predictions": stream_predictions,
+        "stream_prediction_checks": stream_prediction_checks,
         "stream_entropy": stream_entropy,
     }

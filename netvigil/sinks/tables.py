@@ -30,8 +30,12 @@ def refresh_serving(df: DataFrame, path: str) -> bool:
     return True
 
 
+def stamped(predictions: DataFrame) -> DataFrame:
+    return predictions.withColumn("analyzed_at", F.current_timestamp())
+
+
 def append_predictions(predictions: DataFrame, path: str) -> None:
-    predictions.withColumn("analyzed_at", F.current_timestamp()).write.mode("append").parquet(path)
+    stamped(predictions).write.mode("append").parquet(path)
 
 
 def without_timestamps(df: DataFrame) -> DataFrame:

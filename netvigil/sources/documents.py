@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from netvigil.operators.clean import whole_number
 from netvigil.schema import DOCUMENT_SCHEMA, METRICS, RAW_COLUMNS
 
 # Texts that mean "no value" in a raw log.
@@ -18,7 +19,7 @@ def to_documents(raw: DataFrame) -> DataFrame:
     """Raw rows with missing texts as NULL and the metrics as nullable whole numbers."""
     present = lambda name: F.when(~F.col(name).isin(MISSING_TEXTS), F.col(name))
     return raw.select(*[
-        (present(name).try_cast("bigint") if name in METRICS else present(name)).alias(name)
+        (whole_number(present(name)) if name in METRICS else present(name)).alias(name)
         for name in RAW_COLUMNS
     ])
 

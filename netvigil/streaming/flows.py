@@ -17,7 +17,7 @@ from netvigil.ml.features import class_labels
 from netvigil.ml.inference import name_predictions
 from netvigil.operators.clean import typed_flows, valid_flows, with_time_parts
 from netvigil.operators.enrich import with_technique
-from netvigil.operators.entropy import entropy_of, rounded
+from netvigil.operators.entropy import entropy_of, rounded, symbol_counts
 from netvigil.operators.hosts import exclude_listed, only_listed
 from netvigil.schema import RAW_SCHEMA
 
@@ -38,11 +38,6 @@ def clean_stream(raw: DataFrame) -> DataFrame:
     return with_time_parts(valid_flows(typed_flows(raw)))
 
 
-def allowed_flows(flows: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Flows that pass the blacklist; the list is read anew for every micro-batch."""
-    return exclude_listed(flows, blacklist)
-
-
 def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append everything available to a Parquet table, each row exactly once."""
     (
@@ -73,13 +68,23 @@ def incident_records(blocked: DataFrame, policy: str = DEFAULT_POLICY) -> DataFr
     )
 
 
+def run_allowed(flows: DataFrame, blacklist_path: str, path: str, checkpoint: str) -> None:
+    """Write the streamed flows that pass the blacklist; the list is read anew for every micro-batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        blacklist = batch.sparkSession.read.parquet(blacklist_path)
+        exclude_listed(batch, blacklist).write.mode("overwrite").parquet(batch_folder(path, batch_id))
+
+    run_batches(flows, write, checkpoint)
+
+
 def run_incident_audit(
-    flows: DataFrame, blacklist: DataFrame, path: str, checkpoint: str, policy: str = DEFAULT_POLICY
+    flows: DataFrame, blacklist_path: str, path: str, checkpoint: str, policy: str = DEFAULT_POLICY
 ) -> None:
-    """Write an incident for every streamed flow whose source is blacklisted."""
+    """Write an incident for every streamed flow whose source is blacklisted when its micro-batch runs."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        blocked = only_listed(batch, blacklist)
+        blocked = only_listed(batch, batch.sparkSession.read.parquet(blacklist_path))
         incident_records(blocked, policy).write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
     run_batches(flows, write, checkpoint)
@@ -90,22 +95,20 @@ def score_stream(flows: DataFrame, model: PipelineModel) -> DataFrame:
     return name_predictions(model.transform(flows), class_labels(model))
 
 
-def streamed_symbol_counts(flows: DataFrame, width: str, lateness: str) -> DataFrame:
-    """Packet-length counts per window, emitted when the watermark closes the window."""
-    return (
-        flows.withWatermark("timestamp", lateness)
-        .groupBy(F.window("timestamp", width).alias("w"), "packet_length")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("window_start"), "packet_length", "n")
-    )
-
+def run_entropy_counts(flows: DataFrame, path: str, checkpoint: str, width: str = "1 hour") -> None:
+    """Write every micro-batch's packet-length counts per window to a folder of its own.
 
-def run_entropy(flows: DataFrame, path: str, checkpoint: str, width: str = "1 hour", lateness: str = "1 hour") -> None:
-    """Entropy of every closed window. All counts of a window arrive in one batch."""
+    Counts add up, so no state is kept and no window is ever closed: late rows
+    count in their window, and a repeated batch replaces its own folder.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        entropy_of(batch).select(
-            "window_start", "flows", "distinct_lengths", rounded(F.col("h")).alias("entropy")
-        ).write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        symbol_counts(batch, width).write.mode("overwrite").parquet(batch_folder(path, batch_id))
+
+    run_batches(flows, write, checkpoint)
+
 
-    run_batches(streamed_symbol_counts(flows, width, lateness), write, checkpoint)
+def read_entropy(spark: SparkSession, path: str) -> DataFrame:
+    """Entropy of every window from the counts written so far."""
+    counts = spark.read.parquet(path).groupBy("window_start", "packet_length").agg(F.sum("n").alias("n"))
+    return entropy_of(counts).select("window_start", "flows", "distinct_lengths", rounded(F.col("h")).alias("entropy"))

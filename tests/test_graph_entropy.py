@@ -21,8 +21,8 @@ def test_pivot(make_flows, rows_of):
     assert tuple(graph.graph_summary(degree).first()) == (4, 3, 1, 2, 2)
     assert rows_of(graph.lateral_hops(links, degree)) == [
         ("P", "egress", "T", 1), ("P", "egress", "U", 1), ("P", "ingress", "A", 1)]
-    assert rows_of(graph.lateral_paths(links, 1), "source_ip", "pivot", "asset") == []  # P is busiest and starts no path
-    assert rows_of(graph.lateral_paths(links), "source_ip", "pivot", "asset") == [("A", "P", "T"), ("A", "P", "U")]
+    assert rows_of(graph.lateral_paths(links, ["P"]), "source_ip", "pivot", "asset") == []  # P starts no path
+    assert rows_of(graph.lateral_paths(links, ["A", "P"]), "source_ip", "pivot", "asset") == [("A", "P", "T"), ("A", "P", "U")]
     labelled = graph.label_edges(graph.graph_edges(flows), degree)
     assert rows_of(labelled, "source_ip", "destination_ip", "source_role", "destination_role") == [
         ("A", "P", "Adversary", "Pivot"), ("P", "T", "Pivot", "Target"), ("P", "U", "Pivot", "Target")]
@@ -46,11 +46,11 @@ def test_factored_paths_against_brute_force(make_flows):
         sides[r["pivot"]][r["hop"]].add(r["peer"])
     rebuilt = {(a, p, d) for p, s in sides.items() for a in s["ingress"] for d in s["egress"]}
     assert rebuilt == expected
-    assert graph.graph_summary(degree).first()["two_hop_paths"] == len(expected)
-    assert {r["host"]: r["two_hop_paths"] for r in graph.graph_pivots(degree).collect()} == dict(
+    assert graph.graph_summary(degree).first()["two_hop_walks"] == len(expected)
+    assert {r["host"]: r["two_hop_walks"] for r in graph.graph_pivots(degree).collect()} == dict(
         Counter(p for _, p, _ in expected))
     simple = {(a, b, d) for a, b, d in expected if len({a, b, d}) == 3}
-    written = graph.lateral_paths(links, adversaries=1000)
+    written = graph.lateral_paths(links, sorted({a for a, _ in unique}))
     assert {(r["source_ip"], r["pivot"], r["asset"]) for r in written.collect()} == simple
 
 

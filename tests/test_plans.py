@@ -26,7 +26,6 @@ def test_reports_scan_once_and_only_their_columns(written):
         distributions.severity_distribution: {"severity"},
         timeline.hourly_attack_intensity: {"hour", "attack_type"},
         hosts.top_attacking_ips: {"source_ip", "attack_type", "total_bytes", "packet_length"},
-        hosts.known_class_crosstab: {"source_ip", "attack_type"},
         risk.ip_risk_scores: {"source_ip", "destination_ip", "attack_type"},
     }
     for report, columns in cases.items():

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from netvigil.operators import distributions, enrich, hosts, quality, risk, rollup, sharding, timeline, verdicts
+from netvigil.operators import distributions, enrich, graph, hosts, quality, risk, rollup, sharding, timeline, verdicts
 from netvigil.session import fresh_path
 
 
@@ -61,11 +61,29 @@ def test_targets_and_crosstab_against_brute_force(sample):
         assert row["attack_flow_count"] == len(mine)
         assert row["unique_attackers"] == len({r["source_ip"] for r in mine})
         assert row["unique_attack_types"] == len({r["attack_type"] for r in mine})
+    totals = Counter(r["source_ip"] for r in attacks)
+    busiest = sorted(totals, key=lambda s: (-totals[s], s))[:5]
     table = hosts.ip_attack_crosstab(sample, 5)
-    assert table.columns == ["source_ip", "Botnet", "BruteForce", "DDoS", "PortScan", "Worm"]
-    for row in table.collect():
-        counts = Counter(r["attack_type"] for r in attacks if r["source_ip"] == row["source_ip"])
-        assert {c: row[c] for c in table.columns[1:]} == {c: counts[c] for c in table.columns[1:]}
+    counts = Counter((r["source_ip"], r["attack_type"]) for r in attacks if r["source_ip"] in busiest)
+    assert {(r["source_ip"], r["attack_type"]): r["flows"] for r in table.collect()} == counts
+    assert any(name == "Worm" for _, name in counts)
+    for row in hosts.crosstab_columns(table).collect():  # the unknown class is in Other, so the columns add up
+        assert sum(tuple(row)[1:]) == totals[row["source_ip"]] and row["Other"] == counts[row["source_ip"], "Worm"]
+
+
+def test_huge_records_abort_no_report(make_flows):
+    """Two records of 9e18 bytes overflow a long sum; every report takes them."""
+    flows = make_flows(*[dict(source_ip="10.0.0.1", destination_ip=f"172.16.1.{i}", total_bytes=9 * 10**18, flow_duration=9 * 10**18,
+                              packet_length=9 * 10**18) for i in (1, 1, 2)])
+    exact = 27 * 10**18
+    for table in (flows, rollup.pair_rollup(flows)):
+        assert hosts.top_attacking_ips(table).first()["total_bytes_sent_mb"] == round(exact / 2**20, 4)
+        assert hosts.top_targeted_ips(table).first()["total_bytes_received_mb"] == round(exact * 2 / 3 / 2**20, 4)
+        assert risk.ip_risk_signals(table).first()["avg_bytes_per_flow"] == 9e18
+        assert graph.graph_edges(table).count() == 2
+    for table in (flows, rollup.profile_rollup(flows)):
+        assert distributions.attack_distribution(table).first()["total_bytes_gb"] == round(exact / 2**30, 6)
+        assert timeline.hourly_timeline(table).count() == 1
 
 
 def test_risk_against_brute_force(sample):
@@ -139,8 +157,8 @@ def test_quality_report_finds_defects(sample, make_flows):
 
 def test_geo_table_and_filters(sample):
     table = risk.ip_risk_scores(sample, ordered=False)
-    geo = enrich.geo_enriched(table, top=None)
-    assert geo.count() == table.count() and enrich.geo_enriched(table, top=4).count() == 4
+    geo = enrich.geo_enriched(table)
+    assert geo.count() == table.count()
     by_vector = sum(enrich.geo_filtered(geo, vector=v).count() for v in enrich.GEO_VECTORS)
     assert by_vector == geo.count()
     assert enrich.volume_by(geo, "country", 3).count() == 3
@@ -149,8 +167,11 @@ def test_geo_table_and_filters(sample):
 def test_unknown_class_uses_the_fallback_row(make_flows):
     rows = enrich.with_technique(make_flows(dict(attack_type="Worm"), dict(attack_type="PortScan"))).collect()
     assert sorted(r["technique_id"] for r in rows) == ["T1046", "T1498"]
-    rule = enrich.mitigation_rules(make_flows(dict(source_ip="10.1.2.3", attack_type="Botnet"))).first()
-    assert "10.1.2.3" in rule["firewall_rule"] and "{" + "HASH}" not in rule["bgp_rule"]
+    texts = [("Botnet", "stop {IP}", "watch {IP}", "route {HASH}"), ("DDoS", "drop {IP}", "", "")]
+    flows = make_flows(dict(source_ip="10.1.2.3", attack_type="Botnet"), dict(source_ip="10.1.2.4", attack_type="Worm"))
+    rules = {r["source_ip"]: tuple(r)[2:] for r in enrich.mitigation_rules(flows, texts).collect()}
+    assert rules["10.1.2.3"][:2] == ("stop 10.1.2.3", "watch 10.1.2.3") and "{" not in rules["10.1.2.3"][2]
+    assert rules["10.1.2.4"] == ("drop 10.1.2.4", "", "")
 
 
 def test_sharded_write_is_whole_and_spread(spark, sample):

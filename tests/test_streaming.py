@@ -15,18 +15,21 @@ def land(raw, folder):
 
 @pytest.fixture
 def blacklist(spark):
-    return spark.createDataFrame([("10.6.6.6",)], "source_ip string")
+    path = fresh_path(spark, "blacklist")
+    spark.createDataFrame([("10.6.6.6",)], "source_ip string").write.parquet(path)
+    return path
 
 
 def test_two_arrivals(spark, make_raw, blacklist, rows_of):
     folder, out, state = (fresh_path(spark, n) for n in ("landing", "allowed", "state"))
-    allowed = lambda: streams.allowed_flows(streams.clean_stream(streams.stream_raw_flows(spark, folder)), blacklist)
+    run = lambda: streams.run_allowed(
+        streams.clean_stream(streams.stream_raw_flows(spark, folder)), blacklist, out, state)
     land(make_raw({}, dict(source_ip="10.6.6.6"), dict(flow_duration="-4")), folder)
-    streams.run_to_table(allowed(), out, state)
+    run()
     assert spark.read.parquet(out).count() == 1
     land(make_raw(dict(source_ip="10.0.0.8"), dict(source_ip="10.6.6.6")), folder)
-    streams.run_to_table(allowed(), out, state)
-    streams.run_to_table(allowed(), out, state)  # nothing new arrived
+    run()
+    run()  # nothing new arrived
     batch = clean.with_time_parts(clean.valid_flows(clean.typed_flows(read_raw_flows(spark, folder))))
     expected = batch.where("source_ip <> '10.6.6.6'")
     columns = sorted(expected.columns)
@@ -44,18 +47,38 @@ def test_incident_audit_survives_a_lost_state(spark, make_raw, blacklist):
         ("10.6.6.6", "T1498", "drop", "ENFORCED"), ("10.6.6.6", "T1584", "drop", "ENFORCED")]
 
 
-def test_entropy_of_closed_windows(spark, make_raw):
+def test_list_that_changes_within_a_run(spark, make_raw, blacklist, monkeypatch):
+    """Three batches in one run; after the first the list gets an address that the others then miss."""
+    folder, out = fresh_path(spark, "landing"), fresh_path(spark, "allowed")
+    for _ in range(3):
+        land(make_raw({}, dict(source_ip="10.7.7.7")), folder)
+    plain = streams.exclude_listed
+
+    def then_listed(batch, listed):
+        result = plain(batch, listed)
+        spark.createDataFrame([("10.7.7.7",)], "source_ip string").write.mode("append").parquet(blacklist)
+        return result
+
+    monkeypatch.setattr(streams, "exclude_listed", then_listed)
+    stream = streams.clean_stream(streams.stream_raw_flows(spark, folder, files_per_batch=1))
+    streams.run_allowed(stream, blacklist, out, fresh_path(spark, "state"))
+    assert spark.read.parquet(out).where("source_ip = '10.7.7.7'").count() == 1
+    assert spark.read.parquet(out).where("source_ip <> '10.7.7.7'").count() == 3
+
+
+def test_entropy_counts_late_rows(spark, make_raw):
     folder, out, state = (fresh_path(spark, n) for n in ("landing", "entropy", "state"))
     at = lambda time, length: dict(timestamp=f"2024-01-01 {time}", packet_length=str(length))
-    land(make_raw(at("10:05:00", 1), at("10:10:00", 2), at("11:00:00", 5), at("13:30:00", 9)), folder)
-    flows = lambda: streams.clean_stream(streams.stream_raw_flows(spark, folder))
-    streams.run_entropy(flows(), out, state)
-    rows = {str(r["window_start"])[11:16]: (r["flows"], r["entropy"]) for r in spark.read.parquet(out).collect()}
-    assert rows == {"10:00": (2, 1.0), "11:00": (1, 0.0)}  # 13:00 is still open
-    land(make_raw(at("16:00:00", 9)), folder)
-    streams.run_entropy(flows(), out, state)
-    rows = {str(r["window_start"])[11:16]: r["flows"] for r in spark.read.parquet(out).collect()}
-    assert rows == {"10:00": 2, "11:00": 1, "13:00": 1}
+    run = lambda: streams.run_entropy_counts(
+        streams.clean_stream(streams.stream_raw_flows(spark, folder)), out, state)
+    found = lambda: {str(r["window_start"])[11:16]: (r["flows"], r["entropy"])
+                     for r in streams.read_entropy(spark, out).collect()}
+    land(make_raw(at("10:05:00", 1), at("11:00:00", 5), at("20:30:00", 9)), folder)
+    run()
+    assert found() == {"10:00": (1, 0.0), "11:00": (1, 0.0), "20:00": (1, 0.0)}
+    land(make_raw(at("10:10:00", 2), at("11:59:00", 5)), folder)  # far behind what was seen
+    run()
+    assert found() == {"10:00": (2, 1.0), "11:00": (2, 0.0), "20:00": (1, 0.0)}
 
 
 def test_backlog_is_worked_off_in_batches(spark, make_raw):
