@@ -15,7 +15,7 @@ import types
 
 # Entries of one generation of a table. Beyond it the generation before is dropped: results stay the same, memory
 # stays bounded, and what is in use stays known.
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 600_000
 # Longer chunks (junk without white space) are tokenised without being kept.
 KEPT_CHARS = 64
 
@@ -62,10 +62,6 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
-def packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
 class IdEncoder:
     """Ids of whole texts as bytes, four per id (unsigned, little-endian).
 
@@ -80,6 +76,7 @@ class IdEncoder:
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = iter(range(256, 512))  # byte-level vocabularies name each byte by a visible letter
         self.byte_names = "".join(chr(b if b in visible else next(hidden)) for b in range(256))
+        self.id_bytes = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
         self.runs = ChunkTable(self._run, entries)
         self.table = ChunkTable(self._chunk, entries)
 
@@ -88,10 +85,12 @@ class IdEncoder:
             named = "Ġ" + run[1:] if run[0] == " " else run  # only the first can be a space
         else:
             named = run.encode().decode("latin-1").translate(self.byte_names)
-        return packed([token.id for token in self.model.tokenize(named)])
+        id_bytes = self.id_bytes
+        return b"".join([id_bytes[token.id] for token in self.model.tokenize(named)])
 
     def _whole(self, text: str) -> bytes:
-        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        id_bytes = self.id_bytes
+        return b"".join([id_bytes[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
     def _chunk(self, chunk: str) -> bytes:
         raise NotImplementedError
@@ -112,6 +111,8 @@ class ByteLevelEncoder(IdEncoder):
     _run_of = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            return self._run(" " + chunk)
         runs = self.runs
         if chunk[0] == "\n":
             if self._plain.fullmatch(chunk, 1):
@@ -147,6 +148,8 @@ class WordEncoder(IdEncoder):
 
     def _chunk(self, chunk: str) -> bytes:
         lower = chunk.lower()
+        if lower == chunk and chunk.isascii() and chunk.isalpha():
+            return self._run(chunk)
         if not self._plain.fullmatch(lower):
             return self._whole(chunk)
         runs = self._run_of.findall(lower)

@@ -59,13 +59,14 @@ def build(tokens: np.ndarray, doc_ids: list[int | None], counts: list[int]) -> b
     blocks = -(-len(values) // BLOCK_BITS)
     heads, bodies = [], []
     for plane in reversed(range(bits)):
-        ones = (values >> plane & 1).astype(bool)
-        before = np.add.reduceat(ones, np.arange(0, len(ones), BLOCK_BITS), dtype=np.int64)
-        packed = [packer.compress(np.packbits(ones[b * BLOCK_BITS:(b + 1) * BLOCK_BITS]).tobytes()) for b in range(blocks)]
-        heads.append(struct.pack("<Q", len(ones) - int(ones.sum())))
+        ones = (values & values.dtype.type(1 << plane)) != 0
+        plain = np.packbits(ones)
+        parts = [plain[b * BLOCK_BITS // 8:(b + 1) * BLOCK_BITS // 8] for b in range(blocks)]
+        before = np.array([int(np.bitwise_count(part).sum(dtype=np.int64)) for part in parts], np.int64)
+        bodies += (own := [packer.compress(part.tobytes()) for part in parts])
+        heads.append(struct.pack("<Q", len(ones) - int(before.sum())))
         heads.append((np.cumsum(before) - before).astype("<u4").tobytes())
-        heads.append(np.array([len(p) for p in packed], "<u4").tobytes())
-        bodies += packed
+        heads.append(np.array([len(body) for body in own], "<u4").tobytes())
         values = np.concatenate([values[~ones], values[ones]])
     flags = np.array([doc is None for doc in doc_ids], np.uint8)
     return b"".join([
