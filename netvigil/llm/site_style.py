@@ -44,6 +44,7 @@ from netvigil.llm.common import batches_of, column_of, kept, read_table
 LEAST = 0.3
 LEAST_PAGES, LEAST_SHARE = 3, 0.05
 CHILD_WEIGHT = 0.9
+DEPTH = 24  # deeper blocks count with their ancestor at this depth
 BROADCAST_BYTES = 8_000_000
 NODES = "host string, path string, kind int, feature long, children int, chars long, linked long"
 TEXTS = "page_id long, url string, text string, n_chars long"
@@ -199,7 +200,8 @@ def parse(source: str | None) -> tuple[list[Block], list[Node]]:
         if block:
             names = re.sub(r"\d+", "#", " ".join(sorted(named.get("class", "").split()) + [named.get("id", "")]).strip().replace("/", "_"))
             style = f"{tag}.{names}" if names else tag
-            path = f"{path}/{style}"
+            if path.count("/") < DEPTH:
+                path = f"{path}/{style}"
             if not holder.noise:
                 holder.children.append(style)
         node = Node(tag, path, block, noise, up.main or tag in MAIN_TAGS or named.get("role") == "main", [])
@@ -258,16 +260,23 @@ def node_rows(pages: DataFrame) -> DataFrame:
     return pages.where("host IS NOT NULL").select("host", "html").mapInArrow(run, NODES)
 
 
-def template_branches(pages: DataFrame, least: float = LEAST) -> DataFrame:
+def broadcast_below(df: DataFrame, size: Column, limit: int) -> DataFrame:
+    """``df`` with a broadcast hint if the sum of ``size`` over its rows allows it; else the optimizer decides."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= limit else df
+
+
+def template_branches(pages: DataFrame, least: float = LEAST, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(host, noise): for each host the paths of its branches of low importance."""
     counted = kept(node_rows(pages).groupBy("host", "path", "kind", "feature").agg(
         F.count("*").alias("pages"), F.sum("children").alias("children"), F.sum("chars").alias("chars"),
         F.sum("linked").alias("linked")))
     # The root is on every page once, with one sequence of children or another.
-    sizes = counted.where("path = '' AND kind = 0").groupBy("host").agg(F.sum("pages").alias("host_pages")).where(
-        F.col("host_pages") >= LEAST_PAGES)
+    sizes = kept(counted.where("path = '' AND kind = 0").groupBy("host").agg(F.sum("pages").alias("host_pages")).where(
+        F.col("host_pages") >= LEAST_PAGES))
+    sizes = broadcast_below(sizes, F.length("host") + 16, broadcast_bytes)
     spread = F.log("pages") / F.log("host_pages")  # entropy of a feature that is once on each of `pages` pages
-    own = counted.join(sizes, "host").groupBy("host", "path", "host_pages").agg(
+    # Dealt by node, not by host: a large host has many nodes.
+    own = counted.join(sizes, "host").repartition("host", "path").groupBy("host", "path", "host_pages").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("pages"))).alias("seen"),
         F.sum(F.when(F.col("kind") == 0, F.col("pages") * F.log("pages"))).alias("sequences"),
         F.sum(F.when(F.col("kind") == 0, F.col("children"))).alias("children"),
@@ -295,10 +304,8 @@ def extract(pages: DataFrame, least: float = LEAST, id_column: str = "page_id",
     own = pages.select(column_of(pages, id_column, "long").alias("page_id"),
                        column_of(pages, url_column, "string").alias("url"),
                        column_of(pages, html_column, "string").alias("html")).withColumn("host", host_of(F.col("url")))
-    templates = template_branches(own, least)
-    size = templates.agg(F.sum(F.length("host") + F.length(F.to_json("noise")))).first()[0] or 0
-    if size <= broadcast_bytes:
-        templates = F.broadcast(templates)
+    templates = template_branches(own, least, broadcast_bytes)
+    templates = broadcast_below(templates, F.length("host") + F.length(F.to_json("noise")), broadcast_bytes)
     joined = own.join(templates, "host", "left")
 
     def run(batches):
