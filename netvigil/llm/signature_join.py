@@ -47,7 +47,7 @@ FREQUENT = 65_536
 FREQUENT_SHARE, LEAST_COUNT = 0.002, 3  # of a block's documents, to be counted as a frequent shingle
 BLOCK_SHINGLES = 2_000_000
 BANDS, MINIMA = 6, 2
-BITS = 1024
+LEAST_BITS = 256
 LEAF = 8
 TOKEN_BITS = 48  # of the 64 bits in cells; equal ends only add candidates, which are verified
 SEEN = 200_000
@@ -77,8 +77,8 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     width = min(words, len(parts))
     total = np.full(len(parts) - width + 1, width, np.uint64)
     for k in range(width):
-        total = mixed(total * _MIX[0] + hashes[k:len(hashes) - width + 1 + k])
-    return np.unique(total)
+        total = total * _MIX[0] + hashes[k:len(hashes) - width + 1 + k]
+    return np.unique(mixed(total))
 
 
 def prefix_length(size: int, percent: int = PERCENT) -> int:
@@ -86,17 +86,25 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
 
 
 def bitmap_of(hashes: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, bool)
-    bits[(hashes % np.uint64(BITS)).astype(np.int64)] = True
+    """Bitmap with two to four bits per element, so that large sets do not fill theirs."""
+    size = max(LEAST_BITS, 1 << int(2 * len(hashes) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(hashes & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits).view(np.uint64)
 
 
-_SALTS = mixed(np.arange(1, BANDS * MINIMA + 1, dtype=np.uint64))
+def folded(bitmaps: list[np.ndarray]) -> np.ndarray:
+    """The bitmaps at the size of the smallest: bit i of a folded one is the OR of all bits equal to i modulo the size."""
+    words = min(len(b) for b in bitmaps)
+    return np.array([np.bitwise_or.reduce(b.reshape(-1, words), 0) for b in bitmaps])
+
+
+_ORDERS = mixed(np.arange(1, BANDS * MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def band_keys(hashes: np.ndarray) -> list[int]:
-    """One key per band: the smallest elements in ``MINIMA`` random orders, mixed."""
-    least = mixed(hashes[None, :] ^ _SALTS[:, None]).min(1).reshape(BANDS, MINIMA)
+    """One key per band: the smallest elements in ``MINIMA`` orders (each by an odd multiple of the hash), mixed."""
+    least = np.array([(hashes * order).min() for order in _ORDERS]).reshape(BANDS, MINIMA)
     keys = np.arange(1, BANDS + 1, dtype=np.uint64)
     for minimum in range(MINIMA):
         keys = mixed(keys * _MIX[0] + least[:, minimum])
@@ -258,6 +266,28 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     return both.where(enough).select("a", "b").distinct()
 
 
+def plausible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose sizes and bitmaps allow the threshold."""
+    schema = "a long, b long"
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            a, b, sizes_a, sizes_b, bitmaps_a, bitmaps_b = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            keep = np.zeros(len(a), bool)
+            for i in range(len(a)):
+                both = folded([np.frombuffer(bitmaps_a[i], np.uint64), np.frombuffer(bitmaps_b[i], np.uint64)])
+                keep[i] = len(SignatureTree(both, np.array([sizes_a[i], sizes_b[i]]), np.arange(2)).possible(
+                    0, np.zeros(1, np.int64), np.ones(1, np.int64), percent))
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+
+    sides = [bitmaps.select(F.col("doc_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("bitmap").alias(f"bitmap_{s}"))
+             for s in "ab"]
+    joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "size_a", "size_b", "bitmap_a", "bitmap_b")
+    return joined.mapInArrow(run, schema).distinct()
+
+
 def star_pairs(reps: DataFrame, active: DataFrame) -> DataFrame:
     """Each document with the smallest one that shares a band key with it."""
     keys = reps.join(active, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("band"))
@@ -342,7 +372,7 @@ def candidate_pairs(cells: DataFrame, percent: int) -> DataFrame:
 
         def pairs_of(ids, groups, sizes, bitmaps):
             if len(ids) > 1:
-                tree = SignatureTree(np.array([np.frombuffer(b, np.uint64) for b in bitmaps]), sizes, groups)
+                tree = SignatureTree(folded([np.frombuffer(b, np.uint64) for b in bitmaps]), sizes, groups)
                 for a, b in tree.pairs(percent):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], names=["a", "b"])
@@ -388,10 +418,11 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     shared = kept(shared.join(copies, "doc_id").select("token", F.col("rep").alias("doc_id")).distinct())
     active = shared.select("doc_id").distinct()
 
-    near = kept(verified(star_pairs(reps, active), own, words, percent))
+    bitmaps = reps.select("doc_id", F.col("n_shingles").alias("size"), "bitmap")
+    near = kept(verified(plausible(star_pairs(reps, active), bitmaps, percent), own, words, percent))
     label = near.groupBy(F.col("b").alias("doc_id")).agg(F.min("a").alias("component"))
     labelled = shared.join(label, "doc_id", "left").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    cells = one_of_equal_cells(kept(labelled)).join(reps.select("doc_id", F.col("n_shingles").alias("size"), "bitmap"), "doc_id")
+    cells = one_of_equal_cells(kept(labelled)).join(bitmaps, "doc_id")
     links = near.unionAll(verified(candidate_pairs(cells, percent), own, words, percent))
 
     grouped = components(links).select(F.col("vertex").alias("rep"), F.col("component"))

@@ -119,7 +119,7 @@ def test_tree_loses_no_pair():
         base = pick.integers(0, 2**63, 400).astype(np.uint64)
         sets = [np.unique(pick.choice(base, pick.integers(5, 390), replace=False)) for _ in range(pick.integers(2, 70))]
         groups = pick.integers(0, 12, len(sets))
-        tree = join.SignatureTree(np.array([join.bitmap_of(s) for s in sets]), np.array([len(s) for s in sets]), groups)
+        tree = join.SignatureTree(join.folded([join.bitmap_of(s) for s in sets]), np.array([len(s) for s in sets]), groups)
         found = [tuple(sorted(p)) for a, b in tree.pairs(75, block=7) for p in zip(a.tolist(), b.tolist())]
         assert len(found) == len(set(found))
         for i in range(len(sets)):
