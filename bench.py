@@ -75,6 +75,12 @@ def main() -> None:
         "packet_entropy": lambda: entropy.packet_entropy(flows),
         "entropy_drift": lambda: entropy.entropy_drift(flows),
         "partition_balance": lambda: sharding.partition_balance(flows),
+        "graph_edges_labeled": lambda: graph.label_edges(graph.graph_edges(flows), graph.graph_degree(links())),
+        "lateral_hops": lambda: graph.lateral_hops(links(), graph.graph_degree(links())),
+        "quality_report": lambda: registry.queries()["quality_report"](spark, SF_DIR),
+        "sharded_write": lambda: registry.queries()["sharded_write"](spark, SF_DIR),
+        "bucketed_sources": lambda: registry.queries()["bucketed_sources"](spark, SF_DIR),
+        "json_mirror": lambda: registry.queries()["json_mirror"](spark, SF_DIR),
         "pair_rollup": lambda: rollup.pair_rollup(flows),
         "profile_rollup": lambda: rollup.profile_rollup(flows),
     }
@@ -100,6 +106,7 @@ def main() -> None:
         lambda: run(evaluation.overall_metrics(evaluation.outcome_counts(forest.model.transform(held_out)))))
     scorer = training.scoring_pipeline(fitted, forest)
     seconds["predict_all"] = timed(lambda: run(inference.predict(flows, scorer)))
+    seconds["stream_entropy"] = timed(lambda: run(registry.stream_entropy(spark, SF_DIR)))
     seconds["stream_blacklist"] = timed(lambda: registry.stream_blacklist(spark, SF_DIR))
 
     scale = re.search(r"sf([0-9.]+)", SF_DIR)

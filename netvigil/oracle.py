@@ -417,6 +417,7 @@ FROM entropy""", "entropy"),
 FROM (SELECT CAST({MOD:source_ip:2} AS INT) AS shard FROM flows) GROUP BY shard"""),
         "sharded_write": s("""SELECT CAST({MOD:source_ip:4} AS INT) AS shard, count(*) AS documents, count(DISTINCT source_ip) AS sources
 FROM flows GROUP BY 1"""),
+        "bucketed_sources": s("SELECT source_ip, count(*) AS flows, CAST(sum(packet_count) AS BIGINT) AS packets FROM flows GROUP BY 1"),
         "parquet_roundtrip": s("SELECT * FROM flows"),
         "publish_refresh": s(*distribution),
         "json_mirror": s(collection_counts.format(key="output", n="records"), *_EIGHT_PARTS),

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from netvigil.ml import evaluation
 from netvigil.operators import distributions, enrich, graph, hosts, quality, risk, rollup, sharding, timeline, verdicts
 from netvigil.session import fresh_path
 
@@ -180,3 +181,30 @@ def test_sharded_write_is_whole_and_spread(spark, sample):
     written = spark.read.parquet(path)
     assert written.count() == sample.count()
     assert written.groupBy("source_ip").agg({"shard": "max"}).count() == written.select("source_ip", "shard").distinct().count()
+
+
+def test_bucketed_table_needs_no_shuffle(spark, sample):
+    path = fresh_path(spark, "bucketed")
+    stored = sharding.write_bucketed(sample, f"bucketed_{path[-6:]}", path, buckets=4)
+    per_source = stored.groupBy("source_ip").count()
+    assert "Exchange" not in per_source._jdf.queryExecution().executedPlan().toString()
+    assert per_source.count() == sample.select("source_ip").distinct().count()
+
+
+def test_distinct_counts_expand_no_row(spark, sample):
+    path = fresh_path(spark, "flows")
+    sample.write.parquet(path)
+    flows = spark.read.parquet(path)
+    for report in (hosts.top_targeted_ips, risk.ip_risk_signals):
+        assert "Expand" not in report(flows)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_evaluation_keeps_labels_that_were_not_in_training(spark):
+    outcomes = spark.createDataFrame([(0, 0, 5), (0, 2, 1), (2, 0, 3), (1, 1, 4), (7, 2, 2)], "label int, prediction int, n long")
+    matrix = evaluation.confusion_matrix(outcomes, ["a", "b"])
+    cells = {(r["actual"], r["predicted"]): r["n"] for r in matrix.collect()}
+    assert cells == {("a", "a"): 5, ("a", "b"): 0, ("b", "a"): 0, ("b", "b"): 4, ("a", "Unknown_2"): 1,
+                     ("Unknown_2", "a"): 3, ("Unknown_7", "Unknown_2"): 2}
+    labels = spark.createDataFrame([(0, "a"), (1, "b"), (5, "c")], "label int, attack_type string")
+    support = {r["attack_type"]: r["support"] for r in evaluation.class_report(outcomes, labels).collect()}
+    assert support == {"a": 6, "b": 4, "c": 0, "Unknown_2": 3, "Unknown_7": 2}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from netvigil.operators import clean
 from netvigil.session import fresh_path
 from netvigil.sinks import tables
-from netvigil.sources import synthetic
+from netvigil.sources import documents, synthetic
 from netvigil.sources.documents import read_serving
 from netvigil.sources.flows import inline_rows, sum_probe, table_counts
 
@@ -74,3 +74,9 @@ def test_lookup_copy_is_sorted(spark):
     tables.write_lookup(spark.range(100).selectExpr("concat('10.0.0.', id) AS source_ip"), path)
     for part in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.collect_list("source_ip").alias("ips")).collect():
         assert part["ips"] == sorted(part["ips"])
+
+
+def test_documents_keep_numbers_with_a_fraction(spark, make_raw):
+    raw = make_raw(dict(packet_length="12.0", total_bytes="7.9", packet_count="1e3", flow_duration="x"))
+    row = documents.to_documents(raw).first()
+    assert (row["packet_length"], row["total_bytes"], row["packet_count"], row["flow_duration"]) == (12, 7, 1000, None)
