@@ -42,7 +42,7 @@ from netvigil.llm.components import components
 THRESHOLD = 0.95
 NEIGHBOURS, TABLES = 6, 12
 ROUNDS, SETTLED = 3, 0.01
-CELL, BLOCK = 96, 512
+CELL, BLOCK = 96, 256
 AUDITED, RECALL, ATTEMPTS = 200, 0.97, 3
 SEED = 20_011
 MARGIN = 1e-4  # of single precision, which is used on the way
