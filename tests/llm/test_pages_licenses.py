@@ -42,7 +42,7 @@ def test_license_lines_by_brute_force(spark):
                 want.append((str(doc_id), position, best[1], round(-best[0], 12)))
     assert lines == sorted(want) and len(want) > 50
     others = sorted((r.doc_id, r.unit, r.position, r.license) for r in got if r.unit != "line" and r.doc_id >= 1000)  # long notices also match with the prose around them
-    assert others == [(1004, "paragraph", 1, "MIT")] + [(1005, "paragraph", 2, "MIT")] * 2
+    assert others == [(1004, "paragraph", 1, "MIT")] + [(1005, "paragraph", 2, "MIT")] * 2 + [(1005, "text", 1, "MIT")] * 2
     assert scan.scan(docs.limit(0)).count() == 0
 
 
