@@ -14,8 +14,8 @@ elements with their classes; its statistics come from all pages of the host:
 Statistics alone cannot see through menus and adverts that differ on every page,
 so branches whose element, class, id or role says what they are have importance
 0 from the start, and where a page marks its article, only that part is taken.
-Inside a marked article statistics remove containers only, never its
-paragraphs, so that passages which many pages share stay.
+Inside a marked article statistics remove nothing, so that passages, lists and
+whole articles which many pages share stay.
 
 Statistics are merged on the map side, so a host of any size costs one row per
 task and node. A branch must occur on a twentieth of the host's pages, hence a
@@ -71,7 +71,6 @@ NOISE_ROLES = frozenset("""navigation banner contentinfo complementary search fo
 toolbar tablist status tooltip""".split())
 MAIN_TAGS = frozenset(["article", "main"])
 PLAIN_TAGS = frozenset("html body article main".split())
-REMOVABLE_INSIDE = frozenset("div section ul ol dl table aside".split())
 
 _markup = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -219,19 +218,9 @@ def prefixes(path: str) -> list[str]:
     return [path[:i] for i in range(1, len(path)) if path[i] == "/"] + [path] if path else []
 
 
-def tag_of(path: str) -> str:
-    return path.rpartition("/")[2].partition(".")[0]
-
-
 def removed(block: Block, noise: frozenset[str]) -> bool:
-    """Whether statistics remove the block: some branch above it is template."""
-    inside = False
-    for prefix in prefixes(block.path):
-        tag = tag_of(prefix)
-        if prefix in noise and (not (inside or block.main) or (inside and tag in REMOVABLE_INSIDE)):
-            return True
-        inside = inside or tag in MAIN_TAGS
-    return False
+    """Whether statistics remove the block: it is in no marked article, and some branch above it is template."""
+    return not block.main and any(prefix in noise for prefix in prefixes(block.path))
 
 
 def main_text(source: str | None, noise: frozenset[str]) -> str:
