@@ -271,16 +271,10 @@ def plausible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     schema = "a long, b long"
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
-            a, b, sizes_a, sizes_b, bitmaps_a, bitmaps_b = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            keep = np.zeros(len(a), bool)
-            for i in range(len(a)):
-                both = folded([np.frombuffer(bitmaps_a[i], np.uint64), np.frombuffer(bitmaps_b[i], np.uint64)])
-                keep[i] = len(SignatureTree(both, np.array([sizes_a[i], sizes_b[i]]), np.arange(2)).possible(
-                    0, np.zeros(1, np.int64), np.ones(1, np.int64), percent))
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+            found = [pair for a, b, *both in zip(*(c.to_pylist() for c in batch.columns))
+                     for pair in leaf_pairs([a, b], [0, 1], both[:2], both[2:], percent)]
+            yield from batches_of([found], schema)
 
     sides = [bitmaps.select(F.col("doc_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("bitmap").alias(f"bitmap_{s}"))
              for s in "ab"]
@@ -350,6 +344,25 @@ class SignatureTree:
             work.append((level - 1, left[keep], right[keep]))
 
 
+def leaf_pairs(ids: list, groups: list, sizes: list, bitmaps, percent: int):
+    """The pairs of one leaf that may link: the tree's test on single records, with bitmaps as whole numbers."""
+    width = 8 * min(map(len, bitmaps))
+    records = []
+    for doc_id, group, size, raw in zip(ids, groups, sizes, bitmaps):
+        bits, length = int.from_bytes(raw, "little"), 8 * len(raw)
+        while length > width:  # fold: the OR of both halves
+            length //= 2
+            bits = (bits & ((1 << length) - 1)) | (bits >> length)
+        records.append((doc_id, group, size, bits, size - bits.bit_count()))
+    for i, (a, group_a, size_a, bits_a, excess_a) in enumerate(records):
+        for b, group_b, size_b, bits_b, excess_b in records[:i]:
+            if group_a == group_b or 100 * size_a < percent * size_b or 100 * size_b < percent * size_a:
+                continue
+            overlap = (bits_a & bits_b).bit_count() + min(excess_a, excess_b)
+            if (100 + percent) * overlap >= percent * (size_a + size_b) and 100 * overlap >= percent * max(size_a, size_b):
+                yield (a, b) if a < b else (b, a)
+
+
 def one_of_equal_cells(rows: DataFrame) -> DataFrame:
     """The rows of the cells with two components or more; of cells with the same documents only one.
 
@@ -368,14 +381,13 @@ def candidate_pairs(cells: DataFrame, percent: int) -> DataFrame:
     schema = "a long, b long"
 
     def run(batches):
-        import pyarrow as pa
-
         def pairs_of(ids, groups, sizes, bitmaps):
-            if len(ids) > 1:
-                tree = SignatureTree(folded([np.frombuffer(b, np.uint64) for b in bitmaps]), sizes, groups)
-                for a, b in tree.pairs(percent):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], names=["a", "b"])
+            if len(ids) <= LEAF:
+                yield from leaf_pairs(ids.tolist(), groups.tolist(), sizes.tolist(), bitmaps, percent)
+                return
+            tree = SignatureTree(folded([np.frombuffer(b, np.uint64) for b in bitmaps]), sizes, groups)
+            for a, b in tree.pairs(percent):
+                yield from zip(np.minimum(ids[a], ids[b]).tolist(), np.maximum(ids[a], ids[b]).tolist())
 
         held = None
         for batch in batches:
@@ -385,12 +397,13 @@ def candidate_pairs(cells: DataFrame, percent: int) -> DataFrame:
             if not len(columns[0]):
                 continue
             new = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
-            starts = np.flatnonzero(np.concatenate([[True], new]))
-            for start, end in zip(starts[:-1], starts[1:]):
-                yield from pairs_of(*(c[start:end] for c in columns[2:]))
+            starts = np.flatnonzero(np.concatenate([[True], new])).tolist()
+            found = {pair for start, end in zip(starts[:-1], starts[1:]) if end - start > 1
+                     for pair in pairs_of(*(c[start:end] for c in columns[2:]))}
+            yield from batches_of([found], schema)
             held = [c[starts[-1]:] for c in columns]
         if held is not None:
-            yield from pairs_of(*held[2:])
+            yield from batches_of([pairs_of(*held[2:])], schema)
 
     # Sizes of linking documents differ by a factor of 100 / percent at most: they are in the same range of sizes or
     # in neighbouring ones, so a cell splits into ranges, each with the records of the next range as well.

@@ -122,6 +122,9 @@ def test_tree_loses_no_pair():
         tree = join.SignatureTree(join.folded([join.bitmap_of(s) for s in sets]), np.array([len(s) for s in sets]), groups)
         found = [tuple(sorted(p)) for a, b in tree.pairs(75, block=7) for p in zip(a.tolist(), b.tolist())]
         assert len(found) == len(set(found))
+        single = join.leaf_pairs(list(range(len(sets))), groups.tolist(), [len(s) for s in sets],
+                                 [join.bitmap_of(s).tobytes() for s in sets], 75)
+        assert set(single) == set(found)
         for i in range(len(sets)):
             for j in range(i):
                 common = len(np.intersect1d(sets[i], sets[j]))
