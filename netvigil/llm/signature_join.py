@@ -377,17 +377,30 @@ def one_of_equal_cells(rows: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(cells: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that may link, from rows (token, doc_id, component, size, bitmap)."""
+    """Pairs of different components that may link, each once.
+
+    ``cells`` has rows (token, doc_id, component, size, bitmap, earlier), where
+    ``earlier`` lists the document's cells with smaller tokens: of all cells that
+    two documents share, only the one with the smallest token yields the pair.
+    """
     schema = "a long, b long"
 
     def run(batches):
-        def pairs_of(ids, groups, sizes, bitmaps):
+        def pairs_of(ids, groups, sizes, visitors, bitmaps, earlier):
             if len(ids) <= LEAF:
-                yield from leaf_pairs(ids.tolist(), groups.tolist(), sizes.tolist(), bitmaps, percent)
-                return
-            tree = SignatureTree(folded([np.frombuffer(b, np.uint64) for b in bitmaps]), sizes, groups)
-            for a, b in tree.pairs(percent):
-                yield from zip(np.minimum(ids[a], ids[b]).tolist(), np.maximum(ids[a], ids[b]).tolist())
+                found = leaf_pairs(list(range(len(ids))), groups.tolist(), sizes.tolist(), bitmaps, percent)
+            else:
+                tree = SignatureTree(folded([np.frombuffer(b, np.uint64) for b in bitmaps]), sizes, groups)
+                found = (pair for a, b in tree.pairs(percent) for pair in zip(a.tolist(), b.tolist()))
+            names, guests, sets = ids.tolist(), visitors.tolist(), {}
+            for i, j in found:
+                if guests[i] and guests[j]:  # they meet in their own range of sizes
+                    continue
+                for k in (i, j):
+                    if k not in sets:
+                        sets[k] = frozenset(earlier[k].tolist())
+                if sets[i].isdisjoint(sets[j]):
+                    yield (names[i], names[j]) if names[i] < names[j] else (names[j], names[i])
 
         held = None
         for batch in batches:
@@ -406,10 +419,10 @@ def candidate_pairs(cells: DataFrame, percent: int) -> DataFrame:
             yield from batches_of([pairs_of(*held[2:])], schema)
 
     # Sizes of linking documents differ by a factor of 100 / percent at most: they are in the same range of sizes or
-    # in neighbouring ones, so a cell splits into ranges, each with the records of the next range as well.
-    zone = F.floor(F.log("size") / float(np.log(100 / percent))).cast("int") if percent < 100 else F.col("size").cast("int")
-    zoned = cells.withColumn("zone", F.explode(F.array(zone, zone - 1))).select(
-        "token", "zone", "doc_id", "component", "size", "bitmap")
+    # in neighbouring ones, so a cell splits into ranges, each with the records of the next range as visitors.
+    own = F.floor(F.log("size") / float(np.log(100 / percent))).cast("int") if percent < 100 else F.col("size").cast("int")
+    zoned = cells.withColumn("own", own).withColumn("zone", F.explode(F.array(F.col("own"), F.col("own") - 1))).select(
+        "token", "zone", "doc_id", "component", "size", (F.col("own") - F.col("zone")).alias("visitor"), "bitmap", "earlier")
     ordered = zoned.repartition("token", "zone").sortWithinPartitions("token", "zone")
     return ordered.mapInArrow(run, schema).distinct()
 
@@ -435,7 +448,10 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     near = kept(verified(plausible(star_pairs(reps, active), bitmaps, percent), own, words, percent))
     label = near.groupBy(F.col("b").alias("doc_id")).agg(F.min("a").alias("component"))
     labelled = shared.join(label, "doc_id", "left").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    cells = one_of_equal_cells(kept(labelled)).join(bitmaps, "doc_id")
+    chosen = kept(one_of_equal_cells(kept(labelled)))
+    of_doc = chosen.groupBy("doc_id").agg(F.collect_set("token").alias("tokens"))
+    cells = chosen.join(of_doc, "doc_id").select(
+        "token", "doc_id", "component", F.filter("tokens", lambda t: t < F.col("token")).alias("earlier")).join(bitmaps, "doc_id")
     links = near.unionAll(verified(candidate_pairs(cells, percent), own, words, percent))
 
     grouped = components(links).select(F.col("vertex").alias("rep"), F.col("component"))
