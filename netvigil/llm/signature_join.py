@@ -229,13 +229,14 @@ def shared_cells(rows: DataFrame) -> DataFrame:
 
 
 def only_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents named in ``ids``. A bitmap of their hashes, of fixed size, drops most others before the shuffle."""
+    """The documents named in ``ids``, which are distinct. A bitmap of their hashes, of fixed size, drops most others before the shuffle."""
     at = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     words = ids.select(at.alias("at")).groupBy((F.col("at") / 64).cast("int").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(at % 64 AS int))")).alias("bits"))
     likely = docs.withColumn("word", (at / 64).cast("int")).join(F.broadcast(words), "word").where(
         F.getbit("bits", (at % 64).cast("int")) == 1)
-    return likely.select(*docs.columns).join(ids, "doc_id", "left_semi")
+    # An inner join: a semi join would be pushed below the bitmap's, and shuffle all documents.
+    return likely.select(*docs.columns).join(ids, "doc_id")
 
 
 def document_sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
@@ -257,7 +258,7 @@ def document_sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose whole sets reach the threshold."""
     pairs = kept(pairs)
-    sets = kept(document_sets(docs, pairs, words))
+    sets = document_sets(docs, pairs, words)  # both joins below read one shuffle of it
     left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("of_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("of_b"))
     both = pairs.join(left, "a").join(right, "b")
@@ -363,25 +364,40 @@ def leaf_pairs(ids: list, groups: list, sizes: list, bitmaps, percent: int):
                 yield (a, b) if a < b else (b, a)
 
 
+def zoned(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` (token, doc_id, component, size) dealt to cells (token, zone).
+
+    Sizes of linking documents differ by a factor of 100 / percent at most: they
+    are in the same range of sizes or in neighbouring ones, so a cell splits into
+    ranges, each with the records of the next range as visitors.
+    """
+    own = F.floor(F.log("size") / float(np.log(100 / percent))).cast("int") if percent < 100 else F.col("size").cast("int")
+    return rows.withColumn("own", own).withColumn("zone", F.explode(F.array(F.col("own"), F.col("own") - 1))).select(
+        "token", "zone", "doc_id", "component", (F.col("own") - F.col("zone")).alias("visitor"))
+
+
 def one_of_equal_cells(rows: DataFrame) -> DataFrame:
     """The rows of the cells with two components or more; of cells with the same documents only one.
 
     Documents that share a passage share a cell for each of its shingles. Equal
     cells are told by 128 bits of hashes and the number of their documents.
+    Visitors alone make no cell: they meet in their own range of sizes.
     """
-    cells = rows.groupBy("token").agg(
+    cells = rows.groupBy("token", "zone").agg(
         F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("documents"),
+        F.min("visitor").alias("visitor"),
         F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"))
-    chosen = cells.where("first < last").groupBy("x", "y", "documents").agg(F.min("token").alias("token")).select("token")
-    return rows.join(chosen, "token", "left_semi")
+    chosen = cells.where("first < last AND visitor = 0").groupBy("x", "y", "documents", "zone").agg(
+        F.min("token").alias("token")).select("token", "zone")
+    return rows.join(chosen, ["token", "zone"], "left_semi")
 
 
 def candidate_pairs(cells: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that may link, each once.
 
-    ``cells`` has rows (token, doc_id, component, size, bitmap, earlier), where
-    ``earlier`` lists the document's cells with smaller tokens: of all cells that
-    two documents share, only the one with the smallest token yields the pair.
+    ``cells`` has rows (token, zone, doc_id, component, visitor, size, bitmap,
+    earlier), where ``earlier`` lists the document's cells of this zone with smaller
+    tokens: of all cells that two documents share, only the first yields the pair.
     """
     schema = "a long, b long"
 
@@ -418,12 +434,8 @@ def candidate_pairs(cells: DataFrame, percent: int) -> DataFrame:
         if held is not None:
             yield from batches_of([pairs_of(*held[2:])], schema)
 
-    # Sizes of linking documents differ by a factor of 100 / percent at most: they are in the same range of sizes or
-    # in neighbouring ones, so a cell splits into ranges, each with the records of the next range as visitors.
-    own = F.floor(F.log("size") / float(np.log(100 / percent))).cast("int") if percent < 100 else F.col("size").cast("int")
-    zoned = cells.withColumn("own", own).withColumn("zone", F.explode(F.array(F.col("own"), F.col("own") - 1))).select(
-        "token", "zone", "doc_id", "component", "size", (F.col("own") - F.col("zone")).alias("visitor"), "bitmap", "earlier")
-    ordered = zoned.repartition("token", "zone").sortWithinPartitions("token", "zone")
+    ordered = cells.select("token", "zone", "doc_id", "component", "size", "visitor", "bitmap", "earlier").repartition(
+        "token", "zone").sortWithinPartitions("token", "zone")
     return ordered.mapInArrow(run, schema).distinct()
 
 
@@ -447,11 +459,13 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     bitmaps = reps.select("doc_id", F.col("n_shingles").alias("size"), "bitmap")
     near = kept(verified(plausible(star_pairs(reps, active), bitmaps, percent), own, words, percent))
     label = near.groupBy(F.col("b").alias("doc_id")).agg(F.min("a").alias("component"))
-    labelled = shared.join(label, "doc_id", "left").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    chosen = kept(one_of_equal_cells(kept(labelled)))
-    of_doc = chosen.groupBy("doc_id").agg(F.collect_set("token").alias("tokens"))
-    cells = chosen.join(of_doc, "doc_id").select(
-        "token", "doc_id", "component", F.filter("tokens", lambda t: t < F.col("token")).alias("earlier")).join(bitmaps, "doc_id")
+    sizes = reps.select("doc_id", F.col("n_shingles").alias("size"))
+    labelled = shared.join(label, "doc_id", "left").join(sizes, "doc_id").select(
+        "token", "doc_id", F.coalesce("component", "doc_id").alias("component"), "size")
+    chosen = kept(one_of_equal_cells(zoned(labelled, percent)))
+    of_doc = chosen.groupBy("doc_id", "zone").agg(F.collect_set("token").alias("tokens"))
+    cells = chosen.join(of_doc, ["doc_id", "zone"]).withColumn(
+        "earlier", F.filter("tokens", lambda t: t < F.col("token"))).drop("tokens").join(bitmaps, "doc_id")
     links = near.unionAll(verified(candidate_pairs(cells, percent), own, words, percent))
 
     grouped = components(links).select(F.col("vertex").alias("rep"), F.col("component"))
