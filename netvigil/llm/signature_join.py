@@ -4,11 +4,12 @@ A document is the set of its distinct shingles (64-bit hashes of five words).
 Two documents link when 100 * common >= ``percent`` * union. The steps:
 
 1. Documents with equal sets form a class; one of them stands for it.
-2. Any pair that links shares a shingle among the first ``n - ceil(t n) + 1`` of
-   either set, in any order common to all. The order puts the corpus' most frequent
+2. Any pair that links shares ``l`` shingles among the first ``n - ceil(t n) + l`` of
+   either set, in any order common to all; ``l`` grows with the smaller set, so that
+   chance meetings are told from links. The order puts the corpus' most frequent
    shingles last (shared passages, page furniture), so that cells stay small.
-   One shuffle by shingle finds the cells with two documents or more; all other
-   documents have no link and are done.
+   One shuffle by shingle finds the cells with two documents or more; documents
+   without enough cells have no link and are done.
 3. Large groups of near copies are collapsed first: documents that agree in two
    minima of random orders are compared with the smallest of them only. What links
    with the same document is in one component, and pairs within need no look.
@@ -48,6 +49,7 @@ FREQUENT_SHARE, LEAST_COUNT = 0.002, 3  # of a block's documents, to be counted
 BLOCK_SHINGLES = 2_000_000
 BANDS, MINIMA = 6, 2
 LEAST_BITS = 256
+SPARE = 20  # the prefix is longer by one shingle in so many; as many more must be shared
 LEAF = 8
 TOKEN_BITS = 48  # of the 64 bits in cells; equal ends only add candidates, which are verified
 SEEN = 200_000
@@ -81,8 +83,22 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(mixed(total))
 
 
+def common_least(size: int) -> int:
+    """How many shingles two linking documents have in common within their prefixes, if the smaller has ``size``."""
+    return 1 + size // SPARE
+
+
 def prefix_length(size: int, percent: int = PERCENT) -> int:
-    return size - -(-percent * size // 100) + 1
+    """Of the shingles that two linking documents share, the first ``common_least`` are in both prefixes."""
+    return min(size, size - -(-percent * size // 100) + common_least(size))
+
+
+def with_enough_cells(shared: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The rows of documents with as many cells as a link takes; a partner has at least ``percent`` of their size."""
+    smaller = F.floor((percent * F.col("size") + 99) / 100)
+    counted = shared.groupBy("doc_id").agg(F.count("*").alias("cells")).join(sizes, "doc_id")
+    enough = counted.where(F.col("cells") >= 1 + F.floor(smaller / SPARE)).select("doc_id")
+    return shared.join(enough, "doc_id", "left_semi")
 
 
 def bitmap_of(hashes: np.ndarray) -> np.ndarray:
@@ -453,13 +469,14 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     reps = class_of.where("doc_id = rep").drop("rep")
 
     shared = shared_cells(prefix_rows(own, frequent_shingles(signed), words, percent))
-    shared = kept(shared.join(copies, "doc_id").select("token", F.col("rep").alias("doc_id")).distinct())
+    sizes = reps.select("doc_id", F.col("n_shingles").alias("size"))
+    shared = shared.join(copies, "doc_id").select("token", F.col("rep").alias("doc_id")).distinct()
+    shared = kept(with_enough_cells(kept(shared), sizes, percent))
     active = shared.select("doc_id").distinct()
 
     bitmaps = reps.select("doc_id", F.col("n_shingles").alias("size"), "bitmap")
     near = kept(verified(plausible(star_pairs(reps, active), bitmaps, percent), own, words, percent))
     label = near.groupBy(F.col("b").alias("doc_id")).agg(F.min("a").alias("component"))
-    sizes = reps.select("doc_id", F.col("n_shingles").alias("size"))
     labelled = shared.join(label, "doc_id", "left").join(sizes, "doc_id").select(
         "token", "doc_id", F.coalesce("component", "doc_id").alias("component"), "size")
     chosen = kept(one_of_equal_cells(zoned(labelled, percent)))
