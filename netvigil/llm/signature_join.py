@@ -230,15 +230,15 @@ def shared_cells(rows: DataFrame) -> DataFrame:
             starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
             ends = np.append(starts[1:], len(tokens))
             two = docs[starts] != docs[ends - 1]
-            late = [[], []]
+            late = np.empty((2, 0), np.int64)
             if token == tokens[0]:
                 two[0] = two[0] or several or doc != docs[0]
                 if two[0] and not several:
-                    late = [[token], [doc]]
+                    late = np.array([[token], [doc]], np.int64)
             take = np.repeat(two, ends - starts)
             token, doc, several = tokens[-1], docs[-1], bool(two[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([late[0], tokens[take]]).astype(np.int64)),
-                                              pa.array(np.concatenate([late[1], docs[take]]).astype(np.int64))],
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([late[0], tokens[take]])),
+                                              pa.array(np.concatenate([late[1], docs[take]]))],
                                              names=["token", "doc_id"])
 
     return rows.repartition("token").sortWithinPartitions("token", "doc_id").mapInArrow(run, schema)

@@ -130,3 +130,16 @@ def test_tree_loses_no_pair():
                 common = len(np.intersect1d(sets[i], sets[j]))
                 if groups[i] != groups[j] and 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common):
                     assert (j, i) in found
+
+
+def test_ids_beyond_the_exact_range_of_doubles(spark):
+    pick = random.Random(17)
+    rows = []
+    for group in range(20):
+        base = [f"g{group}w{i}" for i in range(60)]
+        rows += [(2**62 + 7 * len(rows) + k, " ".join(base + [f"end{k}"])) for k in (1, 2, 3)]
+    pick.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_force(rows)
+    assert len({c for _, _, c in want}) == 20
+    assert sorted(map(tuple, join.link_documents(docs).collect())) == want
