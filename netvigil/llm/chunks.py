@@ -51,20 +51,22 @@ def for_this_worker(name: str, make):
 
 
 def load_tokenizer(path: str):
-    """A ``tokenizers`` file in which the strings of special tokens are ordinary text."""
+    """A ``tokenizers`` file as the library loads it: the string of an added token has that token's id."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 class IdEncoder:
     """Ids of whole texts as bytes, four per id (unsigned, little-endian).
 
+    A text is cut at the strings of added tokens, each of which is its own id, as
+    the library does; if a vocabulary has added tokens with rules of their own
+    (normalised, stripping or single words), its texts go whole through the library.
+
     A chunk made of Latin letters, digits and plain marks splits into runs of
     one kind, which go straight to the vocabulary's model; all other chunks go
     through the library's whole path.
@@ -73,6 +75,11 @@ class IdEncoder:
     def __init__(self, path: str, entries: int = TABLE_ENTRIES):
         self.tokenizer = load_tokenizer(path)
         self.model = self.tokenizer.model
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.own_rules = any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values())
+        self.added = {t.content: struct.pack("<I", i) for i, t in added.items()}
+        longest = sorted(self.added, key=len, reverse=True)  # of those that start at one place the library takes the longest
+        self.added_cut = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = iter(range(256, 512))  # byte-level vocabularies name each byte by a visible letter
         self.byte_names = "".join(chr(b if b in visible else next(hidden)) for b in range(256))
@@ -95,6 +102,20 @@ class IdEncoder:
     def _chunk(self, chunk: str) -> bytes:
         raise NotImplementedError
 
+    def _between(self, text: str) -> bytes:
+        """Ids of a text, not empty, without any string of an added token."""
+        raise NotImplementedError
+
+    def ids(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.own_rules:
+            return self._whole(text)
+        if self.added_cut is None or not self.added_cut.search(text):
+            return self._between(text)
+        return b"".join([self.added[part] if i % 2 else self._between(part)  # cuts and texts take turns
+                         for i, part in enumerate(self.added_cut.split(text)) if part])
+
 
 class ByteLevelEncoder(IdEncoder):
     """Vocabularies in which the space belongs to the word after it.
@@ -129,9 +150,7 @@ class ByteLevelEncoder(IdEncoder):
         return not (text[0].isspace() or text[-1].isspace() or "  " in text or " \n" in text or "\n " in text
                     or "\n\n" in text or self._other_space.search(text))
 
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
+    def _between(self, text: str) -> bytes:
         table = self.table
         if self._single_spaced(text):
             first, *rest = text.replace("\n", " \n").split(" ")
@@ -157,8 +176,6 @@ class WordEncoder(IdEncoder):
             return self._run(lower)
         return b"".join([self.table[run] for run in runs])
 
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
+    def _between(self, text: str) -> bytes:
         table = self.table
         return b"".join([table[chunk] for chunk in text.replace("\n", " ").split(" ") if chunk])

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import tokenizers
 
 from netvigil.llm import best_fit_packing as packing
 from netvigil.llm import sentencepiece_codec as codec
@@ -73,6 +74,29 @@ def test_chunked_ids_of_random_texts(kind, path):
         assert encoder.ids(text) == np.array(plain(text), "<u4").tobytes(), repr(text)
 
 
+@pytest.mark.parametrize("kind, path", [(ByteLevelEncoder, BYTES), (WordEncoder, WORDS)])
+def test_added_tokens_equal_the_library_as_loaded(kind, path):
+    plain, encoder, pick = tokenizers.Tokenizer.from_file(path), kind(path), random.Random(13)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f" {end} ", f"x{end}y", f"\n{end}\n\n a", f"a  {end}  b", f"{end}'s", "<|ENDOFTEXT|> a",
+             f"<|endof{end}text|>", f"<|startoftext|>hi {end}", f"é{end}\u0301", "<|endoftext| >", None, *ODD]
+    parts = [end, "<|startoftext|>", "<|end", "oftext|>", " ", "  ", "\n", "word", "É", "\u0301", "7", "'s", "!!", "\t"]
+    texts += ["".join(pick.choices(parts, k=pick.randint(1, 12))) for _ in range(1500)]
+    for text in texts:
+        want = plain.encode(text or "", add_special_tokens=False).ids
+        assert encoder.ids(text) == np.array(want, "<u4").tobytes(), repr(text)
+
+
+def test_added_tokens_with_rules_of_their_own(tmp_path):
+    plain = tokenizers.Tokenizer.from_file(WORDS)
+    plain.add_tokens([tokenizers.AddedToken("Mark", normalized=True), tokenizers.AddedToken("[x]", lstrip=True, rstrip=True)])
+    plain.save(path := str(tmp_path / "own.json"))
+    encoder = WordEncoder(path)
+    for text in ("a mark b", "a Mark b", "remark", "a [x] b", "a [x]b <|endoftext|> c", *ODD):
+        want = plain.encode(text or "", add_special_tokens=False).ids
+        assert encoder.ids(text) == np.array(want, "<u4").tobytes(), repr(text)
+
+
 def best_fit_decreasing(lengths, capacity):
     """Bins by placing one piece after the other."""
     bins = []
