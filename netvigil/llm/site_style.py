@@ -9,17 +9,22 @@ elements with their classes; its statistics come from all pages of the host:
   pages (a block on one page counts 1, a block on all pages 0), averaged over
   the blocks and reduced by the share of linked text;
 * both are composed with weights by the number of children, and a branch whose
-  nodes all stay below ``LEAST`` is template and is removed from every page.
+  nodes all stay below ``LEAST`` is template.
+
+A node is judged by the pages on which it occurs, three at least, so the size of
+its host does not matter. Pages of a host with the same text count once, so that
+copies do not look like templates.
 
 Statistics alone cannot see through menus and adverts that differ on every page,
 so branches whose element, class, id or role says what they are have importance
 0 from the start, and where a page marks its article, only that part is taken.
-Inside a marked article statistics remove nothing, so that passages, lists and
-whole articles which many pages share stay.
+Outside marked articles all blocks of a template branch go. Inside, only
+containers (``CONTAINERS``) are template, and only their blocks whose text stands
+in the same place of three pages go: shared passages among an article's
+paragraphs and what a page has of its own stay.
 
-Statistics are merged on the map side, so a host of any size costs one row per
-task and node. A branch must occur on a twentieth of the host's pages, hence a
-host has at most twenty times as many removed branches as a page has nodes.
+Statistics are merged on the map side and dealt by node. What goes is joined to
+pages by (host, path, text) and listed per page, so no list grows with the host.
 
 Results of ``extract`` (one row per row of the input):
 
@@ -31,6 +36,7 @@ Results of ``extract`` (one row per row of the input):
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 import zlib
@@ -42,11 +48,11 @@ from pyspark.sql import functions as F
 from netvigil.llm.common import batches_of, column_of, kept, read_table
 
 LEAST = 0.3
-LEAST_PAGES, LEAST_SHARE = 3, 0.05
+LEAST_PAGES = 3
 CHILD_WEIGHT = 0.9
 DEPTH = 24  # deeper blocks count with their ancestor at this depth
 BROADCAST_BYTES = 8_000_000
-NODES = "host string, path string, kind int, feature long, children int, chars long, linked long"
+NODES = "host string, path string, kind int, feature long, page long, children int, chars long, linked long, below int"
 TEXTS = "page_id long, url string, text string, n_chars long"
 
 # Fixed values of HTML.
@@ -71,6 +77,7 @@ NOISE_ROLES = frozenset("""navigation banner contentinfo complementary search fo
 toolbar tablist status tooltip""".split())
 MAIN_TAGS = frozenset(["article", "main"])
 PLAIN_TAGS = frozenset("html body article main".split())
+CONTAINERS = ("div", "section", "ul", "ol", "dl", "table", "aside")  # what may be template inside a marked article
 
 _markup = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -85,7 +92,7 @@ class Node(NamedTuple):
     path: str
     block: bool
     noise: bool
-    main: bool
+    main: str  # path of the marked article around it, or ""
     children: list
 
 
@@ -93,7 +100,7 @@ class Block(NamedTuple):
     text: str
     path: str
     linked: int
-    main: bool
+    main: str
 
 
 def host_of(url: Column) -> Column:
@@ -128,7 +135,7 @@ def is_noise(tag: str, named: dict[str, str], inside_main: bool) -> bool:
 def parse(source: str | None) -> tuple[list[Block], list[Node]]:
     """The text blocks outside noise, in page order, and all block nodes that are not noise."""
     source = source or ""
-    root = Node("", "", True, False, False, [])
+    root = Node("", "", True, False, "", [])
     stack, nodes, blocks = [root], [root], []
     buffer: list[tuple[str, bool]] = []
     at, links = 0, 0
@@ -194,7 +201,7 @@ def parse(source: str | None) -> tuple[list[Block], list[Node]]:
         up = stack[-1]
         holder = next(n for n in reversed(stack) if n.block)
         named = attributes(m[3]) if m[3].strip(" /") else {}
-        noise = up.noise or is_noise(tag, named, up.main)
+        noise = up.noise or is_noise(tag, named, bool(up.main))
         path = holder.path
         if block:
             names = re.sub(r"\d+", "#", " ".join(sorted(named.get("class", "").split()) + [named.get("id", "")]).strip().replace("/", "_"))
@@ -203,7 +210,8 @@ def parse(source: str | None) -> tuple[list[Block], list[Node]]:
                 path = f"{path}/{style}"
             if not holder.noise:
                 holder.children.append(style)
-        node = Node(tag, path, block, noise, up.main or tag in MAIN_TAGS or named.get("role") == "main", [])
+        marked = tag in MAIN_TAGS or named.get("role") == "main"
+        node = Node(tag, path, block, noise, up.main or (path or "/" if marked else ""), [])
         links += tag == "a"
         stack.append(node)
         if block and not noise:
@@ -213,40 +221,47 @@ def parse(source: str | None) -> tuple[list[Block], list[Node]]:
     return blocks, nodes
 
 
-def prefixes(path: str) -> list[str]:
-    """The path and all its ancestors but the root, shortest first."""
-    return [path[:i] for i in range(1, len(path)) if path[i] == "/"] + [path] if path else []
+def chosen(blocks: list[Block]) -> list[Block]:
+    """The blocks of marked articles, or all of a page without any."""
+    return [b for b in blocks if b.main] or blocks
 
 
-def removed(block: Block, noise: frozenset[str]) -> bool:
-    """Whether statistics remove the block: it is in no marked article, and some branch above it is template."""
-    return not block.main and any(prefix in noise for prefix in prefixes(block.path))
+def feature_of(block: Block) -> int:
+    return zlib.crc32(block.text.encode()) << 16 | len(block.text) & 0xFFFF
 
 
-def main_text(source: str | None, noise: frozenset[str]) -> str:
-    blocks, _ = parse(source)
-    if any(b.main for b in blocks):
-        blocks = [b for b in blocks if b.main]
-    left = [b for b in blocks if not removed(b, noise)]
+def main_text(source: str | None, gone: set[tuple[str, int]]) -> str:
+    """The chosen blocks without those whose path and feature are in ``gone``."""
+    blocks = chosen(parse(source)[0])
+    left = [b for b in blocks if (b.path, feature_of(b)) not in gone] if gone else blocks
     return "\n".join(b.text for b in left or blocks)  # statistics alone never empty a page
 
 
+def page_key(html: Column) -> Column:
+    return F.xxhash64(html)
+
+
 def node_rows(pages: DataFrame) -> DataFrame:
-    """Per page and node: its sequence of children (kind 0) and its text blocks (kind 1), each once per page."""
+    """Per page (told by a hash of its text) and node: its sequence of children (kind 0) and its text blocks (kind 1), each once.
+
+    One more row (kind 2) has the key of the page's source. ``below`` is the length of the marked article's path, or 0.
+    """
 
     def run(batches):
         for batch in batches:
             rows = []
-            for host, source in zip(*(c.to_pylist() for c in batch.columns)):
+            for host, key, source in zip(*(c.to_pylist() for c in batch.columns)):
                 blocks, nodes = parse(source)
-                seen = {(n.path, 0, zlib.crc32("|".join(n.children).encode())): (len(n.children), 0, 0) for n in nodes}
+                own = "\n".join(b.text for b in chosen(blocks)).encode()
+                page = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little", signed=True)
+                seen = {(n.path, 0, zlib.crc32("|".join(n.children).encode())): (len(n.children), 0, 0, 0) for n in nodes}
                 for b in blocks:
-                    key = (b.path, 1, zlib.crc32(b.text.encode()) << 16 | len(b.text) & 0xFFFF)
-                    seen[key] = (0, len(b.text), min(b.linked, len(b.text)))
-                rows += [(host, *key, *value) for key, value in seen.items()]
+                    seen[b.path, 1, feature_of(b)] = (0, len(b.text), min(b.linked, len(b.text)), len(b.main))
+                seen["", 2, key] = (0, 0, 0, 0)
+                rows += [(host, *node, page, *value) for node, value in seen.items()]
             yield from batches_of([rows], NODES)
 
-    return pages.where("host IS NOT NULL").select("host", "html").mapInArrow(run, NODES)
+    return pages.where("host IS NOT NULL").select("host", page_key(F.col("html")), "html").mapInArrow(run, NODES)
 
 
 def broadcast_below(df: DataFrame, size: Column, limit: int) -> DataFrame:
@@ -254,37 +269,53 @@ def broadcast_below(df: DataFrame, size: Column, limit: int) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= limit else df
 
 
-def template_branches(pages: DataFrame, least: float = LEAST, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(host, noise): for each host the paths of its branches of low importance."""
-    counted = kept(node_rows(pages).groupBy("host", "path", "kind", "feature").agg(
-        F.count("*").alias("pages"), F.sum("children").alias("children"), F.sum("chars").alias("chars"),
-        F.sum("linked").alias("linked")))
-    # The root is on every page once, with one sequence of children or another.
-    sizes = kept(counted.where("path = '' AND kind = 0").groupBy("host").agg(F.sum("pages").alias("host_pages")).where(
-        F.col("host_pages") >= LEAST_PAGES))
-    sizes = broadcast_below(sizes, F.length("host") + 16, broadcast_bytes)
-    spread = F.log("pages") / F.log("host_pages")  # entropy of a feature that is once on each of `pages` pages
-    # Dealt by node, not by host: a large host has many nodes.
-    own = counted.join(sizes, "host").repartition("host", "path").groupBy("host", "path", "host_pages").agg(
-        F.sum(F.when(F.col("kind") == 0, F.col("pages"))).alias("seen"),
-        F.sum(F.when(F.col("kind") == 0, F.col("pages") * F.log("pages"))).alias("sequences"),
-        F.sum(F.when(F.col("kind") == 0, F.col("children"))).alias("children"),
-        (F.sum(F.when(F.col("kind") == 1, F.col("pages") * (1 - spread)))
-         / F.sum(F.when(F.col("kind") == 1, F.col("pages")))).alias("fresh"),
+def low_branches(counted: DataFrame, least: float) -> DataFrame:
+    """(host, branch): the branches of low importance."""
+    def total(kind: int, value: Column) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, value))
+
+    pages = F.col("pages")
+    own = counted.where("path <> ''").groupBy("host", "path").agg(
+        total(0, pages).alias("seen"), total(0, pages * F.log("pages")).alias("sequences"),
+        total(0, F.col("children")).alias("children"), total(1, pages).alias("texts"),
+        total(1, pages * F.log("pages")).alias("repeated"),
         (1 - F.sum("linked") / F.greatest(F.sum("chars"), F.lit(1))).alias("unlinked"))
+    most = F.log(F.greatest(F.col("seen"), F.lit(LEAST_PAGES)))  # entropy of a feature that is once on each page of the node
+    fresh = 1 - F.col("repeated") / F.col("texts") / most
     weight = F.pow(F.lit(CHILD_WEIGHT), F.col("children") / F.col("seen"))
-    presentation = (F.log("seen") - F.col("sequences") / F.col("seen")) / F.log("host_pages")
-    content = F.coalesce(F.col("fresh") * F.col("unlinked"), F.lit(0.0))
-    scored = own.where("path <> ''").select(
-        "host", "path", "seen", "host_pages",
-        F.when(F.col("children") > 0, F.greatest((1 - weight) * presentation, content)).otherwise(content).alias("importance"))
-    branches = scored.withColumn("branch", F.explode(ancestors(F.col("path"))))
-    judged = branches.groupBy("host", "branch", "host_pages").agg(
+    presentation = (F.log("seen") - F.col("sequences") / F.col("seen")) / most
+    content = F.coalesce(fresh * F.col("unlinked"), F.lit(0.0))
+    scored = own.select("host", "path", "seen", F.when(
+        F.col("children") > 0, F.greatest((1 - weight) * presentation, content)).otherwise(content).alias("importance"))
+    judged = scored.withColumn("branch", F.explode(ancestors(F.col("path")))).groupBy("host", "branch").agg(
         F.max("importance").alias("importance"),
         F.max(F.when(F.col("path") == F.col("branch"), F.col("seen"))).alias("seen"))
-    low = judged.where((F.col("importance") < least) & (F.col("seen") >= LEAST_PAGES)
-                       & (F.col("seen") >= LEAST_SHARE * F.col("host_pages")))
-    return kept(low.groupBy("host").agg(F.sort_array(F.collect_list("branch")).alias("noise")))
+    return judged.where((F.col("importance") < least) & (F.col("seen") >= LEAST_PAGES)).select("host", "branch")
+
+
+def template_blocks(pages: DataFrame, least: float = LEAST, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(host, key, gone): per page, told by the key of its source, its (path, feature) of blocks that are template."""
+    rows = kept(node_rows(pages).groupBy("host", "path", "kind", "feature", "page").agg(
+        *(F.max(c).alias(c) for c in ("children", "chars", "linked", "below"))))
+    counted = kept(rows.where("kind < 2").groupBy("host", "path", "kind", "feature").agg(
+        F.count("*").alias("pages"), F.sum("children").alias("children"), F.sum("chars").alias("chars"),
+        F.sum("linked").alias("linked"), F.max("below").alias("below")))
+    low = kept(low_branches(counted, least))
+    low = broadcast_below(low, F.length("host") + F.length("branch") + 16, broadcast_bytes)
+    tag = F.regexp_extract("branch", r"([^/.]*)[^/]*$", 1)
+    may = (F.col("below") == 0) | ((F.length("branch") > F.col("below")) & tag.isin(*CONTAINERS))
+    paths = counted.where("kind = 1 AND path <> ''").groupBy("host", "path", "below").agg(F.count("*").alias("texts")).withColumn(
+        "branch", F.explode(ancestors(F.col("path")))).where(may).join(low, ["host", "branch"]).select(
+        "host", "path", "below").distinct()
+    paths = broadcast_below(kept(paths), F.length("host") + F.length("path") + 16, broadcast_bytes)
+    texts = counted.where("kind = 1").join(paths, ["host", "path", "below"]).where(
+        (F.col("below") == 0) | (F.col("pages") >= LEAST_PAGES)).select("host", "path", "feature")
+    texts = broadcast_below(kept(texts), F.length("host") + F.length("path") + 24, broadcast_bytes)
+    gone = rows.where("kind = 1").join(texts, ["host", "path", "feature"]).groupBy("host", "page").agg(
+        F.collect_list(F.struct("path", "feature")).alias("gone"))
+    keys = rows.where("kind = 2").select("host", F.col("feature").alias("key"), "page")
+    # Pages of different texts with one key can share lists: they name path and text of what goes.
+    return kept(keys.join(gone, ["host", "page"]).groupBy("host", "key").agg(F.flatten(F.collect_list("gone")).alias("gone")))
 
 
 def extract(pages: DataFrame, least: float = LEAST, id_column: str = "page_id", url_column: str = "url",
@@ -293,24 +324,19 @@ def extract(pages: DataFrame, least: float = LEAST, id_column: str = "page_id",
     own = pages.select(column_of(pages, id_column, "long").alias("page_id"),
                        column_of(pages, url_column, "string").alias("url"),
                        column_of(pages, html_column, "string").alias("html")).withColumn("host", host_of(F.col("url")))
-    templates = template_branches(own, least, broadcast_bytes)
-    templates = broadcast_below(templates, F.length("host") + F.length(F.to_json("noise")), broadcast_bytes)
-    joined = own.join(templates, "host", "left")
+    templates = template_blocks(own, least, broadcast_bytes)
+    templates = broadcast_below(templates, F.length("host") + F.length(F.to_json("gone")), broadcast_bytes)
+    joined = own.withColumn("key", page_key(F.col("html"))).join(templates, ["host", "key"], "left")
 
     def run(batches):
-        sets: dict[tuple, frozenset] = {}
         for batch in batches:
             rows = []
-            for page_id, url, source, noise in zip(*(c.to_pylist() for c in batch.columns)):
-                key = tuple(noise or ())
-                if key not in sets:
-                    sets.clear()
-                    sets[key] = frozenset(key)
-                text = main_text(source, sets[key])
+            for page_id, url, source, gone in zip(*(c.to_pylist() for c in batch.columns)):
+                text = main_text(source, {(g["path"], g["feature"]) for g in gone or ()})
                 rows.append((page_id, url, text, len(text)))
             yield from batches_of([rows], TEXTS)
 
-    return joined.select("page_id", "url", "html", "noise").mapInArrow(run, TEXTS)
+    return joined.select("page_id", "url", "html", "gone").mapInArrow(run, TEXTS)
 
 
 def op10_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,36 @@ def test_same_pages_keep_their_article(spark):
     assert {r.text for r in site.extract(pages(spark, bare)).collect()} == {"Always the same."}
 
 
+def test_statistics_judge_nodes_inside_articles(spark):
+    """Repeated containers without telling names go; shared paragraphs, own lists and own text in such a container stay."""
+    def page(i):
+        box = "Only here, once." if i == 7 else "Our shop since 1990"
+        return (f'<article><h1>Title {i}</h1><div class="box"><p>{box}</p></div><p>Text number {i} is here.</p>'
+                f'<ul class="x"><li>Call us</li><li>Write us</li></ul><ol><li>step {i}</li><li>done</li></ol>'
+                '<p>A passage that all pages share.</p></article>')
+
+    rows = [(i, f"http://inside.example/{i}", page(i)) for i in range(40)]
+    listed = "<article><p>Copied</p><ul><li>a</li><li>b</li></ul></article><p>view {}</p>"
+    copies = [(100 + i, f"http://copies.example/{i}", listed.format(i)) for i in range(9)]
+    for limit in (site.BROADCAST_BYTES, -1):
+        got = {r.page_id: r.text for r in site.extract(pages(spark, rows + copies), broadcast_bytes=limit).collect()}
+        for i in range(40):
+            own = "Only here, once.\n" if i == 7 else ""
+            assert got[i] == f"Title {i}\n{own}Text number {i} is here.\nstep {i}\ndone\nA passage that all pages share."
+        assert {got[100 + i] for i in range(9)} == {"Copied\na\nb"}
+
+
+def test_size_of_the_host_does_not_matter(spark):
+    """A section's template goes whether its pages are a host of their own or a hundredth of one."""
+    section = [f'<div class="s"><p>Section rules</p></div><p>Text {i}</p>' for i in range(10)]
+    rows = [(i, f"http://small.example/{i}", h) for i, h in enumerate(section)]
+    rows += [(100 + i, f"http://large.example/{i}", h) for i, h in enumerate(section)]
+    rows += [(1000 + i, f"http://large.example/other/{i}", f"<p>Other {i}</p>") for i in range(990)]
+    got = {r.page_id: r.text for r in site.extract(pages(spark, rows)).collect()}
+    assert [got[i] for i in range(10)] == [got[100 + i] for i in range(10)] == [f"Text {i}" for i in range(10)]
+    assert all(got[1000 + i] == f"Other {i}" for i in range(990))
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "no host", ""), (3, "http://h/", "plain text"), (3, "http://h/", "plain text"),
             (None, "http://h/", "<p>a<p>b"), (4, "http://h/", "<p>cut <b>off &am"), (5, "http://h/", "x < y > z"),
