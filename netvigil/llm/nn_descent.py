@@ -7,13 +7,16 @@
    of them), and tells each of them about the others that improve on the worst of
    its list. Rounds end when few lists change.
 4. Edges with cosine >= ``threshold`` give components. A list is saturated when all
-   its entries reach the threshold: it then says nothing about the rest. Lists are
-   therefore enlarged to the whole component: its members are compared in double
+   its entries reach the threshold: it then says nothing about the rest. Vectors with
+   such lists get a list of vectors of other components, by the same rounds, until
+   no list is saturated or no component finds another. Lists are then
+   enlarged to the whole component: its members are compared in double
    precision, block against block, which gives every link between vectors of one
    component. Only counts leave the blocks, no pairs.
-5. An audit compares a sample of vectors with all others by brute force. While it
-   finds less than ``recall`` of the links, everything is repeated with lists of
-   twice the size and twice the tables, up to ``attempts`` times.
+5. An audit compares samples of vectors, by number of links and without any, with
+   all others by brute force. While less than ``recall`` of the links were found,
+   everything is repeated with lists of twice the size and twice the tables, up to
+   ``attempts`` times; what is still short then is an error.
 
 A vector needs more than one row per neighbour nowhere but in step 4, whose work is
 the number of pairs within components.
@@ -41,7 +44,7 @@ from netvigil.llm.components import components
 
 THRESHOLD = 0.95
 NEIGHBOURS, TABLES = 6, 12
-ROUNDS, SETTLED = 3, 0.01
+SETTLED = 0.01
 CELL, BLOCK = 96, 256
 AUDITED, RECALL, ATTEMPTS = 200, 0.97, 3
 SEED = 20_011
@@ -110,16 +113,17 @@ def stacked(raw, kind) -> np.ndarray:
 
 
 def best_of_cell(k: int):
-    """Every member's best ``k`` others of its cell that improve on its ``worst`` entry."""
+    """Every member's best ``k`` of its cell, in other groups than its own, that improve on its ``worst`` entry."""
 
     def work(columns):
-        ids, raw, worst = columns
+        ids, raw, own, worst = columns
         ids, first = np.unique(ids, return_index=True)
         if len(ids) < 2:
             return
         vectors = stacked(raw[first], np.float32)
         cosines = vectors @ vectors.T
-        np.fill_diagonal(cosines, -2)
+        own = own[first]
+        cosines[own[:, None] == own[None, :]] = -3
         most = min(k, len(ids) - 1)
         best = np.argpartition(-cosines, most - 1, axis=1)[:, :most]
         found = np.take_along_axis(cosines, best, 1)
@@ -138,50 +142,84 @@ def best_lists(edges: DataFrame, k: int) -> DataFrame:
 def first_lists(points: DataFrame, count: int, k: int, tables: int, cell: int) -> DataFrame:
     """Edges within the cells of ``tables`` random hyperplane tables."""
     bits = max(0, int(np.ceil(np.log2(max(1, count) / cell * 2))))
-    schema = "tab int, dim int, bucket long, id long, v32 binary"
+    schema = "tab int, dim int, bucket long, id long, v32 binary, own long"
 
     def run(batches):
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
             rows = []
-            for vec_id, dim, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            for vec_id, dim, raw, own in zip(*(c.to_pylist() for c in batch.columns)):
                 if dim not in planes:
                     planes[dim] = np.random.default_rng(SEED).standard_normal((tables * bits, dim))
                 vector = np.frombuffer(raw)
                 signs = (planes[dim] @ vector > 0).reshape(tables, bits)
                 buckets = signs @ (1 << np.arange(bits, dtype=np.int64))
                 short = vector.astype(np.float32).tobytes()
-                rows += [(t, dim, b, vec_id, short) for t, b in enumerate(buckets.tolist())]
+                rows += [(t, dim, b, vec_id, short, own) for t, b in enumerate(buckets.tolist())]
             yield from batches_of([rows], schema)
 
-    dealt = kept(points.select("id", "dim", "vector").mapInArrow(run, schema))
+    dealt = kept(points.select("id", "dim", "vector", "own").mapInArrow(run, schema))
     sizes = dealt.groupBy("tab", "dim", "bucket").agg(F.count("*").alias("members"))
     parts = F.ceil(F.col("members") / cell)
     split = dealt.join(sizes, ["tab", "dim", "bucket"]).withColumn("part", F.pmod(F.xxhash64("id", "tab"), parts)).drop("members")
-    rows = split.select("tab", "dim", "bucket", "part", "id", "v32", F.lit(-2.0).alias("worst"))
+    rows = split.select("tab", "dim", "bucket", "part", "id", "v32", "own", F.lit(-2.0).alias("worst"))
     return cells_of(rows, ["tab", "dim", "bucket", "part"], EDGES, best_of_cell(k))
 
 
-def descend(points: DataFrame, count: int, k: int, tables: int, rounds: int = ROUNDS, cell: int = CELL) -> DataFrame:
-    """The neighbour graph (u, w, cosine) after NN-descent."""
-    short = kept(points.select("id", "vector").mapInArrow(_shortened, "id long, v32 binary"))
+def descend(points: DataFrame, count: int, k: int, tables: int, cell: int = CELL, around: DataFrame | None = None) -> DataFrame:
+    """The neighbour graph (u, w, cosine) after NN-descent, without edges inside a group (column ``own`` of ``points``).
+
+    Edges of ``around``, at most a list per vector, lead on to neighbours in the same group.
+    """
+    short = kept(points.select("id", "vector").mapInArrow(_shortened, "id long, v32 binary").join(points.select("id", "own"), "id"))
     graph = kept(best_lists(first_lists(points, count, k, tables, cell), k))
-    for _ in range(rounds):
+    while True:
         back = graph.select(F.col("w").alias("pivot"), F.col("u").alias("id"), "cosine").withColumn(
             "place", F.row_number().over(Window.partitionBy("pivot").orderBy(F.desc("cosine"), "id")))
         members = graph.select(F.col("u").alias("pivot"), F.col("w").alias("id")).unionAll(
             back.where(F.col("place") <= k).select("pivot", "id")).unionAll(
-            graph.select(F.col("u").alias("pivot"), F.col("u").alias("id"))).distinct()
+            graph.select(F.col("u").alias("pivot"), F.col("u").alias("id")))
+        if around is not None:
+            members = members.unionAll(around.select(F.col("u").alias("pivot"), F.col("w").alias("id")))
+        members = members.distinct()
         worst = graph.groupBy(F.col("u").alias("id")).agg(
             F.when(F.count("*") >= k, F.min("cosine")).otherwise(F.lit(-2.0)).alias("worst"))
         told = short.join(worst, "id", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0)))
-        better = cells_of(members.join(told, "id").select("pivot", "id", "v32", "worst"), ["pivot"], EDGES, best_of_cell(k))
+        better = cells_of(members.join(told, "id").select("pivot", "id", "v32", "own", "worst"), ["pivot"], EDGES, best_of_cell(k))
         before = graph
         graph = kept(best_lists(before.select("u", "w", "cosine").unionAll(better), k))
         changed = graph.join(before, ["u", "w"], "left_anti").count()
         if changed <= SETTLED * k * count:
-            break
-    return graph
+            return graph
+
+
+def saturated(graph: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(id) of the vectors whose lists are full of entries that reach the threshold."""
+    return graph.where(F.col("cosine") >= threshold - MARGIN).groupBy(F.col("u").alias("id")).agg(
+        F.count("*").alias("entries")).where(F.col("entries") >= k).select("id")
+
+
+def linked_groups(points: DataFrame, count: int, k: int, tables: int, threshold: float) -> DataFrame:
+    """(vertex, component) of the vectors with near others, with components that full lists hide from each other joined."""
+    graph = descend(points.withColumn("own", F.col("id")), count, k, tables)
+    reach = F.col("cosine") >= threshold - MARGIN
+    near = graph.where(reach).select(F.col("u").alias("a"), F.col("w").alias("b"))
+    grouped, full = kept(components(near)), saturated(graph, k, threshold)
+    while True:
+        # A link between components is in neither end's list only if both lists are full.
+        hidden = kept(points.join(full, "id").join(grouped.withColumnRenamed("vertex", "id"), "id").withColumnRenamed("component", "own"))
+        size, groups = hidden.agg(F.count("*"), F.countDistinct("own")).first()
+        if groups < 2:
+            return grouped
+        around = graph.join(hidden.select(F.col("id").alias("u")), "u", "left_semi").join(
+            hidden.select(F.col("id").alias("w")), "w", "left_semi")
+        others = descend(hidden, size, k, tables, around=kept(around))
+        found = kept(others.where(reach).select(F.col("u").alias("a"), F.col("w").alias("b")))
+        if found.isEmpty():
+            return grouped
+        full = kept(saturated(others, k, threshold))
+        near = grouped.select(F.col("vertex").alias("a"), F.col("component").alias("b")).where("a <> b").unionAll(found)
+        grouped = kept(components(near))
 
 
 def _shortened(batches):
@@ -233,9 +271,14 @@ def links_within(points: DataFrame, grouped: DataFrame, threshold: float, block:
     return cells_of(cells, ["component", "low", "high"], schema, work)
 
 
-def audit(points: DataFrame, found: DataFrame, threshold: float, sample: int = AUDITED) -> tuple[int, int]:
-    """(links found, links there) of at most ``sample`` vectors against all."""
-    chosen = points.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(sample).select("id", "dim", "vector").collect()
+def audit(points: DataFrame, found: DataFrame, threshold: float, sample: int = AUDITED) -> list[tuple[int, int, int, int]]:
+    """(vectors, sampled, links found, links there) of at most ``sample`` vectors against all, per power of two of links found."""
+    counted = kept(points.join(found.select("id", "n_links"), "id", "left").select(
+        "id", "dim", "vector", F.coalesce("n_links", F.lit(0)).alias("n_links")).withColumn(
+        "stratum", F.ceil(F.log2(F.col("n_links") + 1)).cast("int")))
+    strata = {r["stratum"]: r["count"] for r in counted.groupBy("stratum").count().collect()}  # at most 64
+    chosen = [r for stratum in strata for r in counted.where(F.col("stratum") == stratum).orderBy(
+        F.xxhash64("id", F.lit(SEED)), "id").limit(sample).collect()]
     queries: dict[int, tuple] = {}
     for dim in {r["dim"] for r in chosen}:
         own = [r for r in chosen if r["dim"] == dim]
@@ -253,10 +296,20 @@ def audit(points: DataFrame, found: DataFrame, threshold: float, sample: int = A
                     rows += zip(names.tolist(), (linked @ sizes[own]).tolist())
             yield from batches_of([rows], schema)
 
-    there = points.select("id", "dim", "size", "vector").mapInArrow(run, schema).groupBy("id").agg(F.sum("there").alias("there"))
-    both = there.join(found.select("id", "n_links"), "id", "left").agg(
-        F.sum(F.least(F.coalesce("n_links", F.lit(0)), F.col("there"))), F.sum("there")).first()
-    return int(both[0] or 0), int(both[1] or 0)
+    there = {r["id"]: r["there"] for r in points.select("id", "dim", "size", "vector").mapInArrow(run, schema).groupBy("id").agg(
+        F.sum("there").alias("there")).collect()}  # one row per sampled vector
+    result = []
+    for stratum, vectors in strata.items():
+        own = [r for r in chosen if r["stratum"] == stratum]
+        result.append((vectors, len(own), sum(min(r["n_links"], there[r["id"]]) for r in own), sum(there[r["id"]] for r in own)))
+    return result
+
+
+def is_short(audited: list[tuple[int, int, int, int]], recall: float) -> bool:
+    """Whether less than ``recall`` of the links were found: of all, as projected, or in a stratum with enough links to tell."""
+    got = sum(vectors / sampled * found for vectors, sampled, found, _ in audited)
+    of = sum(vectors / sampled * there for vectors, sampled, _, there in audited)
+    return got < recall * of or any(0 < found < recall * there and there * (1 - recall) >= 1 for _, _, found, there in audited)
 
 
 def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS, tables: int = TABLES,
@@ -273,14 +326,14 @@ def link_vectors(vectors: DataFrame, threshold: float = THRESHOLD, neighbours: i
 
     for attempt in range(attempts):
         k, t = neighbours << attempt, tables << attempt
-        graph = descend(points, count, k, t)
-        near = graph.where(F.col("cosine") >= threshold - MARGIN).select(F.col("u").alias("a"), F.col("w").alias("b"))
-        links = kept(links_within(points, kept(components(near)), threshold))
+        links = kept(links_within(points, linked_groups(points, count, k, t, threshold), threshold))
         found = links.groupBy("id").agg(F.sum("n_links").alias("n_links"))
-        there, of = audit(points, found, threshold)
-        log.info("attempt %s: %s of %s links found", attempt + 1, there, of)
-        if there >= recall * of:
+        audited = audit(points, found, threshold)
+        log.info("attempt %s: (vectors, sampled, links found, links there) %s", attempt + 1, audited)
+        if not is_short(audited, recall):
             break
+    else:
+        raise RuntimeError(f"less than {recall} of the links found after {attempts} attempts: {audited}")
 
     grouped = components(links.select(F.col("id").alias("a"), F.col("near").alias("b")))
     named = points.select("digest", "id", "rep", "size").join(grouped.withColumnRenamed("vertex", "id"), "id", "left").withColumn(

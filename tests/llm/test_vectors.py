@@ -77,3 +77,28 @@ def test_recall_on_the_small_table(spark):
 @pytest.mark.parametrize("values", [None, [], [0.0], [None, 1.0], [float("nan")], [float("-inf")]])
 def test_vectors_that_link_with_nothing(values):
     assert nn.normalised(values) is None
+
+
+def test_full_lists_hide_no_component(spark):
+    """Two groups of close copies that link with each other: every list is full of the own group."""
+    pick = np.random.default_rng(21)
+    first = np.eye(16)[0]
+    second = 0.96 * first + np.sqrt(1 - 0.96 ** 2) * np.eye(16)[1]
+    rows = [(i, (base + pick.standard_normal(16) * 1e-4).tolist()) for i, base in enumerate([first, second] * 50)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((tuple(r) for r in nn.link_vectors(docs, attempts=1).collect()), key=str)
+    assert got == brute_force(rows) and {r[1] for r in got} == {99}
+
+
+def test_short_recall_is_an_error(spark, monkeypatch):
+    rows = [(i, np.eye(8)[i // 2].tolist() if i % 2 else (np.eye(8)[i // 2] + 0.01).tolist()) for i in range(16)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    nothing = spark.createDataFrame([], "vertex long, component long")
+    monkeypatch.setattr(nn, "linked_groups", lambda *_: nothing)
+    with pytest.raises(RuntimeError, match="links found"):
+        nn.link_vectors(docs)
+
+
+def test_audit_counts_rare_links():
+    assert nn.is_short([(10_000, 200, 0, 3), (50, 50, 100, 100)], 0.97)
+    assert not nn.is_short([(10_000, 200, 0, 0), (50, 50, 100, 100)], 0.97)
