@@ -48,6 +48,20 @@ def batches_of(groups: Iterable[Iterable[tuple]], schema) -> Iterator:
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
 
+def text_blocks(batch, column: int, most_bytes: int) -> Iterator:
+    """Consecutive slices of an Arrow batch whose texts have about ``most_bytes`` together; a longer text is one by itself."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = int(sizes[at - 1]) if at else 0
+        upto = max(at + 1, int(np.searchsorted(sizes, before + most_bytes, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus == remainder, F.lit(False))
