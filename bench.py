@@ -70,7 +70,7 @@ def main() -> None:
         "geo_enriched": lambda: enrich.geo_enriched(scored()),
         "mitigation_rules": lambda: enrich.mitigation_rules(flows.select("source_ip", "attack_type").distinct(), registry.RULES),
         "rule_classifier": lambda: verdicts.rule_classifier(flows),
-        "graph_summary": lambda: graph.graph_summary(graph.graph_degree(links())),
+        "graph_summary": lambda: graph.graph_summary(links()),
         "graph_edges": lambda: graph.graph_edges(flows),
         "packet_entropy": lambda: entropy.packet_entropy(flows),
         "entropy_drift": lambda: entropy.entropy_drift(flows),

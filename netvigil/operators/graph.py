@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from netvigil.functions.measures import Measures, as_double
 from netvigil.operators.distributions import GIB
+from netvigil.operators.graph_depth import graph_depth
 from netvigil.operators.hosts import attack_flows
 from netvigil.session import materialize
 
@@ -69,8 +70,10 @@ def graph_pivots(degree: DataFrame) -> DataFrame:
     )
 
 
-def graph_summary(degree: DataFrame) -> DataFrame:
-    """Vertices, links, pivots, two-hop walks and the depth reached (at most 2)."""
+def graph_summary(links: DataFrame) -> DataFrame:
+    """Vertices, links, pivots, two-hop walks, and the largest level of a host (see ``graph_depth``)."""
+    links = materialize(links, "links")
+    degree = graph_degree(links)
     pivot = (F.col("in_degree") > 0) & (F.col("out_degree") > 0)
     totals = degree.agg(
         F.count(F.lit(1)).alias("vertices"),
@@ -78,8 +81,7 @@ def graph_summary(degree: DataFrame) -> DataFrame:
         F.count_if(pivot).alias("pivots"),
         F.coalesce(F.sum(walks()), F.lit(0.0)).alias("two_hop_walks"),
     )
-    depth = F.when(F.col("pivots") > 0, 2).when(F.col("edges") > 0, 1).otherwise(0)
-    return totals.withColumn("max_depth", depth)
+    return totals.withColumn("max_depth", F.lit(graph_depth(links).first()["max_depth"]))
 
 
 def pivot_hosts(degree: DataFrame) -> DataFrame:
