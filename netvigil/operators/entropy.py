@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netvigil.functions.verdicts import entropy_flag, entropy_z
+from netvigil.operators.ordering import moving
 
 
 def symbol_counts(flows: DataFrame, width: str = "1 hour") -> DataFrame:
@@ -55,11 +56,10 @@ def entropy_flags(entropy: DataFrame) -> DataFrame:
 def entropy_drift(flows: DataFrame, width: str = "1 hour", windows: int = 20) -> DataFrame:
     """Moving average of the entropy over the last ``windows`` windows.
 
-    The ordered frame runs over one row per window, whose number depends on the
-    period covered and not on the number of flows.
+    The windows are numbered and averaged in blocks, each with the windows before
+    it that it needs, so that windows of a second over years do not meet in one task.
     """
-    frame = Window.orderBy("window_start").rowsBetween(1 - windows, Window.currentRow)
-    return entropy_of(symbol_counts(flows, width)).select(
-        "window_start", rounded(F.col("h")).alias("entropy"),
-        rounded(F.avg("h").over(frame)).alias("moving_avg"),
+    per_window = entropy_of(symbol_counts(flows, width)).select("window_start", "h")
+    return moving(per_window, "window_start", windows, average=F.avg("h")).select(
+        "window_start", rounded(F.col("h")).alias("entropy"), rounded(F.col("average")).alias("moving_avg"),
     )
