@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,11 @@ from netvigil.sources.flows import read_flows, write_raw_flows
 from netvigil.sources.synthetic import generate_range
 
 
-def predict(spark: SparkSession, out: str, limit: int, store: bool) -> DataFrame:
+def predict(spark: SparkSession, out: str, limit: int, store: bool, name: str | None = None) -> DataFrame:
     model = PipelineModel.load(f"{out}/threat_model")
     sample = inference.predict(read_flows(spark, f"{out}/{jobs.CLEAN}"), model, limit)
     if store:
-        append_predictions(sample, f"{out}/serving/prediction_log")
+        append_predictions(sample, f"{out}/serving/prediction_log", name or uuid.uuid4().hex)
     return sample
 
 
@@ -42,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
     scoring = command("predict", "score the first flows")
     scoring.add_argument("--limit", type=int, default=5)
     scoring.add_argument("--store", action="store_true", help="append to the prediction log")
+    scoring.add_argument("--run", help="name of the run in the log; the same name replaces its records")
     generate = command("generate", "write synthetic raw logs as CSV")
     generate.add_argument("--rows", type=int, default=100_000)
     generate.add_argument("--seed", type=int, default=42)
@@ -65,7 +67,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
         "train": lambda: jobs.run_training(spark, out).metrics,
         "publish": lambda: jobs.publish(spark, out, args.force),
         "lookup": lambda: jobs.lookup(spark, out, args.ip),
-        "predict": lambda: predict(spark, out, args.limit, args.store),
+        "predict": lambda: predict(spark, out, args.limit, args.store, args.run),
     }[args.job]()
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netvigil.functions.temporal import as_text
+from netvigil.sinks.versions import publish
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -18,24 +19,33 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_lookup(risk: DataFrame, path: str) -> None:
-    """Risk table sorted by address, so that a point lookup skips almost all row groups."""
-    risk.repartitionByRange("source_ip").sortWithinPartitions("source_ip").write.mode("overwrite").parquet(path)
+    """Risk table for point lookups of an address.
+
+    Sorted by address, so that row groups with other ranges are skipped, and with
+    a bloom filter per row group, so that an address that was never seen is
+    answered without reading a row of the range it would be in.
+    """
+    options = {"parquet.bloom.filter.enabled#source_ip": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+    risk.repartitionByRange("source_ip").sortWithinPartitions("source_ip").write.mode("overwrite").options(**options).parquet(path)
 
 
 def refresh_serving(df: DataFrame, path: str) -> bool:
-    """Replace a serving table; an empty input leaves the old one in place."""
-    if df.isEmpty():
-        return False
-    df.write.mode("overwrite").parquet(path)
-    return True
+    """Replace a serving table (read it with ``read_published``); an empty input leaves the old one in place.
+
+    Its readers see the old table until the new one is complete.
+    """
+    root, _, name = path.rstrip("/").rpartition("/")
+    return bool(publish({name: df}, root))
 
 
 def stamped(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("analyzed_at", F.current_timestamp())
 
 
-def append_predictions(predictions: DataFrame, path: str) -> None:
-    stamped(predictions).write.mode("append").parquet(path)
+def append_predictions(predictions: DataFrame, path: str, run: str) -> None:
+    """Add the predictions of a run to the log; the same run given again replaces its own and no others."""
+    stamped(predictions).withColumn("run", F.lit(run)).write.partitionBy("run").mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def without_timestamps(df: DataFrame) -> DataFrame:

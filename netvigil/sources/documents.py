@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from netvigil.operators.clean import whole_number
 from netvigil.schema import DOCUMENT_SCHEMA, METRICS, RAW_COLUMNS
+from netvigil.sources.versions import read_published, table_or_none
 
 # Texts that mean "no value" in a raw log.
 MISSING_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -24,32 +24,31 @@ def to_documents(raw: DataFrame) -> DataFrame:
     ])
 
 
-def load_documents(raw: DataFrame, path: str) -> None:
-    """Append raw rows to the document copy. NULL fields are kept in each document."""
-    to_documents(raw).write.mode("append").option("ignoreNullFields", False).json(path)
+def load_documents(raw: DataFrame, path: str, load: str | None = None) -> None:
+    """Append raw rows to the document copy. NULL fields are kept in each document.
 
-
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DOCUMENT_SCHEMA).json(path)
+    With the name of a load the rows go to its own partition, which a repetition
+    replaces, so that a load that failed or was started twice leaves one copy.
+    """
+    documents = to_documents(raw)
+    if load is None:
+        documents.write.mode("append").option("ignoreNullFields", False).json(path)
+        return
+    documents.withColumn("load", F.lit(load)).write.partitionBy("load").mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").option("ignoreNullFields", False).json(path)
 
 
-def table_or_none(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None):
-    """The table at ``path``, or None when there is none."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    try:
-        return reader.format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DOCUMENT_SCHEMA).json(path).select(*DOCUMENT_SCHEMA.names)
 
 
 def read_serving(
     spark: SparkSession, table_path: str, mirror_path: str, schema: StructType | None = None
 ) -> DataFrame | None:
-    """The serving table, or its JSON mirror when the table is absent or empty."""
-    for path, fmt in ((table_path, "parquet"), (mirror_path, "json")):
-        found = table_or_none(spark, path, fmt, schema)
+    """The serving table (as published, or a plain one), or its JSON mirror when the table is absent or empty."""
+    for read in (lambda: read_published(spark, table_path), lambda: table_or_none(spark, table_path, "parquet", schema),
+                 lambda: table_or_none(spark, mirror_path, "json", schema)):
+        found = read()
         if found is not None and not found.isEmpty():
             return found
     return None

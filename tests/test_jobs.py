@@ -10,6 +10,7 @@ from netvigil.plans import jobs
 from netvigil.session import fresh_path
 from netvigil.sources import flows as flow_source
 from netvigil.sources.synthetic import generate_range
+from netvigil.sources.versions import read_current
 
 
 @pytest.fixture(scope="module")
@@ -124,6 +125,6 @@ def test_unseen_class_gets_the_extra_label(spark, run, make_flows):
 
 
 def test_metrics_document(spark, run):
-    document = spark.read.parquet(f"{run['out']}/serving/model_metrics").first()
+    document = read_current(spark, f"{run['out']}/serving", "model_metrics").first()
     assert '"model":"random_forest"' in document["models"] and '"actual":"DDoS"' in document["confusion_matrix"]
     assert '"recall"' in document["per_class_metrics"] and document["integrated_at"] is not None
