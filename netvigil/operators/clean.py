@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from netvigil.schema import FLOW_KEY, FLOW_SCHEMA, METRICS, TIMESTAMP_SHAPE
+from netvigil.sources.flows import REJECTED, inline_rows
 
 # Columns outside the flow key, in the order that decides which duplicate stays.
 _KEPT = ["attack_type", "severity", "packet_length", "packet_count"]
@@ -27,8 +29,8 @@ def parse_time(text: Column) -> Column:
     return F.when(text.rlike(TIMESTAMP_SHAPE), text.try_cast("timestamp"))
 
 
-def typed_flows(raw: DataFrame) -> DataFrame:
-    """Trim text, read numbers and timestamps; unreadable values become NULL."""
+def typed_flows(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Trim text, read numbers and timestamps; unreadable values become NULL. Columns to ``keep`` stay as they are."""
     return raw.select(
         F.trim("source_ip").alias("source_ip"),
         F.trim("destination_ip").alias("destination_ip"),
@@ -36,7 +38,7 @@ def typed_flows(raw: DataFrame) -> DataFrame:
         *[whole_number(F.col(name)).alias(name) for name in METRICS],
         F.trim("attack_type").alias("attack_type"),
         F.trim("severity").alias("severity"),
-        parse_time(F.col("timestamp")).alias("timestamp"),
+        parse_time(F.col("timestamp")).alias("timestamp"), *keep,
     )
 
 
@@ -77,16 +79,47 @@ def clean_flows(raw: DataFrame) -> DataFrame:
     return with_time_parts(unique).select(*FLOW_SCHEMA.names)
 
 
-def funnel_columns(counted: DataFrame) -> DataFrame:
+def funnel_columns(counted: DataFrame, *more: str) -> DataFrame:
     raw_n, valid_n, clean_n = (F.col(c) for c in ("raw_records", "valid_records", "clean_records"))
     return counted.select(
-        raw_n, valid_n, clean_n,
+        raw_n, valid_n, clean_n, *more,
         (raw_n - valid_n).alias("invalid_dropped"),
         (valid_n - clean_n).alias("duplicates_dropped"),
         (raw_n - clean_n).alias("total_dropped"),
     )
 
 
+def observed_clean(records: DataFrame) -> tuple[DataFrame, Observation]:
+    """Clean flows of raw records, and the counts of the funnel, observed while they are written.
+
+    Records carry ``rejected_line`` (see ``read_raw_records``). All records go
+    through the one aggregate that removes duplicates: those that are no flows
+    have one group each, merged on the map side, so every step is counted behind
+    the last shuffle. There a task that is repeated after a loss counts once.
+    """
+    rejected = F.col(REJECTED).isNotNull()
+    typed = typed_flows(records, keep=[REJECTED])
+    status = F.when(rejected, "rejected").when(is_valid(), "valid").otherwise("invalid")
+    valid = F.col("status") == "valid"
+    graded = typed.withColumn("status", status).select(
+        "status", *[F.when(valid, F.col(name)).alias(name) for name in FLOW_SCHEMA.names if name in typed.columns])
+    unique = graded.groupBy("status", *FLOW_KEY).agg(F.min(F.struct(*_KEPT)).alias("kept"), F.count(F.lit(1)).alias("n"))
+    counts = Observation("cleaning")
+    summed = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+    observed = unique.observe(
+        counts, summed(F.lit(True)).alias("raw_records"), summed(F.col("status") == "rejected").alias("rejected_records"),
+        summed(valid).alias("valid_records"), F.count_if(valid).alias("clean_records"))
+    return with_time_parts(observed.where(valid).select(*FLOW_KEY, "kept.*")).select(*FLOW_SCHEMA.names), counts
+
+
+def observed_funnel(spark: SparkSession, counts: Observation) -> DataFrame:
+    """The funnel of ``observed_clean``, once its flows have been written, with the rejected records."""
+    found = counts.get
+    names = ("raw_records", "rejected_records", "valid_records", "clean_records")
+    counted = inline_rows(spark, [tuple(found[name] for name in names)], ", ".join(f"{name} bigint" for name in names))
+    return funnel_columns(counted, "rejected_records")
+
+
 def written_funnel(raw: DataFrame, flows: DataFrame) -> DataFrame:
     """The funnel of logs whose clean table is already written: no second de-duplication."""
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")

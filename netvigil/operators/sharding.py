@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netvigil.functions.hashing import md5_mod
+from netvigil.session import materialize
 from netvigil.operators.distributions import share_of_all
 
 
@@ -41,10 +42,53 @@ def write_bucketed(flows: DataFrame, table: str, path: str, buckets: int | None
     """A table bucketed by source address: later joins and aggregates on the source need no shuffle.
 
     A bucket holds all records of its sources, so a dominant source makes a
-    large bucket; for such logs ``write_sharded`` spreads the writers.
+    large bucket; for such logs ``write_salted`` spreads it over buckets.
     """
     spark = flows.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     flows.repartition(buckets, "source_ip").write.bucketBy(buckets, "source_ip").sortBy("source_ip").mode(
         "overwrite").option("path", path).saveAsTable(table)
     return spark.table(table)
+
+
+# Sources that the sketch names at most, and counters that it keeps per task: its error is about rows / counters.
+NAMED_SOURCES, COUNTERS = 256, 4096
+
+
+def hot_sources(flows: DataFrame, buckets: int, key: str = "source_ip") -> DataFrame:
+    """The keys with more rows than half a bucket has on average, at most ``NAMED_SOURCES``, as a written table.
+
+    A mergeable sketch of bounded size finds them in one scan.
+    """
+    found = flows.agg(F.expr(f"approx_top_k({key}, {NAMED_SOURCES}, {COUNTERS})").alias("top"), F.count(F.lit(1)).alias("rows"))
+    listed = found.select(F.explode("top").alias("top"), "rows").where(F.col("top.count") * (2 * buckets) > F.col("rows"))
+    return materialize(listed.select(F.col("top.item").alias(key)), "hot")
+
+
+def _bucketed(table: DataFrame, key: str, name: str, path: str, buckets: int) -> DataFrame:
+    table.repartition(buckets, key, "salt").write.bucketBy(buckets, key, "salt").sortBy(key, "salt").mode("overwrite").option(
+        "path", path).saveAsTable(name)
+    return table.sparkSession.table(name)
+
+
+def write_salted(flows: DataFrame, hot: DataFrame, name: str, path: str, buckets: int, salts: int, key: str = "source_ip") -> DataFrame:
+    """A table bucketed by key and ``salt``, in which the rows of a hot key are spread over ``salts`` salts.
+
+    All other keys have salt 0. ``hot`` has at most ``NAMED_SOURCES`` rows.
+    """
+    marked = flows.join(F.broadcast(hot.select(key, F.lit(True).alias("is_hot"))), key, "left")
+    every = F.xxhash64(*[F.col(column) for column in flows.columns])
+    salt = F.when(F.col("is_hot"), F.pmod(every, F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    return _bucketed(marked.withColumn("salt", salt).drop("is_hot"), key, name, path, buckets)
+
+
+def write_salted_side(side: DataFrame, hot: DataFrame, name: str, path: str, buckets: int, salts: int,
+                      key: str = "source_ip") -> DataFrame:
+    """The other side of a join with a salted table: rows of hot keys once per salt, all others once.
+
+    Both tables joined by key and ``salt`` need no shuffle, every row of the salted table meets what it would
+    meet by the key alone, and a hot key is spread over tasks.
+    """
+    marked = side.join(F.broadcast(hot.select(key, F.lit(True).alias("is_hot"))), key, "left")
+    given = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return _bucketed(marked.withColumn("salt", F.explode(given)).drop("is_hot"), key, name, path, buckets)

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from netvigil.ml import evaluation, features, inference, training
 from netvigil.operators import distributions, hosts, risk, rollup, timeline
-from netvigil.operators.clean import clean_flows, written_funnel
+from netvigil.operators.clean import observed_clean, observed_funnel
 from netvigil.session import at_once, materialize
-from netvigil.sinks import tables
+from netvigil.sinks import tables, versions
 from netvigil.sources.documents import table_or_none
-from netvigil.sources.flows import read_flows, read_raw_flows
+from netvigil.sources.flows import read_flows, read_raw_records
 
 PIPELINE_VERSION = "phase10"
 
@@ -53,11 +53,15 @@ PUBLISHED = {
 }
 
 def run_etl(spark: SparkSession, raw_path: str, out: str) -> DataFrame:
-    """Raw CSV to clean flows, feature vectors and label map; returns the cleaning funnel."""
-    raw = read_raw_flows(spark, raw_path)
-    flows = tables.write_table(clean_flows(raw), f"{out}/{CLEAN}")
+    """Raw CSV to clean flows, feature vectors and label map; returns the cleaning funnel.
+
+    The logs are parsed once: the funnel is observed while the clean flows are written.
+    """
+    clean, counts = observed_clean(read_raw_records(spark, raw_path))
+    flows = tables.write_table(clean, f"{out}/{CLEAN}")
+    funnel = observed_funnel(spark, counts)
     run_features(spark, flows, out)
-    return written_funnel(raw, flows)
+    return funnel
 
 
 def run_features(spark: SparkSession, flows: DataFrame, out: str) -> PipelineModel:
@@ -101,8 +105,7 @@ def run_analytics(spark: SparkSession, flows: DataFrame, out: str, serving: bool
     outputs |= run_host_reports(pairs, out)
     outputs["ip_risk_scores.parquet"] = run_risk(pairs, out)
     if serving:
-        for collection, name in PUBLISHED.items():
-            tables.refresh_serving(outputs[name], f"{out}/serving/{collection}")
+        versions.publish({collection: outputs[name] for collection, name in PUBLISHED.items()}, f"{out}/serving")
     summary = tables.run_summary(outputs, flows)
     summary.coalesce(1).write.mode("overwrite").json(f"{out}/attack_stats_summary.json")
     return summary
@@ -186,24 +189,16 @@ def ensure_outputs(spark: SparkSession, out: str, force: bool = False) -> None:
 
 
 def publish(spark: SparkSession, out: str, force: bool = False) -> DataFrame:
-    """Refresh all serving tables and mirrors; returns the manifest."""
+    """Refresh all serving tables in one step, then the mirrors; returns the manifest, which is published with them."""
     ensure_outputs(spark, out, force)
-
-    def refresh(collection: str) -> DataFrame | None:
-        table = spark.read.parquet(f"{out}/{PUBLISHED[collection]}")
-        if not tables.refresh_serving(table, f"{out}/serving/{collection}"):
-            return None
-        tables.json_mirror(table, f"{out}/{collection}.json")
-        return spark.read.parquet(f"{out}/serving/{collection}")
-
-    refreshed = zip(PUBLISHED, at_once(spark, refresh, PUBLISHED))
-    published = {name: table for name, table in refreshed if table is not None}
-    published |= publish_model_results(spark, out)
-    manifest = tables.integration_manifest(published, PIPELINE_VERSION)
-    return tables.write_table(manifest, f"{out}/serving/integration_log")
+    reports = {collection: spark.read.parquet(f"{out}/{name}") for collection, name in PUBLISHED.items()}
+    manifest = ("integration_log", lambda refreshed: tables.integration_manifest(refreshed, PIPELINE_VERSION))
+    published = versions.publish(reports | model_results(spark, out), f"{out}/serving", manifest)
+    at_once(spark, lambda name: tables.json_mirror(published[name], f"{out}/{name}.json"), [n for n in PUBLISHED if n in published])
+    return published["integration_log"]
 
 
-def publish_model_results(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+def model_results(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """Predictions of all flows and the metrics document, once a model has been trained."""
     metrics = table_or_none(spark, f"{out}/model_metrics.json", "json")
     if metrics is None:
@@ -215,8 +210,8 @@ def publish_model_results(spark: SparkSession, out: str) -> dict[str, DataFrame]
     )
     predictions = inference.predict(read_flows(spark, f"{out}/{CLEAN}"), training.load_model(f"{out}/threat_model"))
     return {
-        "predictions": tables.write_table(tables.stamped(predictions), f"{out}/serving/predictions"),
-        "model_metrics": tables.write_table(document, f"{out}/serving/model_metrics"),
+        "predictions": tables.stamped(predictions),
+        "model_metrics": document,
     }
 
 

@@ -40,7 +40,8 @@ _MAPPED = [
 _COPIES = "explode(array_repeat(1, if(event_id % 50 = 0, 2, 1))) AS copy"
 
 
-def raw_flows_from_events(events: DataFrame) -> DataFrame:
-    """Raw flow logs, all fields as text, from one scan of the events."""
+def raw_flows_from_events(events: DataFrame, keep: str | None = None) -> DataFrame:
+    """Raw flow logs, all fields as text, from one scan of the events. ``keep``: one more column, "expression AS name"."""
     mapped = events.selectExpr(*_KEYED).selectExpr(*_MAPPED)
-    return mapped.selectExpr("*", _COPIES).select(*RAW_COLUMNS)
+    more = [] if keep is None else [keep.rpartition(" AS ")[2]]
+    return mapped.selectExpr("*", _COPIES, *([keep] if keep else [])).select(*RAW_COLUMNS, *more)

@@ -22,6 +22,32 @@ def read_raw_flows(spark: SparkSession, path: str) -> DataFrame:
     return found.select(*RAW_SCHEMA.names)
 
 
+REJECTED = "rejected_line"
+
+
+def read_raw_records(spark: SparkSession, path: str) -> DataFrame:
+    """Raw flow logs as ``read_raw_flows`` has them, and ``rejected_line``: the text of a line that is no record, else NULL.
+
+    A line is no record if it has fewer or more fields than the header; fields are counted whatever is read of them. Header
+    and lines are parsed once; the names come from the first line.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, REJECTED]])
+    found = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option(
+        "columnNameOfCorruptRecord", REJECTED).option("columnPruning", False).csv(path)
+    return found.select(*RAW_SCHEMA.names, REJECTED, F.lit(len(names)).alias("expected_fields"), F.col(names[-1]).alias("last_field"))
+
+
+def rejected_rows(records: DataFrame) -> DataFrame:
+    """The lines that are no records, as often as they occur, with the reason; fields are told by their commas."""
+    fields = F.size(F.split(REJECTED, ","))
+    few, many = fields < F.col("expected_fields"), fields > F.col("expected_fields")
+    # Spark refuses to read this column alone, so the condition has a second one: a short line has no last field.
+    lost = F.col(REJECTED).isNotNull() & (F.col("last_field").isNull() | ~few)
+    reason = F.when(few, "too few fields").when(many, "too many fields").otherwise("unreadable")
+    return records.where(lost).select(reason.alias("reason"), F.col(REJECTED).alias("line"))
+
+
 def write_raw_flows(raw: DataFrame, path: str) -> None:
     """Write raw logs as CSV, keeping the blanks around fields."""
     (

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from netvigil.operators import clean
 from netvigil.schema import FLOW_KEY, FLOW_SCHEMA, TIMESTAMP_FORMAT
 from netvigil.sources.documents import load_documents, read_documents
-from netvigil.sources.flows import read_raw_flows, write_raw_flows
+from netvigil.sinks import tables
+from netvigil.sources.flows import read_raw_flows, read_raw_records, rejected_rows, write_raw_flows
 from netvigil.session import fresh_path
 
 
@@ -118,3 +119,41 @@ def test_csv_files_with_another_header_are_refused(spark):
         spark.createDataFrame(lines, "line string").coalesce(1).write.mode("append").text(folder)
     with pytest.raises(Exception, match="(?i)header"):
         clean.clean_flows(read_raw_flows(spark, folder)).collect()
+
+
+def test_lines_that_are_no_records(spark):
+    folder = fresh_path(spark, "csv")
+    header = "timestamp,source_ip,destination_ip,protocol,flow_duration,packet_length,total_bytes,packet_count,attack_type,severity"
+    good = "2024-01-07 10:30:00,a,b,TCP,1,2,3,4,DDoS,High"
+    short, long = "2024-01-07 10:30:00,a,b,TCP,1,2,3", good + ",x,y"
+    invalid = good.replace(",1,2,3,4", ",-1,2,3,4")
+    for lines in ([good, short, good, long], [short, invalid], []):
+        spark.createDataFrame([(line,) for line in [header, *lines]], "line string").coalesce(1).write.mode("append").text(folder)
+    records = read_raw_records(spark, folder)
+    assert sorted(map(tuple, rejected_rows(records).collect())) == sorted(
+        [("too few fields", short), ("too few fields", short), ("too many fields", long)])
+    assert rejected_rows(records).count() == 3
+    flows, counts = clean.observed_clean(records)
+    assert tables.write_table(flows, fresh_path(spark, "clean")).count() == 1
+    assert clean.observed_funnel(spark, counts).first().asDict() == dict(
+        raw_records=6, valid_records=2, clean_records=1, rejected_records=3, invalid_dropped=4, duplicates_dropped=1, total_dropped=5)
+
+
+def test_the_observed_funnel_equals_the_plain_one_with_one_scan(spark, make_raw):
+    raw = make_raw({}, {}, dict(source_ip=""), dict(flow_duration="-1"), dict(attack_type="Botnet"), dict(total_bytes="7"))
+    path = fresh_path(spark, "csv")
+    write_raw_flows(raw, path)
+    flows, counts = clean.observed_clean(read_raw_records(spark, path))
+    assert flows._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    stored = tables.write_table(flows, fresh_path(spark, "clean"))
+    assert sorted(stored.collect()) == sorted(clean.clean_flows(raw).collect())
+    observed = clean.observed_funnel(spark, counts).drop("rejected_records").first()
+    assert observed == clean.clean_funnel(raw).first()
+
+
+def test_an_empty_log_has_a_funnel(spark, make_raw):
+    path = fresh_path(spark, "csv")
+    write_raw_flows(make_raw({}).limit(0).coalesce(1), path)
+    flows, counts = clean.observed_clean(read_raw_records(spark, path))
+    tables.write_table(flows, fresh_path(spark, "clean"))
+    assert set(clean.observed_funnel(spark, counts).first()) == {0}

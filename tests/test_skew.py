@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from netvigil.operators import graph, hosts, risk, rollup
-from netvigil.session import materialize
+from netvigil.operators import graph, hosts, risk, rollup, sharding
+from netvigil.session import fresh_path, materialize
 
 ROWS = 120_000
 SMALL = {
@@ -86,3 +86,17 @@ def test_hot_source_and_target_totals(flows):
     assert (top["destination_ip"], top["attack_flow_count"]) == ("target", len(mine))
     assert top["unique_attackers"] == len({r["source_ip"] for r in mine})
     assert hosts.top_attacking_ips(flows, 1).first()["source_ip"] == "hot"
+
+
+def test_salted_buckets_spread_a_hot_source_and_join_without_a_shuffle(spark, flows, tiny_thresholds):
+    hot = sharding.hot_sources(flows, 8)
+    assert [r[0] for r in hot.collect()] == ["hot"]
+    names = [f"t_{fresh_path(spark, 'x')[-8:]}" for _ in range(2)]
+    side = flows.groupBy("source_ip").agg(F.sum("packet_length").alias("lengths"))
+    salted = sharding.write_salted(flows, hot, names[0], fresh_path(spark, "salted"), 8, 6)
+    other = sharding.write_salted_side(side, hot, names[1], fresh_path(spark, "side"), 8, 6)
+    joined = salted.join(other, ["source_ip", "salt"])
+    assert "Exchange" not in final_plan(joined)
+    assert joined.where("source_ip = 'hot'").select(F.spark_partition_id()).distinct().count() > 2
+    summed = lambda df: tuple(df.agg(F.count("*"), F.sum("lengths"), F.sum("total_bytes")).first())
+    assert summed(joined) == summed(flows.join(side, "source_ip"))
