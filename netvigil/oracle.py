@@ -164,6 +164,7 @@ facts(predicted_attack, confidence, tier, action) AS (VALUES
 
 # What each block builds on.
 _NEEDS = {
+    "located": ["risk"], "all_levels": ["links"], "hourly_levels": ["attacks"], "damaged_valid": ["damaged"],
     "modal": ["attacks"], "attackers": ["attacks"], "top50": ["attackers", "modal"], "crosstab": ["attackers"],
     "targets50": ["attacks"], "risk": ["signals"], "links": ["attacks"], "edges": ["attacks"],
     "degree": ["links"], "geo": ["risk", "place"],
@@ -203,10 +204,27 @@ def statement(select: str, *parts: str) -> str:
 
     for name in parts:
         add(name)
-    blocks = [_PREFIX.strip()] + [_expand(_PARTS[name]) for name in ordered]
+    prefix = _PREFIX.strip()
+    if any(name.endswith("_levels") for name in ordered):
+        prefix = prefix.replace("WITH", "WITH RECURSIVE", 1)
+    blocks = [prefix] + [_expand(_PARTS[name]) for name in ordered]
     return ",\n".join(blocks) + "\n" + _expand(select.strip())
 
 
+def _add_parts() -> None:
+    """Blocks that are made of the texts above."""
+    readable = "coalesce(try_cast({0} AS BIGINT), try_cast(trunc(try_cast({0} AS DOUBLE)) AS BIGINT))"
+    metrics = [readable.format(c) + " >= 0" for c in ("flow_duration", "packet_length", "total_bytes", "packet_count")]
+    _PARTS.update({
+        "located": _NETWORKS,
+        "all_levels": _LEVELS.format(links=_ALL_LINKS),
+        "hourly_levels": _LEVELS.format(links=_HOURLY_LINKS),
+        "damaged": _DAMAGED,
+        "damaged_valid": f"damaged_valid AS (SELECT * FROM damaged WHERE NOT short AND NOT long AND source_ip <> '' AND {' AND '.join(metrics)})",
+        "timed": _TIMED,
+    })
+
+
 def _counts(named: dict[str, str]) -> str:
     return " UNION ALL ".join(f"SELECT '{name}' AS {{key}}, count(*) AS {{n}} FROM {table}" for name, table in named.items())
 
@@ -240,6 +258,50 @@ _TABLES = ("region nation customer supplier part orders lineitem events document
            "benchmark labels conversations").split()
 _RAW_NULLS = ("SELECT timestamp, nullif(source_ip, '') AS source_ip, destination_ip, protocol, flow_duration, packet_length, "
               "total_bytes, packet_count, attack_type, severity FROM raw")
+# Networks of the query, read from their text; a row whose text is no network is left out.
+_NETWORKS = """given AS (
+  SELECT CASE r_regionkey WHEN 0 THEN '10.0.0.0/8' WHEN 1 THEN '172.16.0.0/12' WHEN 2 THEN '172.16.1.4/30'
+    WHEN 3 THEN '172.16.1.9/32' ELSE 'none' END AS cidr, r_name AS label, r_regionkey AS key FROM region
+  UNION ALL SELECT concat('10.', n_nationkey % 4, '.', n_nationkey * 8, '.77/21'), n_name, 100 + n_nationkey FROM nation
+  UNION ALL SELECT concat('10.', s_suppkey % 8, '.', s_suppkey * 37 % 256, '.0/24'), s_name, 1000 + s_suppkey FROM supplier
+  UNION ALL SELECT concat('10.', c_custkey % 8, '.', c_custkey % 256, '.', c_custkey % 8 * 32, '/27'), c_name, 100000 + c_custkey FROM customer),
+octets AS (SELECT *, string_split(split_part(cidr, '/', 1), '.') AS o, try_cast(split_part(cidr, '/', 2) AS INT) AS length FROM given),
+read AS (SELECT *, ((o[1]::BIGINT * 256 + o[2]::BIGINT) * 256 + o[3]::BIGINT) * 256 + o[4]::BIGINT AS number FROM octets WHERE length IS NOT NULL),
+nets AS (SELECT *, number - number % (1::BIGINT << (32 - length)) AS first, number - number % (1::BIGINT << (32 - length)) + (1::BIGINT << (32 - length)) - 1 AS last FROM read),
+numbers AS (SELECT source_ip, ((split_part(source_ip, '.', 1)::BIGINT * 256 + split_part(source_ip, '.', 2)::BIGINT) * 256
+  + split_part(source_ip, '.', 3)::BIGINT) * 256 + split_part(source_ip, '.', 4)::BIGINT AS n FROM risk),
+placed AS (SELECT source_ip, concat(first >> 24, '.', (first >> 16) & 255, '.', (first >> 8) & 255, '.', first & 255, '/', length) AS network,
+  label AS country, substr(label, 1, 3) AS country_code, concat('City of ', label) AS city,
+  CAST(key AS DOUBLE) / 4 AS latitude, CAST(key AS DOUBLE) / 8 AS longitude, concat('AS', key) AS asn,
+  row_number() OVER (PARTITION BY source_ip ORDER BY length DESC, label, key) AS rn
+  FROM numbers JOIN nets ON n BETWEEN first AND last),
+located AS (SELECT r.source_ip, network, country, country_code, city, latitude, longitude, asn, total_flows AS flows_detected, risk_score, risk_level
+  FROM risk r LEFT JOIN (SELECT * FROM placed WHERE rn = 1) p USING (source_ip))"""
+# Levels of hosts in graphs told apart by w: hops from the hosts that nobody attacks, then from the smallest hosts of cycles.
+_LEVELS = """hops AS (SELECT DISTINCT w, a, b FROM {links} WHERE a <> b),
+verts AS (SELECT w, a AS host FROM hops UNION SELECT w, b FROM hops),
+mids AS (SELECT w, count(*) AS n FROM verts WHERE (w, host) IN (SELECT (w, a) FROM hops) GROUP BY w),
+walk(w, host, level) AS (SELECT w, host, 0 FROM verts WHERE (w, host) NOT IN (SELECT (w, b) FROM hops)
+  UNION SELECT h.w, h.b, level + 1 FROM walk k JOIN hops h ON h.w = k.w AND h.a = k.host WHERE level <= (SELECT n FROM mids m WHERE m.w = k.w)),
+reached AS (SELECT w, host, min(level) AS level FROM walk GROUP BY 1, 2),
+rest AS (SELECT * FROM verts WHERE (w, host) NOT IN (SELECT (w, host) FROM reached)),
+among AS (SELECT * FROM hops WHERE (w, a) IN (SELECT (w, host) FROM rest) AND (w, b) IN (SELECT (w, host) FROM rest)),
+reach(w, root, host) AS (SELECT w, host, host FROM rest UNION SELECT r.w, root, b FROM reach r JOIN among g ON g.w = r.w AND g.a = r.host),
+labels AS (SELECT w, host, min(root) AS label FROM reach GROUP BY 1, 2),
+round2(w, host, level) AS (SELECT w, host, 0 FROM labels WHERE label = host
+  UNION SELECT g.w, g.b, level + 1 FROM round2 k JOIN among g ON g.w = k.w AND g.a = k.host WHERE level <= (SELECT n FROM mids m WHERE m.w = k.w)),
+levels AS (SELECT * FROM reached UNION ALL SELECT w, host, min(level) FROM round2 GROUP BY 1, 2)"""
+_ALL_LINKS = "(SELECT 0 AS w, source_ip AS a, destination_ip AS b FROM links)"
+_HOURLY_LINKS = "(SELECT time_bucket(INTERVAL '1 hour', timestamp) AS w, source_ip AS a, destination_ip AS b FROM attacks WHERE timestamp IS NOT NULL)"
+# The lines of the damaged logs: every record is repeated as often as in raw.
+_DAMAGED = """damaged AS (SELECT f.*, event_id % 61 = 0 AS short, event_id % 61 <> 0 AND event_id % 67 = 0 AS long
+  FROM f JOIN range(2) c(i) ON i = 0 OR event_id % 50 = 0)"""
+# Valid flows of the stream of windows: what comes in the second run, for a window that the first one closed, is late.
+_TIMED = """tenths AS (SELECT f.*, event_id % 10 = 0 AS tenth FROM f JOIN range(2) c(i) ON i = 0 OR event_id % 50 = 0),
+arrived AS (SELECT tenth, try_strptime(timestamp, '%Y-%m-%d %H:%M:%S') AS ts, CAST(packet_length AS BIGINT) AS packet_length FROM tenths
+  WHERE source_ip <> '' AND coalesce(try_cast(flow_duration AS BIGINT), try_cast(trunc(try_cast(flow_duration AS DOUBLE)) AS BIGINT)) >= 0),
+timed AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, packet_length,
+  tenth AND time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= (SELECT max(ts) - INTERVAL '1 hour' FROM arrived WHERE NOT tenth) AS late FROM arrived)"""
 _CRITICAL = "(SELECT source_ip FROM risk WHERE risk_level = 'Critical')"
 
 
@@ -275,6 +337,7 @@ def _quality() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    _add_parts()
     s = statement
     distribution = ("SELECT * FROM dist", "dist")
     hourly_columns = "hour, total_flows, attack_flows, benign_flows, attack_rate_pct"
@@ -307,6 +370,12 @@ def oracle_sql() -> dict[str, str]:
         "inline_rows": s("""SELECT i.event_id, i.protocol, i.attack_type, count(f.source_ip) AS flows
 FROM (VALUES (1::BIGINT, 'TCP', 'BENIGN'), (2, 'UDP', 'DDoS'), (3, 'ICMP', 'PortScan')) i(event_id, protocol, attack_type)
 LEFT JOIN flows f ON f.protocol = i.protocol AND f.attack_type = i.attack_type GROUP BY 1, 2, 3"""),
+        "document_reload": s("""SELECT timestamp, destination_ip, coalesce(try_cast(flow_duration AS BIGINT), try_cast(trunc(try_cast(flow_duration AS DOUBLE)) AS BIGINT)) AS flow_duration,
+  CAST(total_bytes AS BIGINT) AS total_bytes, 2 * count(*) AS copies FROM raw GROUP BY 1, 2, 3, 4"""),
+        "rejected_rows": s("""SELECT CASE WHEN short THEN 'too few fields' ELSE 'too many fields' END AS reason,
+  concat_ws(',', timestamp, source_ip, destination_ip, protocol, flow_duration, packet_length, total_bytes)
+  || CASE WHEN short THEN '' ELSE concat(',', packet_count, ',', attack_type, ',', severity, ',x,y') END AS line, count(*) AS records
+FROM damaged WHERE short OR long GROUP BY 1, 2""", "damaged"),
         "serving_read": s(*distribution),
         "table_counts": _table_counts(),
         "distributed_sum": "SELECT count(*) AS items, CAST(sum(event_id) AS BIGINT) AS total FROM events",
@@ -319,6 +388,10 @@ LEFT JOIN flows f ON f.protocol = i.protocol AND f.attack_type = i.attack_type G
         "clean_funnel": s("""SELECT r AS raw_records, v AS valid_records, c AS clean_records, r - v AS invalid_dropped,
   v - c AS duplicates_dropped, r - c AS total_dropped FROM (SELECT (SELECT count(*) FROM raw) AS r,
   (SELECT count(*) FROM valid) AS v, (SELECT count(*) FROM flows) AS c)"""),
+        "etl_funnel": s("""SELECT r AS raw_records, j AS rejected_records, v AS valid_records, c AS clean_records, r - v AS invalid_dropped,
+  v - c AS duplicates_dropped, r - c AS total_dropped FROM (SELECT (SELECT count(*) FROM raw) AS r, (SELECT count(*) FROM damaged WHERE short OR long) AS j,
+  (SELECT count(*) FROM damaged_valid) AS v, (SELECT count(DISTINCT (timestamp, source_ip, destination_ip, upper(trim(protocol)), flow_duration, total_bytes)) FROM damaged_valid) AS c)""",
+            "damaged", "damaged_valid"),
         # distributions
         "attack_distribution": s(*distribution),
         "protocol_distribution": s("""SELECT protocol, count(*) AS total_flows, round(count(*) / sum(count(*)) OVER () * 100, 2) AS pct_share,
@@ -371,6 +444,9 @@ FROM crosstab GROUP BY source_ip""".replace("CAST(sum(", "CAST(coalesce(sum(").r
   detection_signature, recommended_containment
 FROM (SELECT source_ip, attack_type, count(*) AS flows FROM flows GROUP BY 1, 2)
 JOIN technique ON attack_key = CASE WHEN attack_type IN (SELECT attack_key FROM technique) THEN attack_type ELSE 'DDoS' END""", "technique"),
+        "geo_by_network": s("SELECT * FROM located", "located"),
+        "network_country_top": s("""SELECT country, CAST(sum(flows_detected) AS BIGINT) AS flows_detected FROM located GROUP BY country
+  ORDER BY flows_detected DESC, country NULLS FIRST LIMIT 8""", "located"),
         "geo_enriched": s("SELECT * FROM geo", "geo"),
         "geo_filtered": s("SELECT * FROM geo WHERE attack_type = 'DDoS' AND risk_level = 'Critical'", "geo"),
         "geo_overview_table": s("""SELECT source_ip AS "Source IP", country AS "Country", city AS "Origin City", asn AS "Autonomous System (ASN)",
@@ -394,7 +470,10 @@ FROM (SELECT source_ip, top_attack_type, round(m.flows / a.attack_flow_count * 1
         "graph_summary": s("""SELECT (SELECT count(*) FROM degree) AS vertices, (SELECT count(*) FROM links) AS edges,
   (SELECT count(*) FROM pivots) AS pivots,
   (SELECT CAST(count(*) AS DOUBLE) FROM links a JOIN links b ON a.destination_ip = b.source_ip) AS two_hop_walks,
-  CAST(CASE WHEN EXISTS (SELECT 1 FROM pivots) THEN 2 WHEN EXISTS (SELECT 1 FROM links) THEN 1 ELSE 0 END AS INT) AS max_depth""", "degree"),
+  (SELECT coalesce(max(level), 0) FROM levels) AS max_depth""", "degree", "all_levels"),
+        "graph_levels": s("SELECT host, level FROM levels", "all_levels"),
+        "graph_depth": s("""SELECT w AS window_start, count(*) AS hosts, count(*) FILTER (level = 0) AS entry_points, max(level) AS max_depth
+FROM levels GROUP BY w""", "hourly_levels"),
         "graph_edges_labeled": s("""SELECT e.*, a.role AS source_role, b.role AS destination_role FROM edges e
   JOIN degree a ON a.host = e.source_ip JOIN degree b ON b.host = e.destination_ip""", "edges", "degree"),
         "lateral_hops": s("""SELECT destination_ip AS pivot, 'ingress' AS hop, source_ip AS peer, flows FROM links WHERE destination_ip IN (SELECT host FROM pivots)
@@ -420,6 +499,10 @@ FROM flows GROUP BY 1"""),
         "bucketed_sources": s("SELECT source_ip, count(*) AS flows, CAST(sum(packet_count) AS BIGINT) AS packets FROM flows GROUP BY 1"),
         "parquet_roundtrip": s("SELECT * FROM flows"),
         "publish_refresh": s(*distribution),
+        "publish_versions": s("""SELECT CASE attack_type WHEN 'BENIGN' THEN 'benign' ELSE 'attacks' END AS name, 2::BIGINT AS version,
+  attack_type, count(*) AS flows FROM flows GROUP BY ALL"""),
+        "salted_join": s("""SELECT risk_level, attack_type, count(*) AS flows, CAST(sum(packet_count) AS BIGINT) AS packets,
+  CAST(sum(risk_score) AS BIGINT) AS scores FROM flows JOIN risk USING (source_ip) GROUP BY 1, 2""", "risk"),
         "json_mirror": s(collection_counts.format(key="output", n="records"), *_EIGHT_PARTS),
         "json_mirror_rows": s("""SELECT * REPLACE (nullif(protocol, 'UDP') AS protocol, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp)
 FROM flows"""),
@@ -462,6 +545,12 @@ SELECT window_start, CAST(sum(n) AS BIGINT) AS flows, count(*) AS distinct_lengt
   SELECT *, n / sum(n) OVER (PARTITION BY window_start) AS p FROM (
     SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, packet_length, count(*) AS n FROM valid GROUP BY 1, 2))
 GROUP BY window_start)"""),
+        "stream_windows": s("""SELECT window_start, CAST(sum(n) AS BIGINT) AS flows, count(*) AS distinct_lengths,
+  round(-sum(n / total * log2(n / total)), 4) + 0.0::DOUBLE AS entropy, CAST(sum(early) AS BIGINT) AS published_flows,
+  round(-sum(CASE WHEN early > 0 THEN early / early_total * log2(early / early_total) END), 4) + 0.0::DOUBLE AS published_entropy FROM (
+  SELECT *, sum(n) OVER (PARTITION BY window_start) AS total, sum(early) OVER (PARTITION BY window_start) AS early_total FROM (
+    SELECT window_start, packet_length, count(*) AS n, count(*) FILTER (NOT late) AS early FROM timed GROUP BY 1, 2))
+GROUP BY window_start""", "timed"),
         "stream_prediction_checks": s("""SELECT attack_type AS actual_attack, count(*) AS predictions, 0::BIGINT AS odd_confidence,
   0::BIGINT AS odd_severity, 0::BIGINT AS unknown_names FROM valid GROUP BY 1"""),
     }

@@ -8,19 +8,24 @@ itself is a sink, a stream or a model fit.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netvigil.ml import evaluation, features, inference, training
 from netvigil.operators import (
-    clean, distributions, enrich, entropy, graph, hosts, quality, risk, rollup, sharding, timeline, verdicts,
+    clean, distributions, enrich, entropy, graph, graph_depth, hosts, quality, risk, rollup, sharding, timeline, verdicts,
 )
+from netvigil.operators import networks as net
 from netvigil.plans import jobs
 from netvigil.session import at_once, fresh_path, materialize
-from netvigil.sinks import tables
+from netvigil.sinks import tables, versions
 from netvigil.sources import documents, flows as flow_source
 from netvigil.sources.events import raw_flows_from_events
+from netvigil.sources.versions import read_current, read_published
 from netvigil.streaming import flows as streams
+from netvigil.streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +81,35 @@ def on_geo(op: Callable[[DataFrame], DataFrame]) -> Query:
 
 # --- sources -----------------------------------------------------------------
 
+# Networks for the query: nested prefixes from the given tables, some of them named twice. Per table: network, name, key.
+NETWORKS = {
+    "region": ("""CASE r_regionkey WHEN 0 THEN '10.0.0.0/8' WHEN 1 THEN '172.16.0.0/12' WHEN 2 THEN '172.16.1.4/30'
+        WHEN 3 THEN '172.16.1.9/32' ELSE 'none' END""", "r_name", "r_regionkey"),
+    "nation": ("concat('10.', n_nationkey % 4, '.', n_nationkey * 8, '.77/21')", "n_name", "100 + n_nationkey"),
+    "supplier": ("concat('10.', s_suppkey % 8, '.', s_suppkey * 37 % 256, '.0/24')", "s_name", "1000 + s_suppkey"),
+    "customer": ("concat('10.', c_custkey % 8, '.', c_custkey % 256, '.', c_custkey % 8 * 32, '/27')", "c_name", "100000 + c_custkey"),
+}
+
+
+def networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A network table derived from the given rows."""
+    parts = [table(spark, sf_dir, name).selectExpr(
+        f"{network} AS network", f"{label} AS country", f"substr({label}, 1, 3) AS country_code", f"concat('City of ', {label}) AS city",
+        f"CAST({key} AS DOUBLE) / 4 AS latitude", f"CAST({key} AS DOUBLE) / 8 AS longitude", f"concat('AS', {key}) AS asn")
+        for name, (network, label, key) in NETWORKS.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def geo_by_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return net.geo_by_network(risk.ip_risk_scores(flows(spark, sf_dir), ordered=False), networks(spark, sf_dir))
+
+
+def window_links(flow_table: DataFrame) -> DataFrame:
+    """Attack links per hour: every hour has a graph of its own."""
+    hour = F.window("timestamp", "1 hour")["start"].alias("window_start")
+    return hosts.attack_flows(flow_table).select(hour, "source_ip", "destination_ip")
+
+
 def raw_flow_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "raw-csv")
     flow_source.write_raw_flows(raw_flows(spark, sf_dir), path)
@@ -89,6 +123,44 @@ def document_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.read_documents(spark, path)
 
 
+def document_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of which one is started twice: per record the copies that are left."""
+    path, raw = fresh_path(spark, "documents"), raw_flows(spark, sf_dir)
+    for load in ("first", "second", "first"):
+        documents.load_documents(raw, path, load)
+    return documents.read_documents(spark, path).groupBy("timestamp", "destination_ip", "flow_duration", "total_bytes").agg(
+        F.count(F.lit(1)).alias("copies"))
+
+
+# Lines that the query cuts short or adds fields to, by event.
+DAMAGED = "CASE WHEN event_id % 61 = 0 THEN 'short' WHEN event_id % 67 = 0 THEN 'long' END"
+
+
+def damaged_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Raw logs as CSV in which some lines have seven and some twelve fields."""
+    path = fresh_path(spark, "damaged-csv")
+    names = flow_source.RAW_SCHEMA.names
+    events = table(spark, sf_dir, "events")
+    lines = raw_flows_from_events(events, keep=f"{DAMAGED} AS damage")
+    line = F.when(F.col("damage") == "short", F.concat_ws(",", *names[:7])).when(
+        F.col("damage") == "long", F.concat_ws(",", *names, F.lit("x"), F.lit("y"))).otherwise(F.concat_ws(",", *names))
+    header = F.when(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0, F.lit(",".join(names) + "\n")).otherwise("")
+    lines.select(F.concat(header, line).alias("line")).write.text(path)
+    return path
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = flow_source.read_raw_records(spark, damaged_csv(spark, sf_dir))
+    return flow_source.rejected_rows(records).groupBy("reason", "line").agg(F.count(F.lit(1)).alias("records"))
+
+
+def etl_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel observed while clean flows are written from damaged CSV."""
+    flow_table, counts = clean.observed_clean(flow_source.read_raw_records(spark, damaged_csv(spark, sf_dir)))
+    tables.write_table(flow_table, fresh_path(spark, "clean"))
+    return clean.observed_funnel(spark, counts)
+
+
 def inline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = flow_source.inline_rows(
         spark, [(1, "TCP", "BENIGN"), (2, "UDP", "DDoS"), (3, "ICMP", "PortScan")],
@@ -124,11 +196,25 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def publish_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh a serving table, then try an empty refresh, which must change nothing."""
-    path = fresh_path(spark, "attack_stats")
+    path = f"{fresh_path(spark, 'serving')}/attack_stats"
     report = materialize(distributions.attack_distribution(flows(spark, sf_dir)), "attack_distribution")
     tables.refresh_serving(report, path)
     tables.refresh_serving(report.where("total_flows < 0"), path)
-    return spark.read.parquet(path)
+    return read_published(spark, path)
+
+
+def publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables refreshed together and one again: rows and version of what readers then see, after old folders are gone."""
+    root, clean_table = fresh_path(spark, "serving"), written_flows(spark, sf_dir)
+    attacks, benign = hosts.attack_flows(clean_table), clean_table.where("attack_type = 'BENIGN'")
+    versions.publish({"attacks": benign, "benign": benign}, root)
+    versions.publish({"attacks": attacks}, root)
+    versions.publish({"attacks": attacks.limit(0)}, root)
+    versions.remove_old(spark, root, keep=1)
+    version = versions.current(spark, root)[0]
+    seen = [read_current(spark, root, name).groupBy("attack_type").agg(F.count(F.lit(1)).alias("flows")).select(
+        F.lit(name).alias("name"), F.lit(version).cast("long").alias("version"), "attack_type", "flows") for name in ("attacks", "benign")]
+    return reduce(DataFrame.unionByName, seen)
 
 
 def written_run(spark: SparkSession, sf_dir: str, serving: bool = False) -> tuple[str, DataFrame]:
@@ -183,6 +269,18 @@ def bucketed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("source_ip").agg(F.count(F.lit(1)).alias("flows"), F.sum("packet_count").alias("packets"))
 
 
+def salted_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows joined with the risk of their source, both from tables bucketed by source and salt, which takes no shuffle."""
+    clean_table, buckets, salts = written_flows(spark, sf_dir), 16, 8
+    hot = sharding.hot_sources(clean_table, buckets)
+    paths = [fresh_path(spark, name) for name in ("salted", "risk")]
+    names = [f"{name}_{path.rpartition('-')[2]}" for name, path in zip(("salted", "risk"), paths)]
+    salted = sharding.write_salted(clean_table, hot, names[0], paths[0], buckets, salts)
+    side = sharding.write_salted_side(risk.ip_risk_scores(clean_table, ordered=False), hot, names[1], paths[1], buckets, salts)
+    return salted.join(side, ["source_ip", "salt"]).groupBy("risk_level", "attack_type").agg(
+        F.count(F.lit(1)).alias("flows"), F.sum("packet_count").alias("packets"), F.sum("risk_score").alias("scores"))
+
+
 def reputation_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     export = risk.reputation_export(risk.ip_risk_scores(flows(spark, sf_dir), ordered=False))
     return tables.write_table(export, fresh_path(spark, "ip_reputation")).drop("updated_at")
@@ -313,10 +411,10 @@ def prediction_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictions_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The prediction log after appending all predictions twice, per flow."""
+    """The prediction log after two runs of which one is repeated, per flow."""
     path = fresh_path(spark, "predictions")
-    for _ in range(2):
-        tables.append_predictions(predictions(spark, sf_dir), path)
+    for run in ("first", "second", "first"):
+        tables.append_predictions(predictions(spark, sf_dir), path, run)
     return spark.read.parquet(path).groupBy("timestamp", "source_ip", "destination_ip", "actual_attack").agg(
         F.count(F.lit(1)).alias("records"), F.count("analyzed_at").alias("stamped"))
 
@@ -412,11 +510,32 @@ def stream_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.read_entropy(spark, path)
 
 
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows published as they close and amended by late rows, in three runs of one stream.
+
+    First all flows but those of every tenth event, then these, of which most
+    are late, then a heartbeat that closes the last windows.
+    """
+    landing, beats, path, checkpoint = (fresh_path(spark, name) for name in ("landing", "beats", "windows", "stream-state"))
+    parts = raw_flows_from_events(table(spark, sf_dir, "events"), keep="event_id % 10 = 0 AS tenth")
+    spark.createDataFrame([], windows.HEARTBEAT_SCHEMA).write.parquet(beats)
+    for tenth in (False, True, None):
+        if tenth is None:
+            windows.send_heartbeat(spark, beats, "2100-01-01 00:00:00")
+        else:
+            parts.where(F.col("tenth") == tenth).drop("tenth").write.mode("append").parquet(landing)
+        raw = spark.readStream.schema(flow_source.RAW_SCHEMA).parquet(landing)
+        windows.run_window_counts(streams.clean_stream(raw), path, checkpoint, heartbeats=windows.heartbeat_stream(spark, beats))
+    return windows.read_window_entropy(spark, path)
+
+
 def queries() -> dict[str, Query]:
     return {
         # sources
         "raw_flow_scan": raw_flow_scan,
         "document_load": document_load,
+        "document_reload": document_reload,
+        "rejected_rows": rejected_rows,
         "inline_rows": inline_rows,
         "serving_read": serving_read,
         "table_counts": table_counts,
@@ -427,6 +546,7 @@ def queries() -> dict[str, Query]:
         "temporal_features": on_raw(lambda r: clean.with_time_parts(clean.valid_flows(clean.typed_flows(r)))),
         "clean_flows": flows,
         "clean_funnel": on_raw(clean.clean_funnel),
+        "etl_funnel": etl_funnel,
         # distributions
         "attack_distribution": on_distribution(lambda d: d),
         "protocol_distribution": on_flows(distributions.protocol_distribution),
@@ -461,6 +581,8 @@ def queries() -> dict[str, Query]:
         "mitre_enriched": mitre_enriched,
         "geo_enriched": on_geo(lambda g: g),
         "geo_filtered": on_geo(lambda g: enrich.geo_filtered(g, "DDoS", "Critical")),
+        "geo_by_network": geo_by_network,
+        "network_country_top": lambda spark, d: enrich.volume_by(geo_by_network(spark, d), "country"),
         "geo_overview_table": on_geo(enrich.geo_overview),
         "country_top": on_geo(lambda g: enrich.volume_by(g, "country")),
         "asn_top": on_geo(lambda g: enrich.volume_by(g, "asn")),
@@ -473,7 +595,9 @@ def queries() -> dict[str, Query]:
         "graph_edges": on_flows(graph.graph_edges),
         "graph_degree": on_links(graph.graph_degree),
         "graph_pivots": on_links(lambda k: graph.graph_pivots(graph.graph_degree(k))),
-        "graph_summary": on_links(lambda k: graph.graph_summary(graph.graph_degree(k))),
+        "graph_summary": on_links(graph.graph_summary),
+        "graph_levels": on_links(graph_depth.graph_levels),
+        "graph_depth": on_flows(lambda f: graph_depth.graph_depth(window_links(f), ["window_start"])),
         "graph_edges_labeled": graph_edges_labeled,
         "lateral_hops": on_written_links(lambda k: graph.lateral_hops(k, graph.graph_degree(k))),
         "lateral_paths": on_written_links(lambda k: graph.lateral_paths(k, [LOOKUP_IP])),
@@ -486,8 +610,10 @@ def queries() -> dict[str, Query]:
         "partition_balance": on_flows(sharding.partition_balance),
         "sharded_write": sharded_write,
         "bucketed_sources": bucketed_sources,
+        "salted_join": salted_join,
         "parquet_roundtrip": parquet_roundtrip,
         "publish_refresh": publish_refresh,
+        "publish_versions": publish_versions,
         "json_mirror": json_mirror,
         "json_mirror_rows": json_mirror_rows,
         "run_summary": run_summary,
@@ -522,4 +648,5 @@ def queries() -> dict[str, Query]:
         "stream_predictions": stream_predictions,
         "stream_prediction_checks": stream_prediction_checks,
         "stream_entropy": stream_entropy,
+        "stream_windows": stream_windows,
     }
