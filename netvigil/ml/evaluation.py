@@ -81,13 +81,8 @@ def confusion_matrix(outcomes: DataFrame, class_names: list[str]) -> DataFrame:
     Labels without a name, such as those of classes that were not in training,
     add a row for each pair in which they occur, so the sum is the number of rows.
     """
-    names = list(enumerate(class_names))
-    grid = inline_rows(
-        outcomes.sparkSession,
-        [(i, actual, j, predicted) for i, actual in names for j, predicted in names],
-        "label int, actual string, prediction int, predicted string",
-    )
-    known = inline_rows(outcomes.sparkSession, names, "label int, name string")
+    known = inline_rows(outcomes.sparkSession, list(enumerate(class_names)), "label int, name string")
+    grid = known.select("label", F.explode(F.sequence(F.lit(0), F.lit(len(class_names) - 1))).alias("prediction"))
     cells = grid.join(outcomes, ["label", "prediction"], "full")
     # A cell outside the grid has no names yet; each of its labels may still have one.
     named_actual = cells.join(known.select("label", F.col("name").alias("actual_name")), "label", "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from netvigil.functions.measures import Measures, as_double
 from netvigil.functions.scoring import attack_weight, is_attack, risk_score, risk_tier, tier_action
+from netvigil.operators.rollup import stored_pairs
 
 
 def risk_order():
@@ -43,7 +44,8 @@ def ip_risk_scores(table: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def ip_risk_signals(table: DataFrame) -> DataFrame:
-    """The signals behind the score, with class diversity and mean flow size."""
+    """The signals behind the score, with class diversity and mean flow size, from one stored pair rollup."""
+    table = stored_pairs(table)
     m = Measures(table)
     parts = table.groupBy("source_ip", "destination_ip", "attack_type").agg(
         m.flows().alias("n"), m.total("total_bytes").alias("bytes"))

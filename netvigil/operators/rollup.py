@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from netvigil.functions.measures import FLOW_COUNT, Measures, sum_name
+from netvigil.session import materialize
 
 PROFILE_KEYS = ["attack_type", "protocol", "severity", "hour", "day_of_week"]
 PAIR_KEYS = ["source_ip", "destination_ip", "attack_type"]
@@ -29,6 +30,11 @@ def profile_rollup(flows: DataFrame) -> DataFrame:
     return rollup(flows, PROFILE_KEYS)
 
 
+def stored_pairs(table: DataFrame) -> DataFrame:
+    """A pair rollup that several branches can read: a given rollup as it is, flows rolled up and written once."""
+    return table if Measures(table).rolled else materialize(pair_rollup(table), "pairs")
+
+
 def pair_rollup(flows: DataFrame) -> DataFrame:
     """Input of the host, risk and graph reports: one row per (source, destination, class)."""
     return rollup(flows, PAIR_KEYS, ["packet_length", "total_bytes"])

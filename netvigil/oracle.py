@@ -526,6 +526,8 @@ FROM splits GROUP BY 1, 2""", "split"),
   attack_type AS actual_attack, 2 * count(*) AS records, 2 * count(*) AS stamped FROM flows GROUP BY 1, 2, 3, 4"""),
         "prediction_checks": s("""SELECT attack_type AS actual_attack, count(*) AS predictions, 0::BIGINT AS odd_confidence,
   0::BIGINT AS odd_severity, 0::BIGINT AS unknown_names FROM flows GROUP BY 1"""),
+        "forest_checks": s("""SELECT model, attack_type, count(*) AS scored, 0::BIGINT AS other_class, 0::BIGINT AS other_probability
+FROM flows, (VALUES ('decision_tree'), ('random_forest')) m(model) GROUP BY 1, 2"""),
         "rule_metrics": s(f"""SELECT * FROM (WITH {_RULE_RATES}
 SELECT round(sum(hits) / sum(support), 4) AS accuracy, round(sum(f * support) / sum(support), 4) AS f1_score,
   round(sum(p * support) / sum(support), 4) AS precision, round(sum(r * support) / sum(support), 4) AS recall,
@@ -533,6 +535,19 @@ SELECT round(sum(hits) / sum(support), 4) AS accuracy, round(sum(f * support) /
         "rule_confusion_matrix": s(f"""SELECT * FROM (WITH {_RULE_RATES}
 SELECT a.attack_type AS actual, b.attack_type AS predicted, coalesce(n, 0)::BIGINT AS n
 FROM label_rank a CROSS JOIN label_rank b LEFT JOIN oc ON actual = a.attack_type AND predicted = b.attack_type)""", "rules", "index"),
+        "rule_metrics_doc": s(f"""SELECT * FROM (WITH {_RULE_RATES}
+SELECT 'models' AS section, NULL::VARCHAR AS actual, NULL::VARCHAR AS predicted, CAST(sum(support) AS BIGINT) AS n,
+  round(sum(hits) / sum(support), 4) AS rate FROM rated
+UNION ALL SELECT 'confusion_matrix', a.attack_type, b.attack_type, coalesce(n, 0)::BIGINT, NULL
+FROM label_rank a CROSS JOIN label_rank b LEFT JOIN oc ON actual = a.attack_type AND predicted = b.attack_type
+UNION ALL SELECT 'per_class_metrics', attack_type, NULL, CAST(support AS BIGINT), round(f, 4) FROM rated)""", "rules", "index"),
+        "rule_comparison": s(f"""SELECT * FROM (WITH {_RULE_RATES},
+compared AS (SELECT 'threshold rules' AS model, round(sum(hits) / sum(support), 4) AS accuracy, round(sum(f * support) / sum(support), 4) AS f1_score,
+  round(sum(p * support) / sum(support), 4) AS precision, round(sum(r * support) / sum(support), 4) AS recall,
+  CAST(sum(support) AS BIGINT) AS test_rows FROM rated
+UNION ALL SELECT 'all benign', round(share, 4), round(share * 2 * share / (1 + share), 4), round(share * share, 4), round(share, 4), rows
+  FROM (SELECT count(*) FILTER (attack_type = 'BENIGN') / count(*) AS share, count(*) AS rows FROM flows))
+SELECT *, 0.0::DOUBLE AS training_time_s, f1_score = max(f1_score) OVER () AS best FROM compared)""", "rules", "index"),
         "rule_class_report": s(f"""SELECT * FROM (WITH {_RULE_RATES}
 SELECT attack_type, CAST(support AS BIGINT) AS support, round(p, 4) AS precision, round(r, 4) AS recall, round(f, 4) AS f1_score
 FROM rated)""", "rules", "index"),

@@ -7,10 +7,12 @@ files, never from running a plan a second time.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from netvigil.ml import evaluation, features, inference, training
 from netvigil.operators import distributions, hosts, risk, rollup, timeline
@@ -41,6 +43,8 @@ HOSTS = {
     "ip_attack_crosstab.parquet": hosts.ip_attack_crosstab,
 }
 RISK = "ip_risk_scores.parquet"
+# Groups of reports that are made from one rollup.
+PROFILE, PAIRS = "profile", "pairs"
 PUBLISHED = {
     "attack_stats": "attack_distribution.parquet",
     "protocol_stats": "protocol_distribution.parquet",
@@ -104,6 +108,8 @@ def run_analytics(spark: SparkSession, flows: DataFrame, out: str, serving: bool
     pairs = materialize(rollup.pair_rollup(flows), "pairs")
     outputs |= run_host_reports(pairs, out)
     outputs["ip_risk_scores.parquet"] = run_risk(pairs, out)
+    for group in (PROFILE, PAIRS):
+        record_input(flows, out, group)
     if serving:
         versions.publish({collection: outputs[name] for collection, name in PUBLISHED.items()}, f"{out}/serving")
     summary = tables.run_summary(outputs, flows)
@@ -170,22 +176,41 @@ def run_evaluation(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]
     return evaluation.confusion_matrix(outcomes, names), evaluation.class_report(outcomes, labels)
 
 
+def input_version(table: DataFrame) -> str:
+    """A name for the files that a table is read from; every write gives its files new names."""
+    return hashlib.sha256("\n".join(sorted(table.inputFiles())).encode()).hexdigest()
+
+
+def record_input(flows: DataFrame, out: str, group: str) -> None:
+    """Note which clean table a group of reports was made from, after they are written."""
+    flows.sparkSession.range(1).select(F.lit(input_version(flows)).alias("input")).coalesce(1).write.mode("overwrite").json(
+        f"{out}/inputs/{group}")
+
+
+def is_stale(flows: DataFrame, out: str, group: str) -> bool:
+    """Whether a group of reports was made from other files than the clean table has now."""
+    noted = table_or_none(flows.sparkSession, f"{out}/inputs/{group}", "json", "input string")
+    row = None if noted is None else noted.first()
+    return row is None or row["input"] != input_version(flows)
+
+
 def missing_outputs(spark: SparkSession, out: str, names) -> list[str]:
     return [name for name in names if table_or_none(spark, f"{out}/{name}") is None]
 
 
 def ensure_outputs(spark: SparkSession, out: str, force: bool = False) -> None:
-    """Rebuild the reports that publishing needs, if any is missing or on demand."""
+    """Rebuild the reports that publishing needs, if any is missing or older than the clean table, or on demand."""
     flows = read_flows(spark, f"{out}/{CLEAN}")
     missing = set(missing_outputs(spark, out, PUBLISHED.values()))
-    if force or missing & set(STATISTICS | TIMELINES):
+    due = lambda group, names: force or missing & set(names) or is_stale(flows, out, group)
+    if due(PROFILE, STATISTICS | TIMELINES):
         run_profile_reports(spark, flows, out)
-    if force or missing & {*HOSTS, RISK}:
+        record_input(flows, out, PROFILE)
+    if due(PAIRS, {*HOSTS, RISK}):
         pairs = materialize(rollup.pair_rollup(flows), "pairs")
-        if force or missing & set(HOSTS):
-            run_host_reports(pairs, out)
-        if force or RISK in missing:
-            run_risk(pairs, out)
+        run_host_reports(pairs, out)
+        run_risk(pairs, out)
+        record_input(flows, out, PAIRS)
 
 
 def publish(spark: SparkSession, out: str, force: bool = False) -> DataFrame:

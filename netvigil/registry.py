@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netvigil.ml import evaluation, features, inference, training
+from netvigil.ml import evaluation, features, inference, training, trees
 from netvigil.operators import (
     clean, distributions, enrich, entropy, graph, graph_depth, hosts, quality, risk, rollup, sharding, timeline, verdicts,
 )
@@ -331,13 +331,13 @@ def graph_edges_labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- models ------------------------------------------------------------------
 
-# Clean flows and trained models of one data folder, made once per application and
+# Clean flows and trained models of one set of event files, made once per application and
 # shared by the queries below.
 _trained: dict[tuple[str, str], tuple[DataFrame, jobs.TrainingRun]] = {}
 
 
 def models(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, jobs.TrainingRun]:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, jobs.input_version(table(spark, sf_dir, "events")))
     if key not in _trained:
         clean_table = written_flows(spark, sf_dir)
         fitted = features.fit_features(clean_table)
@@ -441,6 +441,14 @@ def stream_prediction_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked(stream_predictions(spark, sf_dir), spark, sf_dir)
 
 
+def forest_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per actual class and model: flows scored, and those on which the model and its table of nodes disagree (none)."""
+    clean_table, run = models(spark, sf_dir)
+    judged = [trees.disagreements(run.scorer(kind).transform(clean_table), run.trained[kind].model, "attack_type").withColumn(
+        "model", F.lit(kind)) for kind in (training.DECISION_TREE, training.RANDOM_FOREST)]
+    return reduce(DataFrame.unionByName, judged)
+
+
 def rule_outcomes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
     """Outcome counts of the threshold classifier, with the label map and the class names."""
     clean_table = written_flows(spark, sf_dir)
@@ -467,6 +475,37 @@ def rule_class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.class_report(outcomes, labels)
 
 
+def rule_metrics_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics document of the threshold classifier, read back section by section (without its stamp)."""
+    outcomes, labels, names = rule_outcomes(spark, sf_dir)
+    outcomes = materialize(outcomes, "outcomes")
+    document = evaluation.metrics_document(
+        evaluation.overall_metrics(outcomes), evaluation.confusion_matrix(outcomes, names), evaluation.class_report(outcomes, labels))
+    text, rate = F.lit(None).cast("string"), F.lit(None).cast("double")
+    sections = {
+        "models": ("test_rows:bigint,accuracy:double", (text, text, F.col("test_rows"), F.col("accuracy"))),
+        "confusion_matrix": ("actual:string,predicted:string,n:bigint", (F.col("actual"), F.col("predicted"), F.col("n"), rate)),
+        "per_class_metrics": ("attack_type:string,support:bigint,f1_score:double",
+                              (F.col("attack_type"), text, F.col("support"), F.col("f1_score"))),
+    }
+    rows = []
+    for name, (fields, values) in sections.items():
+        entries = document.select(F.inline(F.from_json(name, f"array<struct<{fields}>>")))
+        columns = [value.alias(alias) for value, alias in zip(values, ("actual", "predicted", "n", "rate"))]
+        rows.append(entries.select(F.lit(name).alias("section"), *columns))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def rule_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The threshold classifier compared with the rule that every flow is benign."""
+    rules, labels, _ = rule_outcomes(spark, sf_dir)
+    benign = labels.where("attack_type = 'BENIGN'").select(F.col("label").alias("prediction"))
+    clean_table = flows(spark, sf_dir).join(F.broadcast(labels.withColumnRenamed("label", "actual")), "attack_type")
+    constant = benign.first()["prediction"]
+    baseline = evaluation.outcome_counts(clean_table.select(F.col("actual").alias("label"), F.lit(constant).alias("prediction")))
+    return evaluation.model_metrics({"threshold rules": rules, "all benign": baseline}, {"threshold rules": 0.0, "all benign": 0.0})
+
+
 # --- streams -----------------------------------------------------------------
 
 def streamed_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -639,7 +678,10 @@ def queries() -> dict[str, Query]:
             "timestamp", "source_ip", "destination_ip", "actual_attack"),
         "predictions_append": predictions_append,
         "prediction_checks": prediction_checks,
+        "forest_checks": forest_checks,
         "rule_metrics": rule_metrics,
+        "rule_metrics_doc": rule_metrics_doc,
+        "rule_comparison": rule_comparison,
         "rule_confusion_matrix": rule_confusion_matrix,
         "rule_class_report": rule_class_report,
         # streams

@@ -56,6 +56,19 @@ def test_only_missing_outputs_are_rebuilt(spark, run):
     assert spark.read.parquet(f"{out}/{name}").count() == spark.read.parquet(f"{run['out']}/{name}").count()
 
 
+def test_reports_older_than_the_clean_table_are_rebuilt(spark, run):
+    out, clean = fresh_path(spark, "stale"), f"{run['out']}/{jobs.CLEAN}"
+    total = lambda: spark.read.parquet(f"{out}/protocol_distribution.parquet").agg(F.sum("total_flows")).first()[0]
+    spark.read.parquet(clean).write.parquet(f"{out}/{jobs.CLEAN}")
+    jobs.ensure_outputs(spark, out)
+    built, before = spark.read.parquet(f"{out}/{jobs.RISK}").inputFiles(), total()
+    jobs.ensure_outputs(spark, out)
+    assert spark.read.parquet(f"{out}/{jobs.RISK}").inputFiles() == built  # up to date
+    spark.read.parquet(clean).where("attack_type <> 'BENIGN'").write.mode("overwrite").parquet(f"{out}/{jobs.CLEAN}")
+    jobs.ensure_outputs(spark, out)
+    assert spark.read.parquet(f"{out}/{jobs.RISK}").inputFiles() != built and total() < before
+
+
 def test_feature_table(spark, run, flows):
     table = spark.read.parquet(f"{run['out']}/{jobs.FEATURES}")
     assert table.select(features.vector_size("features")).distinct().first()[0] == len(features.FEATURES)
