@@ -14,14 +14,15 @@ Two documents link when 100 * common >= ``percent`` * union. The steps:
    minima of random orders are compared with the smallest of them only. What links
    with the same document is in one component, and pairs within need no look.
 4. Of the cells that still hold two components (one of each that hold the same documents), a signature tree is built in
-   each: a node has the OR of its records' token bitmaps and the range of their sizes. Two
+   each that is larger than a leaf: a node has the OR of its records' token bitmaps and the range of their sizes. Two
    nodes are traversed together only if their sizes and the largest overlap that
-   their bitmaps allow can reach the threshold.
+   their bitmaps allow can reach the threshold. Candidates come in rounds, between which linked records become one.
+   Pairs that meet in cells of the size of a leaf only are counted instead: a link takes ``l`` of them.
 5. The distinct candidate pairs are verified on whole sets, and the links' connected
    components are computed.
 
-Steps 2 and 4 lose no link; steps 1 and 3 only spare work. The list of frequent
-shingles (at most ``FREQUENT``) is all that reaches the driver.
+Steps 2 and 4 lose no link (up to collisions of hashes: 64 bits per shingle, of which cells take 48); steps 1 and 3
+only spare work. The list of frequent shingles (at most ``FREQUENT``) is all that reaches the driver.
 
 Results of ``link_documents`` (one row per row of the input):
 
@@ -29,7 +30,7 @@ Results of ``link_documents`` (one row per row of the input):
 * fewer words than ``words`` make one shingle of the whole sequence;
 * rows that share an id count as one document with several texts; a row without an id has the component of its
   text's class, null if no row of the class has an id;
-* an empty table gives an empty table; of the input only the two named columns are read.
+* texts are read whole, however long; an empty table gives an empty table; of the input only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -51,6 +52,7 @@ BANDS, MINIMA = 6, 2
 LEAST_BITS = 256
 SPARE = 20  # the prefix is longer by one shingle in so many; as many more must be shared
 LEAF = 8
+NEIGHBOURS, GROWTH = 8, 16  # partners of a record in the first rounds, and how many times more in each that follows
 TOKEN_BITS = 48  # of the 64 bits in cells; equal ends only add candidates, which are verified
 SEEN = 200_000
 FILTER_BITS = 1 << 24
@@ -389,50 +391,86 @@ def zoned(rows: DataFrame, percent: int) -> DataFrame:
     """
     own = F.floor(F.log("size") / float(np.log(100 / percent))).cast("int") if percent < 100 else F.col("size").cast("int")
     return rows.withColumn("own", own).withColumn("zone", F.explode(F.array(F.col("own"), F.col("own") - 1))).select(
-        "token", "zone", "doc_id", "component", (F.col("own") - F.col("zone")).alias("visitor"))
+        "token", "zone", "doc_id", "component", "size", (F.col("own") - F.col("zone")).alias("visitor"))
 
 
-def one_of_equal_cells(rows: DataFrame) -> DataFrame:
+def distinct_cells(rows: DataFrame, percent: int) -> DataFrame:
     """The rows of the cells with two components or more; of cells with the same documents only one.
 
     Documents that share a passage share a cell for each of its shingles. Equal
-    cells are told by 128 bits of hashes and the number of their documents.
+    cells are told by 128 bits of hashes and the number of their documents;
+    ``weight`` is how many there are and ``documents`` how many rows each has.
     Visitors alone make no cell: they meet in their own range of sizes.
+
+    The rows are dealt by token once; the zones of a token stay together.
     """
-    cells = rows.groupBy("token", "zone").agg(
+    dealt = zoned(rows.repartition("token"), percent)
+    cells = dealt.groupBy("token", "zone").agg(
         F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("documents"),
-        F.min("visitor").alias("visitor"),
+        F.min("visitor").alias("visitor"), F.sum("size").alias("sizes"),
         F.bit_xor(F.xxhash64("doc_id")).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y"))
-    chosen = cells.where("first < last AND visitor = 0").groupBy("x", "y", "documents", "zone").agg(
-        F.min("token").alias("token")).select("token", "zone")
-    return rows.join(chosen, ["token", "zone"], "left_semi")
+    chosen = cells.where("first < last AND visitor = 0").groupBy("x", "y", "documents", "zone", "sizes").agg(
+        F.min("token").alias("token"), F.count("*").alias("weight"))
+    per_token = chosen.groupBy("token").agg(F.map_from_entries(F.collect_list(
+        F.struct("zone", F.struct("documents", "weight")))).alias("zones"))
+    found = dealt.join(per_token, "token").withColumn("cell", F.col("zones")[F.col("zone")]).where("cell IS NOT NULL")
+    return found.select("token", "zone", "doc_id", "component", "size", "visitor", "cell.documents", "cell.weight")
 
 
-def candidate_pairs(cells: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that may link, each once.
+def counted_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share enough of the small cells, of at most ``LEAF`` documents.
 
-    ``cells`` has rows (token, zone, doc_id, component, visitor, size, bitmap,
-    earlier), where ``earlier`` lists the document's cells of this zone with smaller
-    tokens: of all cells that two documents share, only the first yields the pair.
+    A linking pair shares at least ``common_least`` cells. If one of them is a
+    large cell, the pair comes from its tree; if all are small, it is counted here.
+    """
+    a, b = F.col("pair.a"), F.col("pair.b")
+    listed = rows.where(F.col("documents") <= LEAF).groupBy("token", "zone").agg(
+        F.first("weight").alias("weight"), F.sort_array(F.collect_list(F.struct("doc_id", "component", "size", "visitor"))).alias("docs"))
+    both = F.flatten(F.transform("docs", lambda x, i: F.transform(
+        F.slice("docs", i + 2, F.lit(LEAF)), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+    met = listed.select("weight", F.explode(both).alias("pair")).where(
+        (a["component"] != b["component"]) & (a["visitor"] + b["visitor"] < 2)
+        & (100 * F.least(a["size"], b["size"]) >= percent * F.greatest(a["size"], b["size"])))
+    shared = met.groupBy(a["doc_id"].alias("a"), b["doc_id"].alias("b")).agg(
+        F.sum("weight").alias("shared"), F.min(F.least(a["size"], b["size"])).alias("smaller"))
+    return shared.where(F.col("shared") >= 1 + F.floor(F.col("smaller") / SPARE)).select("a", "b")
+
+
+def pair_draw(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number from 0 to 1 for every pair of ids, the same wherever the pair meets."""
+    low, high = np.minimum(a, b).view(np.uint64), np.maximum(a, b).view(np.uint64)
+    return (mixed(mixed(low) + high * _MIX[0]) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
+
+
+def candidate_pairs(cells: DataFrame, percent: int, allowed: tuple[int, int] | None = None) -> DataFrame:
+    """Pairs of different components that may link, from the trees of large cells.
+
+    ``cells`` has rows (token, zone, doc_id, component, size, visitor, documents,
+    bitmap). With ``allowed`` = (before, now) a record gets about ``now`` partners
+    in its cell, other ones than with ``allowed`` up to ``before``: every pair has a
+    number drawn from its ids, and is given when that is below now / documents. With
+    None every record gets the next few in an order of hashes.
     """
     schema = "a long, b long"
 
     def run(batches):
-        def pairs_of(ids, groups, sizes, visitors, bitmaps, earlier):
-            if len(ids) <= LEAF:
-                found = leaf_pairs(list(range(len(ids))), groups.tolist(), sizes.tolist(), bitmaps, percent)
-            else:
-                tree = SignatureTree(folded([np.frombuffer(b, np.uint64) for b in bitmaps]), sizes, groups)
-                found = (pair for a, b in tree.pairs(percent) for pair in zip(a.tolist(), b.tolist()))
-            names, guests, sets = ids.tolist(), visitors.tolist(), {}
-            for i, j in found:
-                if guests[i] and guests[j]:  # they meet in their own range of sizes
-                    continue
-                for k in (i, j):
-                    if k not in sets:
-                        sets[k] = frozenset(earlier[k].tolist())
-                if sets[i].isdisjoint(sets[j]):
-                    yield (names[i], names[j]) if names[i] < names[j] else (names[j], names[i])
+        def neighbours(ids, groups, sizes, visitors, bitmaps, documents):
+            order = np.argsort(mixed(ids.view(np.uint64)))
+            for step in range(1, 1 + min(NEIGHBOURS, len(ids) // 2)):
+                a, b = order, np.roll(order, -step)
+                yield a[groups[a] != groups[b]], b[groups[a] != groups[b]]
+
+        def from_tree(ids, groups, sizes, visitors, bitmaps, documents):
+            tree = SignatureTree(folded([np.frombuffer(x, np.uint64) for x in bitmaps]), sizes, groups)
+            below, upto = (n / documents[0] for n in allowed)
+            for a, b in tree.pairs(percent):
+                drawn = pair_draw(ids[a], ids[b])
+                now = (drawn >= below) & (drawn < upto) & (visitors[a] + visitors[b] < 2)
+                yield a[now], b[now]
+
+        def pairs_of(ids, *columns):
+            for a, b in (neighbours if allowed is None else from_tree)(ids, *columns):
+                yield from zip(np.minimum(ids[a], ids[b]).tolist(), np.maximum(ids[a], ids[b]).tolist())
 
         held = None
         for batch in batches:
@@ -448,13 +486,50 @@ def candidate_pairs(cells: DataFrame, percent: int) -> DataFrame:
             yield from batches_of([found], schema)
             held = [c[starts[-1]:] for c in columns]
         if held is not None:
-            yield from batches_of([pairs_of(*held[2:])], schema)
+            yield from batches_of([set(pairs_of(*held[2:]))], schema)
 
-    ordered = cells.select("token", "zone", "doc_id", "component", "size", "visitor", "bitmap", "earlier").repartition(
+    ordered = cells.select("token", "zone", "doc_id", "component", "size", "visitor", "bitmap", "documents").repartition(
         "token", "zone").sortWithinPartitions("token", "zone")
     return ordered.mapInArrow(run, schema).distinct()
 
 
+def labels_of(links: DataFrame) -> DataFrame:
+    """(doc_id, component) of the documents that have a link, written."""
+    return kept(components(links).select(F.col("vertex").alias("doc_id"), "component"))
+
+
+def unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with their present components, of the cells that still hold two of them."""
+    now = rows.drop("component").join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    open_cells = now.groupBy("token", "zone").agg(F.min("component").alias("first"), F.max("component").alias("last")).where(
+        "first < last").select("token", "zone")
+    return kept(now.join(open_cells, ["token", "zone"], "left_semi"))
+
+
+def tree_links(rows: DataFrame, links: DataFrame, bitmaps: DataFrame, own: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, component) by ``links`` and those found in large cells, in rounds that contract what is linked already.
+
+    A group of near copies fills its cells; were all its pairs candidates, their
+    number would be the square of the group. In a round every record gets a few
+    partners from other components, these pairs are verified, and what links becomes one
+    component, within which nobody is a candidate any more. The number of partners
+    grows ``GROWTH`` times per round until it covers all pairs that are still apart: none
+    is lost, and a group that holds together costs a few pairs per record.
+    """
+    large = kept(rows.where(F.col("documents") > LEAF))
+    most = large.agg(F.max("documents")).first()[0] or 0
+    allowed, labels = None, labels_of(links)
+    while most and (allowed is None or allowed[0] < most):
+        cells = unsettled(large, labels)
+        if cells.isEmpty():
+            break
+        pairs = candidate_pairs(cells.join(bitmaps.select("doc_id", "bitmap"), "doc_id"), percent, allowed)
+        links = kept(links.unionAll(verified(plausible(pairs, bitmaps, percent), own, words, percent)).distinct())
+        labels = labels_of(links)
+        allowed = (0, NEIGHBOURS) if allowed is None else (allowed[1], allowed[1] * GROWTH)
+    return labels
+
+
 def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_column: str = "doc_id",
                    text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
@@ -476,16 +551,11 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 
     bitmaps = reps.select("doc_id", F.col("n_shingles").alias("size"), "bitmap")
     near = kept(verified(plausible(star_pairs(reps, active), bitmaps, percent), own, words, percent))
-    label = near.groupBy(F.col("b").alias("doc_id")).agg(F.min("a").alias("component"))
-    labelled = shared.join(label, "doc_id", "left").join(sizes, "doc_id").select(
-        "token", "doc_id", F.coalesce("component", "doc_id").alias("component"), "size")
-    chosen = kept(one_of_equal_cells(zoned(labelled, percent)))
-    of_doc = chosen.groupBy("doc_id", "zone").agg(F.collect_set("token").alias("tokens"))
-    cells = chosen.join(of_doc, ["doc_id", "zone"]).withColumn(
-        "earlier", F.filter("tokens", lambda t: t < F.col("token"))).drop("tokens").join(bitmaps, "doc_id")
-    links = near.unionAll(verified(candidate_pairs(cells, percent), own, words, percent))
-
-    grouped = components(links).select(F.col("vertex").alias("rep"), F.col("component"))
+    about = kept(sizes.join(labels_of(near), "doc_id", "left"))
+    labelled = shared.join(about, "doc_id").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"), "size")
+    rows_of_cells = kept(distinct_cells(labelled, percent))
+    links = kept(near.unionAll(verified(plausible(counted_pairs(rows_of_cells, percent), bitmaps, percent), own, words, percent)))
+    grouped = tree_links(rows_of_cells, links, bitmaps, own, words, percent).withColumnRenamed("doc_id", "rep")
     found = classes.join(grouped, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return rows.join(found, "digest", "left").select(
         "doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

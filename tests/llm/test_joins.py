@@ -143,3 +143,38 @@ def test_ids_beyond_the_exact_range_of_doubles(spark):
     want = brute_force(rows)
     assert len({c for _, _, c in want}) == 20
     assert sorted(map(tuple, join.link_documents(docs).collect())) == want
+
+
+def test_rounds_lose_no_link(spark, monkeypatch):
+    """Many texts near the limit that share a passage: some link, most do not, and their cells are large."""
+    monkeypatch.setattr(join, "GROWTH", 6)
+    monkeypatch.setattr(join, "NEIGHBOURS", 2)
+    pick = random.Random(23)
+    passage = [f"p{i}" for i in range(70)]
+    rows = [(i, " ".join(passage[: pick.randint(60, 70)] + pick.choices([f"w{k}" for k in range(9)], k=pick.randint(4, 22)))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_force(rows)
+    assert 10 < len({c for _, _, c in want}) < 80
+    assert sorted(map(tuple, join.link_documents(docs).collect())) == want
+
+
+def test_candidates_of_near_copies_grow_with_their_number(spark, monkeypatch):
+    """All texts near the limit of one another, in one component: pairs of the square would grow four times per doubling."""
+    counted = []
+    verify = join.verified
+    monkeypatch.setattr(join, "verified", lambda pairs, *rest: (counted.append(pairs.count()), verify(pairs, *rest))[1])
+    totals = []
+    for n in (300, 600):
+        counted.clear()
+        pick = random.Random(n)
+        base = [f"w{i}" for i in range(120)]
+        rows = []
+        for i in range(n):
+            text = list(base)
+            for at in pick.sample(range(120), 2):
+                text[at] = f"x{i}y{at}"
+            rows.append((i, " ".join(text)))
+        found = join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert len({r.component_id for r in found}) == 1
+        totals.append(sum(counted))
+    assert totals[1] < 3 * totals[0] and totals[1] < 60 * 600, totals
