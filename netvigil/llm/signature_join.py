@@ -41,8 +41,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netvigil.llm.common import batches_of, column_of, kept, read_table
+from netvigil.llm.common import batches_of, column_of, read_table
 from netvigil.llm.components import components
+from netvigil.session import materialize
 
 WORDS, PERCENT = 5, 75
 FREQUENT = 65_536
@@ -63,6 +64,11 @@ SETS = "doc_id long, hashes array<long>"
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a written table: each round's plan starts anew, without the constraints that checkpoints hand on."""
+    return materialize(df, "near")
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (a bijection), so that all bits depend on all bits."""
     values = (values ^ (values >> np.uint64(30))) * _MIX[1]
@@ -270,12 +276,12 @@ def document_sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
             yield from batches_of([rows], SETS)
 
     ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
-    return only_ids(docs, kept(ids)).select("doc_id", "text").mapInArrow(run, SETS)
+    return only_ids(docs, written(ids)).select("doc_id", "text").mapInArrow(run, SETS)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose whole sets reach the threshold."""
-    pairs = kept(pairs)
+    pairs = written(pairs)
     sets = document_sets(docs, pairs, words)  # both joins below read one shuffle of it
     left = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("of_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("of_b"))
@@ -295,7 +301,9 @@ def plausible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
                      for pair in leaf_pairs([a, b], [0, 1], both[:2], both[2:], percent)]
             yield from batches_of([found], schema)
 
-    sides = [bitmaps.select(F.col("doc_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("bitmap").alias(f"bitmap_{s}"))
+    pairs = written(pairs)
+    named = only_ids(bitmaps, written(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()))
+    sides = [named.select(F.col("doc_id").alias(s), F.col("size").alias(f"size_{s}"), F.col("bitmap").alias(f"bitmap_{s}"))
              for s in "ab"]
     joined = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "size_a", "size_b", "bitmap_a", "bitmap_b")
     return joined.mapInArrow(run, schema).distinct()
@@ -404,7 +412,8 @@ def distinct_cells(rows: DataFrame, percent: int) -> DataFrame:
 
     The rows are dealt by token once; the zones of a token stay together.
     """
-    dealt = zoned(rows.repartition("token"), percent)
+    # With the condition, which the join would add on its side only, both uses below read one shuffle.
+    dealt = zoned(rows.where("token IS NOT NULL").repartition("token"), percent)
     cells = dealt.groupBy("token", "zone").agg(
         F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("documents"),
         F.min("visitor").alias("visitor"), F.sum("size").alias("sizes"),
@@ -495,7 +504,17 @@ def candidate_pairs(cells: DataFrame, percent: int, allowed: tuple[int, int] | N
 
 def labels_of(links: DataFrame) -> DataFrame:
     """(doc_id, component) of the documents that have a link, written."""
-    return kept(components(links).select(F.col("vertex").alias("doc_id"), "component"))
+    return written(components(links).select(F.col("vertex").alias("doc_id"), "component"))
+
+
+def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links: only the components that these join are looked at again."""
+    of = lambda name: labels.select(F.col("doc_id").alias(name), F.col("component").alias(f"of_{name}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    moved = labels_of(ends).select(F.col("doc_id").alias("component"), F.col("component").alias("joined"))
+    everyone = labels.unionAll(moved.select("component", "component")).distinct()
+    return written(everyone.join(moved, "component", "left").select("doc_id", F.coalesce("joined", "component").alias("component")))
 
 
 def unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -503,7 +522,7 @@ def unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     now = rows.drop("component").join(labels, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     open_cells = now.groupBy("token", "zone").agg(F.min("component").alias("first"), F.max("component").alias("last")).where(
         "first < last").select("token", "zone")
-    return kept(now.join(open_cells, ["token", "zone"], "left_semi"))
+    return written(now.join(open_cells, ["token", "zone"], "left_semi"))
 
 
 def tree_links(rows: DataFrame, links: DataFrame, bitmaps: DataFrame, own: DataFrame, words: int, percent: int) -> DataFrame:
@@ -516,7 +535,8 @@ def tree_links(rows: DataFrame, links: DataFrame, bitmaps: DataFrame, own: DataF
     grows ``GROWTH`` times per round until it covers all pairs that are still apart: none
     is lost, and a group that holds together costs a few pairs per record.
     """
-    large = kept(rows.where(F.col("documents") > LEAF))
+    large = written(rows.where(F.col("documents") > LEAF))
+    bitmaps = written(bitmaps.join(large.select("doc_id").distinct(), "doc_id", "left_semi"))
     most = large.agg(F.max("documents")).first()[0] or 0
     allowed, labels = None, labels_of(links)
     while most and (allowed is None or allowed[0] < most):
@@ -524,8 +544,9 @@ def tree_links(rows: DataFrame, links: DataFrame, bitmaps: DataFrame, own: DataF
         if cells.isEmpty():
             break
         pairs = candidate_pairs(cells.join(bitmaps.select("doc_id", "bitmap"), "doc_id"), percent, allowed)
-        links = kept(links.unionAll(verified(plausible(pairs, bitmaps, percent), own, words, percent)).distinct())
-        labels = labels_of(links)
+        found = written(verified(plausible(pairs, bitmaps, percent), own, words, percent))
+        if not found.isEmpty():
+            labels = joined_labels(labels, found)
         allowed = (0, NEIGHBOURS) if allowed is None else (allowed[1], allowed[1] * GROWTH)
     return labels
 
@@ -534,11 +555,11 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                    text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     own = docs.select(column_of(docs, id_column, "long").alias("doc_id"), column_of(docs, text_column, "string").alias("text"))
-    signed = kept(signatures(own, words))
+    signed = written(signatures(own, words))
     rows = signed.where("shingles IS NULL")
 
     classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    class_of = kept(rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").join(classes, "digest").select(
+    class_of = written(rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").join(classes, "digest").select(
         "doc_id", "rep", "bands", "n_shingles", "bitmap"))
     copies = class_of.select("doc_id", "rep").distinct()
     reps = class_of.where("doc_id = rep").drop("rep")
@@ -546,15 +567,15 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     shared = shared_cells(prefix_rows(own, frequent_shingles(signed), words, percent))
     sizes = reps.select("doc_id", F.col("n_shingles").alias("size"))
     shared = shared.join(copies, "doc_id").select("token", F.col("rep").alias("doc_id")).distinct()
-    shared = kept(with_enough_cells(kept(shared), sizes, percent))
+    shared = written(with_enough_cells(written(shared), sizes, percent))
     active = shared.select("doc_id").distinct()
 
     bitmaps = reps.select("doc_id", F.col("n_shingles").alias("size"), "bitmap")
-    near = kept(verified(plausible(star_pairs(reps, active), bitmaps, percent), own, words, percent))
-    about = kept(sizes.join(labels_of(near), "doc_id", "left"))
+    near = written(verified(plausible(star_pairs(reps, active), bitmaps, percent), own, words, percent))
+    about = written(sizes.join(labels_of(near), "doc_id", "left"))
     labelled = shared.join(about, "doc_id").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"), "size")
-    rows_of_cells = kept(distinct_cells(labelled, percent))
-    links = kept(near.unionAll(verified(plausible(counted_pairs(rows_of_cells, percent), bitmaps, percent), own, words, percent)))
+    rows_of_cells = written(distinct_cells(labelled, percent))
+    links = written(near.unionAll(verified(plausible(counted_pairs(rows_of_cells, percent), bitmaps, percent), own, words, percent)))
     grouped = tree_links(rows_of_cells, links, bitmaps, own, words, percent).withColumnRenamed("doc_id", "rep")
     found = classes.join(grouped, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return rows.join(found, "digest", "left").select(

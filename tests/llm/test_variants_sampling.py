@@ -38,7 +38,7 @@ def library():
                              special_tokens={})
 
 
-@pytest.mark.parametrize("segment", [1, 7, 64, 1 << 18])
+@pytest.mark.parametrize("segment", [13, 64, 1 << 18])
 def test_scan_equals_library(library, segment):
     codec = scan_bpe.ScanCodec(RANKS, segment=segment, entries=40)
     random.seed(segment)
