@@ -39,7 +39,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
-import zlib
+from collections import Counter
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -132,17 +132,71 @@ def is_noise(tag: str, named: dict[str, str], inside_main: bool) -> bool:
     return bool(found - {"header"} if inside_main else found)
 
 
+class OpenElements:
+    """The open elements of a page, counted by tag since the last block and since the last scope.
+
+    A tag looks down the stack only for an element that is known to be there, and
+    closes what it passes, so any markup, however broken, is read in linear time.
+    """
+
+    def __init__(self, root: Node):
+        self.nodes, self.block_at, self.scope_at = [root], [0], [0]
+        self.counts: Counter = Counter()
+
+    def keys(self, depth: int) -> list[tuple]:
+        tag = self.nodes[depth].tag
+        return [("open", tag), ("since block", self.block_at[depth - 1], tag), ("since scope", self.scope_at[depth - 1], tag)]
+
+    def push(self, node: Node) -> None:
+        depth = len(self.nodes)
+        self.nodes.append(node)
+        self.block_at.append(depth if node.block else self.block_at[-1])
+        self.scope_at.append(depth if node.tag in SCOPES else self.scope_at[-1])
+        self.counts.update(self.keys(depth))
+
+    def pop(self) -> Node:
+        for key in self.keys(len(self.nodes) - 1):
+            self.counts[key] -= 1
+            if not self.counts[key]:
+                del self.counts[key]
+        self.block_at.pop()
+        self.scope_at.pop()
+        return self.nodes.pop()
+
+    def holder(self) -> Node:
+        """The block around the present place."""
+        return self.nodes[self.block_at[-1]]
+
+    def to_close(self, tag: str) -> int:
+        """Where an end tag finds its element, or 0: an inline one only within the present block."""
+        key = ("since block", self.block_at[-1], tag) if tag in INLINE else ("open", tag)
+        return self.nearest({tag}) if key in self.counts else 0
+
+    def implied(self, tags: frozenset | set) -> int:
+        """The nearest of the tags up to and including the last scope, or 0."""
+        scope = self.scope_at[-1]
+        if (scope and self.nodes[scope].tag in tags) or any(("since scope", scope, tag) in self.counts for tag in tags):
+            return self.nearest(tags)
+        return 0
+
+    def nearest(self, tags: frozenset | set) -> int:
+        depth = len(self.nodes) - 1
+        while self.nodes[depth].tag not in tags:
+            depth -= 1
+        return depth
+
+
 def parse(source: str | None) -> tuple[list[Block], list[Node]]:
     """The text blocks outside noise, in page order, and all block nodes that are not noise."""
     source = source or ""
     root = Node("", "", True, False, "", [])
-    stack, nodes, blocks = [root], [root], []
+    opened, nodes, blocks = OpenElements(root), [root], []
     buffer: list[tuple[str, bool]] = []
     at, links = 0, 0
 
     def flush() -> None:
         if buffer:
-            holder = next(n for n in reversed(stack) if n.block)
+            holder = opened.holder()
             text = " ".join(entities.unescape("".join(t for t, _ in buffer)).split())
             if text:
                 linked = sum(len(entities.unescape(t).strip()) for t, in_link in buffer if in_link)
@@ -151,13 +205,13 @@ def parse(source: str | None) -> tuple[list[Block], list[Node]]:
 
     def close(depth: int) -> None:
         nonlocal links
-        links -= sum(n.tag == "a" for n in stack[depth:])
-        if any(n.block for n in stack[depth:]):
+        if opened.block_at[-1] >= depth:
             flush()
-        del stack[depth:]
+        while len(opened.nodes) > depth:
+            links -= opened.pop().tag == "a"
 
     def take(end: int) -> None:
-        if end > at and not stack[-1].noise:
+        if end > at and not opened.nodes[-1].noise:
             buffer.append((source[at:end], links > 0))
 
     for m in _markup.finditer(source):
@@ -169,15 +223,11 @@ def parse(source: str | None) -> tuple[list[Block], list[Node]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    close(depth)
-                    break
-                if tag in INLINE and stack[depth].block:
-                    break
+            if depth := opened.to_close(tag):
+                close(depth)
             continue
         if tag == "br":
-            if not stack[-1].noise:
+            if not opened.nodes[-1].noise:
                 buffer.append((" ", False))
             continue
         if tag in RAW:  # its content is no markup and no text of the page
@@ -188,18 +238,14 @@ def parse(source: str | None) -> tuple[list[Block], list[Node]]:
         if block:
             flush()
             closing = CLOSES.get(tag, frozenset())
-            for depth in range(len(stack) - 1, 0, -1):
-                own = stack[depth].tag
-                if own in closing or own == "p":
-                    close(depth)
-                    if own == "p" and not closing:
-                        break
-                elif own in SCOPES:
+            while depth := opened.implied({*closing, "p"}):
+                own = opened.nodes[depth].tag
+                close(depth)
+                if own == "p" and not closing:
                     break
         if tag in VOID:
             continue
-        up = stack[-1]
-        holder = next(n for n in reversed(stack) if n.block)
+        up, holder = opened.nodes[-1], opened.holder()
         named = attributes(m[3]) if m[3].strip(" /") else {}
         noise = up.noise or is_noise(tag, named, bool(up.main))
         path = holder.path
@@ -213,7 +259,7 @@ def parse(source: str | None) -> tuple[list[Block], list[Node]]:
         marked = tag in MAIN_TAGS or named.get("role") == "main"
         node = Node(tag, path, block, noise, up.main or (path or "/" if marked else ""), [])
         links += tag == "a"
-        stack.append(node)
+        opened.push(node)
         if block and not noise:
             nodes.append(node)
     take(len(source))
@@ -227,7 +273,8 @@ def chosen(blocks: list[Block]) -> list[Block]:
 
 
 def feature_of(block: Block) -> int:
-    return zlib.crc32(block.text.encode()) << 16 | len(block.text) & 0xFFFF
+    """64 bits of a digest of the text: own text is not taken for a template's by chance."""
+    return int.from_bytes(hashlib.blake2b(block.text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 def main_text(source: str | None, gone: set[tuple[str, int]]) -> str:
