@@ -14,7 +14,9 @@ import time
 
 from netvigil import registry
 from netvigil.ml import evaluation, features, inference, training
-from netvigil.operators import distributions, enrich, entropy, graph, hosts, risk, rollup, sharding, timeline, verdicts
+from netvigil.operators import (
+    distributions, enrich, entropy, graph, hosts, networks, risk, rollup, sharding, timeline, verdicts,
+)
 from netvigil.session import build_session, fresh_path, materialize
 from netvigil.sinks import tables
 
@@ -81,6 +83,8 @@ def main() -> None:
         "sharded_write": lambda: registry.queries()["sharded_write"](spark, SF_DIR),
         "bucketed_sources": lambda: registry.queries()["bucketed_sources"](spark, SF_DIR),
         "json_mirror": lambda: registry.queries()["json_mirror"](spark, SF_DIR),
+        "geo_by_network": lambda: networks.geo_by_network(scored(), registry.networks(spark, SF_DIR)),
+        "salted_join": lambda: registry.queries()["salted_join"](spark, SF_DIR),
         "pair_rollup": lambda: rollup.pair_rollup(flows),
         "profile_rollup": lambda: rollup.profile_rollup(flows),
     }
