@@ -39,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+import zlib
 from collections import Counter
 from typing import NamedTuple
 

@@ -150,3 +150,13 @@ def test_odd_pages(spark):
         13: "a\nb\nc"}
     assert texts[14].startswith("<b> A") and len(texts[10]) == 399_999
     assert site.extract(pages(spark, rows).limit(0)).count() == 0
+
+
+def test_unclosed_elements_take_linear_time():
+    import time
+
+    for source in ("<b>x" * 200_000, "<i></b>x" * 100_000, "<ul>" + "<b>" * 50_000 + "<li>y" * 50_000):
+        started = time.perf_counter()
+        blocks, _ = site.parse(source)
+        assert time.perf_counter() - started < 60  # quadratic reading takes the better part of an hour
+        assert "".join(b.text for b in blocks).strip("xy ") == ""
