@@ -48,7 +48,7 @@ from netvigil.session import materialize
 WORDS, PERCENT = 5, 75
 FREQUENT = 65_536
 FREQUENT_SHARE, LEAST_COUNT = 0.002, 3  # of a block's documents, to be counted as a frequent shingle
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
 BANDS, MINIMA = 6, 2
 LEAST_BITS = 256
 SPARE = 20  # the prefix is longer by one shingle in so many; as many more must be shared
@@ -452,34 +452,48 @@ def pair_draw(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def candidate_pairs(cells: DataFrame, percent: int, allowed: tuple[int, int] | None = None) -> DataFrame:
-    """Pairs of different components that may link, from the trees of large cells.
+    """Pairs (a, b) of different components that may link, from the trees of large cells.
 
     ``cells`` has rows (token, zone, doc_id, component, size, visitor, documents,
-    bitmap). With ``allowed`` = (before, now) a record gets about ``now`` partners
-    in its cell, other ones than with ``allowed`` up to ``before``: every pair has a
-    number drawn from its ids, and is given when that is below now / documents. With
-    None every record gets the next few in an order of hashes.
+    bitmap). With ``allowed`` = (before, now) a cell with few such pairs gives all of them. In any other
+    a record gets about ``now`` partners, other ones than with ``allowed`` up to ``before``: every pair has a
+    number drawn from its ids, and is given when that is below now / documents; the
+    cell is named in a row (null, null, token, zone), as it has more to give. With
+    ``allowed`` None every record gets the next few in an order of hashes, and no cell is named.
     """
-    schema = "a long, b long"
+    schema = "a long, b long, token long, zone int"
 
     def run(batches):
-        def neighbours(ids, groups, sizes, visitors, bitmaps, documents):
+        def neighbours(ids, groups):
             order = np.argsort(mixed(ids.view(np.uint64)))
             for step in range(1, 1 + min(NEIGHBOURS, len(ids) // 2)):
                 a, b = order, np.roll(order, -step)
                 yield a[groups[a] != groups[b]], b[groups[a] != groups[b]]
 
         def from_tree(ids, groups, sizes, visitors, bitmaps, documents):
+            """Pairs for this round, and whether there are others; no more than the few are held unless drawn."""
             tree = SignatureTree(folded([np.frombuffer(x, np.uint64) for x in bitmaps]), sizes, groups)
             below, upto = (n / documents[0] for n in allowed)
+            few, held, drawn_pairs = NEIGHBOURS * len(ids), [], []
             for a, b in tree.pairs(percent):
+                met = visitors[a] + visitors[b] < 2
+                a, b = a[met], b[met]
                 drawn = pair_draw(ids[a], ids[b])
-                now = (drawn >= below) & (drawn < upto) & (visitors[a] + visitors[b] < 2)
-                yield a[now], b[now]
-
-        def pairs_of(ids, *columns):
-            for a, b in (neighbours if allowed is None else from_tree)(ids, *columns):
-                yield from zip(np.minimum(ids[a], ids[b]).tolist(), np.maximum(ids[a], ids[b]).tolist())
+                now = (drawn >= below) & (drawn < upto)
+                drawn_pairs.append((a[now], b[now]))
+                if held is not None:
+                    held.append((a[~now], b[~now]))
+                    if sum(len(x) for x, _ in held) + sum(len(x) for x, _ in drawn_pairs) > few:
+                        held = None
+            return drawn_pairs + (held or []), held is None
+
+        def pairs_of(tokens, zones, ids, groups, *columns):
+            found, more = (neighbours(ids, groups), False) if allowed is None else from_tree(ids, groups, *columns)
+            for a, b in found:
+                for low, high in zip(np.minimum(ids[a], ids[b]).tolist(), np.maximum(ids[a], ids[b]).tolist()):
+                    yield low, high, None, None
+            if more:
+                yield None, None, int(tokens[0]), int(zones[0])
 
         held = None
         for batch in batches:
@@ -491,11 +505,11 @@ def candidate_pairs(cells: DataFrame, percent: int, allowed: tuple[int, int] | N
             new = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
             starts = np.flatnonzero(np.concatenate([[True], new])).tolist()
             found = {pair for start, end in zip(starts[:-1], starts[1:]) if end - start > 1
-                     for pair in pairs_of(*(c[start:end] for c in columns[2:]))}
+                     for pair in pairs_of(*(c[start:end] for c in columns))}
             yield from batches_of([found], schema)
             held = [c[starts[-1]:] for c in columns]
         if held is not None:
-            yield from batches_of([set(pairs_of(*held[2:]))], schema)
+            yield from batches_of([set(pairs_of(*held))], schema)
 
     ordered = cells.select("token", "zone", "doc_id", "component", "size", "visitor", "bitmap", "documents").repartition(
         "token", "zone").sortWithinPartitions("token", "zone")
@@ -533,7 +547,8 @@ def tree_links(rows: DataFrame, links: DataFrame, bitmaps: DataFrame, own: DataF
     partners from other components, these pairs are verified, and what links becomes one
     component, within which nobody is a candidate any more. The number of partners
     grows ``GROWTH`` times per round until it covers all pairs that are still apart: none
-    is lost, and a group that holds together costs a few pairs per record.
+    is lost, and a group that holds together costs a few pairs per record. Cells with few
+    candidates, such as those of documents that meet by chance, take part in two rounds only.
     """
     large = written(rows.where(F.col("documents") > LEAF))
     bitmaps = written(bitmaps.join(large.select("doc_id").distinct(), "doc_id", "left_semi"))
@@ -543,8 +558,11 @@ def tree_links(rows: DataFrame, links: DataFrame, bitmaps: DataFrame, own: DataF
         cells = unsettled(large, labels)
         if cells.isEmpty():
             break
-        pairs = candidate_pairs(cells.join(bitmaps.select("doc_id", "bitmap"), "doc_id"), percent, allowed)
+        given = written(candidate_pairs(cells.join(bitmaps.select("doc_id", "bitmap"), "doc_id"), percent, allowed))
+        pairs = given.where("a IS NOT NULL").select("a", "b")
         found = written(verified(plausible(pairs, bitmaps, percent), own, words, percent))
+        if allowed is not None:  # cells that gave all they had are done
+            large = written(large.join(given.where("a IS NULL").select("token", "zone"), ["token", "zone"], "left_semi"))
         if not found.isEmpty():
             labels = joined_labels(labels, found)
         allowed = (0, NEIGHBOURS) if allowed is None else (allowed[1], allowed[1] * GROWTH)
