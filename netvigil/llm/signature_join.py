@@ -41,7 +41,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netvigil.llm.common import batches_of, column_of, read_table
+from netvigil.llm.common import batches_of, column_of, read_table, text_blocks
 from netvigil.llm.components import components
 from netvigil.session import materialize
 
@@ -49,6 +49,7 @@ WORDS, PERCENT = 5, 75
 FREQUENT = 65_536
 FREQUENT_SHARE, LEAST_COUNT = 0.002, 3  # of a block's documents, to be counted as a frequent shingle
 BLOCK_SHINGLES = 1_000_000
+BLOCK_BYTES = 4 << 20  # of texts that a task takes apart at a time; a longer text is one block
 BANDS, MINIMA = 6, 2
 LEAST_BITS = 256
 SPARE = 20  # the prefix is longer by one shingle in so many; as many more must be shared
@@ -146,9 +147,9 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
             often = counts >= max(LEAST_COUNT, FREQUENT_SHARE * docs_held)
             return (None, None, None, None, None, values[often].view(np.int64).tolist(), counts[often].tolist())
 
-        for batch in batches:
+        for part in (part for batch in batches for part in text_blocks(batch, 1, BLOCK_BYTES)):
             rows = []
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
                 own = shingle_set(text, words)
                 if not len(own):
                     rows.append((doc_id, 0, None, None, None, None, None))
@@ -200,9 +201,9 @@ def prefix_rows(docs: DataFrame, frequent, words: int, percent: int) -> DataFram
         import pyarrow as pa
 
         seen: set[bytes] = set()
-        for batch in batches:
+        for part in (part for batch in batches for part in text_blocks(batch, 1, BLOCK_BYTES)):
             tokens, ids, counts = [np.empty(0, np.int64)], [], []
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, text in zip(*(c.to_pylist() for c in part.columns)):
                 own = shingle_set(text, words)
                 digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
                 if not len(own) or digest in seen:
@@ -267,13 +268,15 @@ def document_sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """Whole sets of the documents that occur in ``pairs``."""
 
     def run(batches):
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                own = shingle_set(text, words)
-                if len(own):
-                    rows.append((doc_id, own.view(np.int64).tolist()))
-            yield from batches_of([rows], SETS)
+        import pyarrow as pa
+
+        for part in (part for batch in batches for part in text_blocks(batch, 1, BLOCK_BYTES)):
+            sets = [shingle_set(text, words) for text in part.column(1).to_pylist()]
+            ends = np.cumsum([0] + [len(own) for own in sets])
+            hashes = pa.array(np.concatenate([np.empty(0, np.uint64)] + sets).view(np.int64))
+            held = pa.RecordBatch.from_arrays(
+                [part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), hashes)], names=["doc_id", "hashes"])
+            yield held.filter(pa.array(np.diff(ends) > 0))
 
     ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
     return only_ids(docs, written(ids)).select("doc_id", "text").mapInArrow(run, SETS)
@@ -426,6 +429,19 @@ def distinct_cells(rows: DataFrame, percent: int) -> DataFrame:
     return found.select("token", "zone", "doc_id", "component", "size", "visitor", "cell.documents", "cell.weight")
 
 
+def with_enough_open_cells(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows of cells of two components, without those of documents that have too few of them.
+
+    A document and its partner in another component share ``common_least`` tokens,
+    all in cells of one range of sizes (the smaller one's). Cells that hold one
+    component only are gone, so members of a group that is linked already, which
+    share many cells with each other and few with the rest, end here.
+    """
+    enough = rows.groupBy("doc_id", "zone").agg(F.sum("weight").alias("cells"), F.max("size").alias("size")).where(
+        F.col("cells") >= 1 + F.floor(F.floor((percent * F.col("size") + 99) / 100) / SPARE)).select("doc_id", "zone")
+    return rows.join(enough, ["doc_id", "zone"], "left_semi")
+
+
 def counted_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share enough of the small cells, of at most ``LEAF`` documents.
 
@@ -550,10 +566,10 @@ def tree_links(rows: DataFrame, links: DataFrame, bitmaps: DataFrame, own: DataF
     is lost, and a group that holds together costs a few pairs per record. Cells with few
     candidates, such as those of documents that meet by chance, take part in two rounds only.
     """
-    large = written(rows.where(F.col("documents") > LEAF))
+    allowed, labels = None, labels_of(links)
+    large = written(with_enough_open_cells(unsettled(rows, labels), percent).where(F.col("documents") > LEAF))
     bitmaps = written(bitmaps.join(large.select("doc_id").distinct(), "doc_id", "left_semi"))
     most = large.agg(F.max("documents")).first()[0] or 0
-    allowed, labels = None, labels_of(links)
     while most and (allowed is None or allowed[0] < most):
         cells = unsettled(large, labels)
         if cells.isEmpty():
@@ -592,7 +608,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     near = written(verified(plausible(star_pairs(reps, active), bitmaps, percent), own, words, percent))
     about = written(sizes.join(labels_of(near), "doc_id", "left"))
     labelled = shared.join(about, "doc_id").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"), "size")
-    rows_of_cells = written(distinct_cells(labelled, percent))
+    rows_of_cells = written(with_enough_open_cells(written(distinct_cells(labelled, percent)), percent))
     links = written(near.unionAll(verified(plausible(counted_pairs(rows_of_cells, percent), bitmaps, percent), own, words, percent)))
     grouped = tree_links(rows_of_cells, links, bitmaps, own, words, percent).withColumnRenamed("doc_id", "rep")
     found = classes.join(grouped, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
