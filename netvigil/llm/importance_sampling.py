@@ -62,7 +62,8 @@ def block_features(texts, longest: int = 1, buckets: int = BUCKETS) -> Features:
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    texts = pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string()))
+    # Copied, as the cast of a slice keeps where it began and ``ascii_lower`` then gives zero bytes for its end.
+    texts = pc.ascii_lower(pa.concat_arrays([pc.fill_null(texts, "").cast(pa.large_string())]))
     split = pc.split_pattern_regex(texts, pattern=SEPARATORS)
     words, owner = pc.list_flatten(split), pc.list_parent_indices(split)
     full = pc.not_equal(words, "")  # a separator at either end of a text leaves an empty word

@@ -140,6 +140,23 @@ def test_resampling_equals_brute_force(spark, longest):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want), key=str)
 
 
+def test_features_of_blocks_inside_a_batch():
+    import pyarrow as pa
+
+    random.seed(13)
+    texts = [" ".join(random.choices(["Alpha", "beta,", "gämma", "X1", "-", "漢字", "Delta."], k=k)) for k in range(1, 60)]
+    for rows in (texts, [*texts, None, "", "a B a"]):
+        batch = pa.RecordBatch.from_arrays([pa.array(rows)], ["text"])
+        want = [[zlib.crc32(w.encode()) % 10_000 for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())]
+                for t in rows]
+        for most in (1, 500, 100_000):
+            found = []
+            for block in sampling.text_blocks(batch, 0, most):
+                features = sampling.block_features(block.column(0))
+                found += [features.buckets[i:j].tolist() for i, j in zip(features.bounds, features.bounds[1:])]
+            assert found == want, most
+
+
 def test_resampling_of_empty_tables(spark):
     nothing = spark.createDataFrame([], "doc_id long, text string")
     docs = spark.createDataFrame([(i, "a b c d " * 6) for i in range(20)], "doc_id long, text string")
