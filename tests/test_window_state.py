@@ -1,7 +1,11 @@
 """Windows that close once, late rows and restarts, against counts of all rows."""
 
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 from netvigil.operators.entropy import packet_entropy
 from netvigil.session import fresh_path
@@ -9,6 +13,8 @@ from netvigil.sources.flows import write_raw_flows
 from netvigil.streaming import flows as streams
 from netvigil.streaming import windows
 
+REPO = Path(__file__).parents[1]
+
 
 def land(raw, folder):
     write_raw_flows(raw.coalesce(1), f"{folder}/{random.random()}")
@@ -56,3 +62,24 @@ def test_shuffled_arrivals_add_up_to_all_rows(spark, make_raw):
     columns = ["window_start", "flows", "distinct_lengths", "entropy"]
     got = windows.read_window_entropy(spark, out).select(*columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*columns).collect()))
+
+
+PLAIN = """
+import sys
+sys.path.insert(0, sys.argv[1])  # the driver alone finds the package
+from pyspark.sql import SparkSession
+import __spark_entry__ as contract
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", sys.argv[2])
+         .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+rows = contract.queries()["stream_windows"](spark, contract.SMOKE_DIR).collect()
+print(sum(r.flows for r in rows), spark.conf.get("spark.sql.streaming.stateStore.providerClass").rsplit(".", 1)[1])
+"""
+
+
+def test_windows_in_a_session_without_settings_and_workers_without_the_package(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", PLAIN, str(REPO), str(tmp_path / "work")], cwd=tmp_path, env=env,
+                          capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-2000:]
+    flows, store = done.stdout.split()[-2:]
+    assert int(flows) > 900 and store == "HDFSBackedStateStoreProvider"
