@@ -18,12 +18,13 @@ PLACE = ["country", "country_code", "city", "latitude", "longitude", "asn"]
 
 
 def address_number(ip: Column) -> Column:
-    """A dotted IPv4 address as a number; anything else is NULL."""
-    octets = [F.get(F.split(F.trim(ip), r"\."), i).try_cast("long") for i in range(4)]
-    number = octets[0]
-    for octet in octets[1:]:
-        number = number * 256 + octet
-    return F.when(ip.rlike(DOTTED) & (F.greatest(*octets) < 256), number)
+    """A dotted IPv4 address as a number; anything else is NULL.
+
+    The text is split once: filters on the number repeat this expression, and one split per octet made them slow.
+    """
+    octets = F.transform(F.split(F.trim(ip), r"\."), lambda octet: octet.try_cast("long"))
+    number = F.aggregate(octets, F.lit(0).cast("long"), lambda done, octet: F.when(octet < 256, done * 256 + octet))
+    return F.when(ip.rlike(DOTTED), number)
 
 
 def dotted(number: Column) -> Column:
@@ -44,10 +45,11 @@ def parsed_networks(networks: DataFrame, network_column: str = "network") -> Dat
     """
     text = F.col(network_column)
     others = [name for name in networks.columns if name != network_column]
-    parts = F.split(F.trim(text), "/")
-    read = networks.where(text.rlike(CIDR)).select(
-        address_number(F.get(parts, 0)).alias("number"), F.get(parts, 1).cast("int").alias("length"),
-        F.struct(*others).alias("about"))
+    parts = F.split(F.trim("text"), "/")
+    # Equal texts are merged first, so each is read once, behind a shuffle that spreads them.
+    per_text = networks.where(text.rlike(CIDR)).groupBy(text.alias("text")).agg(F.min(F.struct(*others)).alias("about"))
+    read = per_text.select(
+        address_number(F.get(parts, 0)).alias("number"), F.get(parts, 1).cast("int").alias("length"), "about")
     valid = read.where((F.col("length") <= ADDRESS_BITS) & F.col("number").isNotNull())
     per_network = valid.select("length", prefix_of(F.col("number"), F.col("length")).alias("prefix"), "about").groupBy(
         "length", "prefix").agg(F.min("about").alias("about"))
@@ -60,22 +62,25 @@ def longest_prefix(addresses: DataFrame, networks: DataFrame, column: str = "sou
     """The longest network that contains each distinct address: the address, ``network`` and ``about``.
 
     An address is joined by equality once per prefix length that occurs in the
-    networks (33 at most); of its matches the longest is kept by a minimum that
-    merges on the map side. No ranges are compared, and an address counts once
-    however many rows name it. Addresses without a network are not in the result.
+    networks (33 at most); of its matches only the length goes into a maximum that
+    merges on the map side, and the network of that length is then joined once. No
+    ranges are compared, and an address counts once however many rows name it.
+    Addresses without a network are not in the result.
     """
     known = materialize(parsed_networks(networks), "networks")
     lengths = [row[0] for row in known.select("length").distinct().orderBy("length").collect()]  # 33 at most
     salt = F.when(F.col("length") <= SPREAD_LENGTH, F.pmod(F.xxhash64(column), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
     numbered = addresses.select(column).distinct().withColumn("number", address_number(F.col(column))).where("number IS NOT NULL")
     probes = numbered.select(column, "number", F.explode(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")).alias(
-        "length")).select(column, "length", prefix_of(F.col("number"), F.col("length")).alias("prefix"), salt.alias("salt"))
+        "length")).select(column, "number", "length", prefix_of(F.col("number"), F.col("length")).alias("prefix"), salt.alias("salt"))
     salts = F.when(F.col("length") <= SPREAD_LENGTH, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(
         F.array(F.lit(0).cast("long")))
     spread = known.select("*", F.explode(salts).alias("salt"))
-    found = probes.join(spread, ["length", "prefix", "salt"])
-    best = F.min(F.struct((-F.col("length")).alias("rank"), "network", "about")).alias("best")
-    return found.groupBy(column).agg(best).select(column, "best.network", "best.about")
+    # Only numbers are aggregated: a minimum of texts or structs would have to sort all matches.
+    found = probes.join(spread.select("length", "prefix", "salt"), ["length", "prefix", "salt"])
+    longest = found.groupBy(column, "number").agg(F.max("length").alias("length"))
+    return longest.select(column, "length", prefix_of(F.col("number"), F.col("length")).alias("prefix"), salt.alias("salt")).join(
+        spread, ["length", "prefix", "salt"]).select(column, "network", "about")
 
 
 def with_network(table: DataFrame, networks: DataFrame, column: str = "source_ip") -> DataFrame:
@@ -92,7 +97,8 @@ def with_network(table: DataFrame, networks: DataFrame, column: str = "source_ip
 def geo_by_network(risk: DataFrame, networks: DataFrame) -> DataFrame:
     """Every source of a risk table on the map of a real network table (``network`` and the columns of ``PLACE``).
 
-    The counterpart of ``geo_enriched`` for a site that has such a table.
+    The counterpart of ``geo_enriched`` for a site that has such a table. The scores
+    are written first, as both their addresses and their rows are read.
     """
-    located = with_network(risk, networks.select("network", *PLACE))
+    located = with_network(materialize(risk, "risk"), networks.select("network", *PLACE))
     return located.select("source_ip", "network", *PLACE, F.col("total_flows").alias("flows_detected"), "risk_score", "risk_level")

@@ -5,6 +5,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from netvigil.operators import networks as net
 from netvigil.session import materialize
 
@@ -72,3 +74,26 @@ def test_a_hot_network_is_spread_and_nothing_is_nested(spark, no_broadcast):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "salt" in plan
     counts = {r.country: r["count"] for r in found.selectExpr("about.country AS country").groupBy("country").count().collect()}
     assert counts == {"ten": 20_000 - 80, "three": 80}
+
+
+def test_scores_are_made_once_and_matches_are_not_sorted(spark, capfd):
+    """The plan of the located sources reads written scores only, and lengths are aggregated without a sort."""
+    risk = spark.createDataFrame([("10.0.0.1", 3, 50, "High"), ("11.0.0.1", 1, 10, "Low")],
+                                 "source_ip string, total_flows long, risk_score int, risk_level string")
+    networks = spark.createDataFrame([("10.0.0.0/8", "a", "b", "c", 1.0, 2.0, "d"), ("10.0.0.0/30", "e", "f", "g", 1.0, 2.0, "h")],
+                                     "network string, country string, country_code string, city string, latitude double, "
+                                     "longitude double, asn string")
+    located = net.geo_by_network(risk, networks)
+    assert {r.source_ip: r.network for r in located.collect()} == {"10.0.0.1": "10.0.0.0/30", "11.0.0.1": None}
+    located.explain()
+    assert "LocalTableScan" not in (plan := capfd.readouterr().out) and "Scan ExistingRDD" not in plan
+    net.longest_prefix(risk, networks).explain()
+    assert "SortAggregate" not in capfd.readouterr().out
+
+
+def test_odd_addresses(spark):
+    odd = ["1.2.3.4", " 1.2.3.4 ", "255.255.255.255", "256.1.1.1", "1.1.1.999", "1.2.3", "1.2.3.4.5", "a.b.c.d", "", None, "0.0.0.0",
+           "1.2.3.4\t", "01.002.3.4"]
+    rows = spark.createDataFrame([(t,) for t in odd], "ip string").select(net.address_number(F.col("ip"))).collect()
+    first = 1 * 256 ** 3 + 2 * 256 ** 2 + 3 * 256 + 4
+    assert [r[0] for r in rows] == [first, first, 2 ** 32 - 1, None, None, None, None, None, None, None, 0, first, first]
