@@ -141,3 +141,18 @@ def test_metrics_document(spark, run):
     document = read_current(spark, f"{run['out']}/serving", "model_metrics").first()
     assert '"model":"random_forest"' in document["models"] and '"actual":"DDoS"' in document["confusion_matrix"]
     assert '"recall"' in document["per_class_metrics"] and document["integrated_at"] is not None
+
+
+def test_models_of_the_queries_write_only_what_training_reads(spark, monkeypatch):
+    from netvigil import registry
+
+    written = {}
+
+    def noted(df, name, write=registry.materialize):
+        written[name] = df.columns
+        return write(df, name)
+
+    monkeypatch.setattr(registry, "materialize", noted)
+    monkeypatch.setattr(registry, "_trained", {})
+    assert registry.queries()["model_metrics_doc"](spark, "/root/testdata/sf0.001").count() == 1
+    assert written["features"] == ["label", "features", "split_bucket"]
