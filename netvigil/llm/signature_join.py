@@ -38,7 +38,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netvigil.llm.common import batches_of, column_of, read_table, text_blocks
@@ -51,10 +51,12 @@ FREQUENT_SHARE, LEAST_COUNT = 0.002, 3  # of a block's documents, to be counted
 BLOCK_SHINGLES = 1_000_000
 BLOCK_BYTES = 4 << 20  # of texts that a task takes apart at a time; a longer text is one block
 BANDS, MINIMA = 6, 2
-LEAST_BITS = 256
+LEAST_BITS, BITS, TREE_BITS = 256, 2, 8  # of bitmaps: at least, per element, and per element in large cells
+TREE_WORDS = 1 << 18  # words of bitmaps that a tree compares at a time
 SPARE = 20  # the prefix is longer by one shingle in so many; as many more must be shared
 LEAF = 8
 NEIGHBOURS, GROWTH = 8, 16  # partners of a record in the first rounds, and how many times more in each that follows
+FIRST_CELLS = 2  # large cells of a document that take part in the first round
 TOKEN_BITS = 48  # of the 64 bits in cells; equal ends only add candidates, which are verified
 SEEN = 200_000
 FILTER_BITS = 1 << 24
@@ -110,9 +112,9 @@ def with_enough_cells(shared: DataFrame, sizes: DataFrame, percent: int) -> Data
     return shared.join(enough, "doc_id", "left_semi")
 
 
-def bitmap_of(hashes: np.ndarray) -> np.ndarray:
-    """Bitmap with two to four bits per element, so that large sets do not fill theirs."""
-    size = max(LEAST_BITS, 1 << int(2 * len(hashes) - 1).bit_length())
+def bitmap_of(hashes: np.ndarray, per_element: int = BITS) -> np.ndarray:
+    """Bitmap with ``per_element`` to twice as many bits per element, so that large sets do not fill theirs."""
+    size = max(LEAST_BITS, 1 << int(per_element * len(hashes) - 1).bit_length())
     bits = np.zeros(size, bool)
     bits[(hashes & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits).view(np.uint64)
@@ -282,6 +284,22 @@ def document_sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     return only_ids(docs, written(ids)).select("doc_id", "text").mapInArrow(run, SETS)
 
 
+def tree_bitmaps(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(doc_id, size, bitmap) of the documents named in ``ids``, which are distinct, with the bitmaps of large cells.
+
+    Documents that share much, but too little, are the square of a group; with these bitmaps hardly any pair of them may link.
+    """
+    schema = "doc_id long, size long, bitmap binary"
+
+    def run(batches):
+        for part in (part for batch in batches for part in text_blocks(batch, 1, BLOCK_BYTES)):
+            sets = ((doc_id, shingle_set(text, words)) for doc_id, text in zip(*(c.to_pylist() for c in part.columns)))
+            yield from batches_of([[(doc_id, len(own), bitmap_of(own, TREE_BITS).tobytes()) for doc_id, own in sets if len(own)]],
+                                  schema)
+
+    return only_ids(docs, written(ids)).select("doc_id", "text").mapInArrow(run, schema).distinct()
+
+
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose whole sets reach the threshold."""
     pairs = written(pairs)
@@ -349,8 +367,9 @@ class SignatureTree:
         enough = ((100 + percent) * overlap >= percent * (low[a] + low[b])) & (100 * overlap >= percent * np.maximum(low[a], low[b]))
         return where[enough]
 
-    def pairs(self, percent: int, block: int = 100_000):
-        """Arrays (a, b) of record numbers that may link, by dual traversal from the root."""
+    def pairs(self, percent: int, block: int | None = None):
+        """Arrays (a, b) of record numbers that may link, by dual traversal from the root, ``block`` at a time."""
+        block = block or max(1, TREE_WORDS // self.levels[0][0].shape[1])
         work = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while work:
             level, a, b = work.pop()
@@ -442,6 +461,27 @@ def with_enough_open_cells(rows: DataFrame, percent: int) -> DataFrame:
     return rows.join(enough, ["doc_id", "zone"], "left_semi")
 
 
+def without_spare_cells(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows of large cells, without those of a document's largest cells that no link needs.
+
+    A document and a partner in another component share ``l`` cells in one range of sizes, or more. Of these at most as
+    many are small as the document has small cells there. If it leaves fewer of its large cells than the others
+    that a link takes, the largest first in an order common to all, the smallest large cell that the two share
+    stays with both of them; and a pair that shares small cells only is counted.
+    """
+    order = Window.partitionBy("doc_id", "zone").orderBy(F.desc("documents"), "token")
+    smaller = F.floor((percent * F.col("size") + 99) / 100)
+    small = F.coalesce(F.sum(F.when(F.col("documents") <= LEAF, F.col("weight"))).over(Window.partitionBy("doc_id", "zone")), F.lit(0))
+    ranked = rows.withColumn("larger", F.sum("weight").over(order)).withColumn("small", small)
+    return ranked.where((F.col("documents") > LEAF) & (F.col("larger") + F.col("small") > F.floor(smaller / SPARE))).drop("larger", "small")
+
+
+def first_cells(rows: DataFrame) -> DataFrame:
+    """Of every document the rows of few cells: near copies, which share most cells, have mostly the same ones."""
+    at = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("token"), "token", "zone"))
+    return rows.withColumn("at", at).where(F.col("at") <= FIRST_CELLS).drop("at")
+
+
 def counted_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share enough of the small cells, of at most ``LEAF`` documents.
 
@@ -475,20 +515,20 @@ def candidate_pairs(cells: DataFrame, percent: int, allowed: tuple[int, int] | N
     a record gets about ``now`` partners, other ones than with ``allowed`` up to ``before``: every pair has a
     number drawn from its ids, and is given when that is below now / documents; the
     cell is named in a row (null, null, token, zone), as it has more to give. With
-    ``allowed`` None every record gets the next few in an order of hashes, and no cell is named.
+    ``allowed`` None every record gets those of the next few in an order of hashes that may link, and no cell is named.
     """
     schema = "a long, b long, token long, zone int"
 
     def run(batches):
-        def neighbours(ids, groups):
-            order = np.argsort(mixed(ids.view(np.uint64)))
+        def neighbours(tree, ids):
+            order = np.argsort(mixed(ids[tree.order].view(np.uint64)))
             for step in range(1, 1 + min(NEIGHBOURS, len(ids) // 2)):
                 a, b = order, np.roll(order, -step)
-                yield a[groups[a] != groups[b]], b[groups[a] != groups[b]]
+                good = tree.possible(0, a, b, percent)
+                yield tree.order[a[good]], tree.order[b[good]]
 
-        def from_tree(ids, groups, sizes, visitors, bitmaps, documents):
+        def from_tree(tree, ids, visitors, documents):
             """Pairs for this round, and whether there are others; no more than the few are held unless drawn."""
-            tree = SignatureTree(folded([np.frombuffer(x, np.uint64) for x in bitmaps]), sizes, groups)
             below, upto = (n / documents[0] for n in allowed)
             few, held, drawn_pairs = NEIGHBOURS * len(ids), [], []
             for a, b in tree.pairs(percent):
@@ -503,8 +543,9 @@ def candidate_pairs(cells: DataFrame, percent: int, allowed: tuple[int, int] | N
                         held = None
             return drawn_pairs + (held or []), held is None
 
-        def pairs_of(tokens, zones, ids, groups, *columns):
-            found, more = (neighbours(ids, groups), False) if allowed is None else from_tree(ids, groups, *columns)
+        def pairs_of(tokens, zones, ids, groups, sizes, visitors, bitmaps, documents):
+            tree = SignatureTree(folded([np.frombuffer(x, np.uint64) for x in bitmaps]), sizes, groups)
+            found, more = (neighbours(tree, ids), False) if allowed is None else from_tree(tree, ids, visitors, documents)
             for a, b in found:
                 for low, high in zip(np.minimum(ids[a], ids[b]).tolist(), np.maximum(ids[a], ids[b]).tolist()):
                     yield low, high, None, None
@@ -555,7 +596,7 @@ def unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return written(now.join(open_cells, ["token", "zone"], "left_semi"))
 
 
-def tree_links(rows: DataFrame, links: DataFrame, bitmaps: DataFrame, own: DataFrame, words: int, percent: int) -> DataFrame:
+def tree_links(rows: DataFrame, links: DataFrame, own: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, component) by ``links`` and those found in large cells, in rounds that contract what is linked already.
 
     A group of near copies fills its cells; were all its pairs candidates, their
@@ -567,14 +608,15 @@ def tree_links(rows: DataFrame, links: DataFrame, bitmaps: DataFrame, own: DataF
     candidates, such as those of documents that meet by chance, take part in two rounds only.
     """
     allowed, labels = None, labels_of(links)
-    large = written(with_enough_open_cells(unsettled(rows, labels), percent).where(F.col("documents") > LEAF))
-    bitmaps = written(bitmaps.join(large.select("doc_id").distinct(), "doc_id", "left_semi"))
+    large = written(without_spare_cells(with_enough_open_cells(unsettled(rows, labels), percent), percent))
+    bitmaps = written(tree_bitmaps(own, large.select("doc_id").distinct(), words))
     most = large.agg(F.max("documents")).first()[0] or 0
     while most and (allowed is None or allowed[0] < most):
         cells = unsettled(large, labels)
         if cells.isEmpty():
             break
-        given = written(candidate_pairs(cells.join(bitmaps.select("doc_id", "bitmap"), "doc_id"), percent, allowed))
+        taking_part = first_cells(cells) if allowed is None else cells
+        given = written(candidate_pairs(taking_part.join(bitmaps.select("doc_id", "bitmap"), "doc_id"), percent, allowed))
         pairs = given.where("a IS NOT NULL").select("a", "b")
         found = written(verified(plausible(pairs, bitmaps, percent), own, words, percent))
         if allowed is not None:  # cells that gave all they had are done
@@ -610,7 +652,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     labelled = shared.join(about, "doc_id").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"), "size")
     rows_of_cells = written(with_enough_open_cells(written(distinct_cells(labelled, percent)), percent))
     links = written(near.unionAll(verified(plausible(counted_pairs(rows_of_cells, percent), bitmaps, percent), own, words, percent)))
-    grouped = tree_links(rows_of_cells, links, bitmaps, own, words, percent).withColumnRenamed("doc_id", "rep")
+    grouped = tree_links(rows_of_cells, links, own, words, percent).withColumnRenamed("doc_id", "rep")
     found = classes.join(grouped, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     return rows.join(found, "digest", "left").select(
         "doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -173,3 +173,39 @@ def test_candidates_of_near_copies_grow_with_their_number(spark, monkeypatch):
     found = join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len({r.component_id for r in found}) == 1
     assert sum(counted) < 40 * n, counted
+
+
+def test_candidates_of_texts_below_the_limit(spark, monkeypatch):
+    """A group of edited copies, of which most share half of their shingles or somewhat more, and few link."""
+    counted = []
+    candidates = join.candidate_pairs
+    monkeypatch.setattr(join, "candidate_pairs", lambda *given: (lambda found: (counted.append(found.count()), found)[1])(candidates(*given)))
+    pick, n = random.Random(5), 300
+    rows = []
+    for i in range(n):
+        text = [f"w{k}" for k in range(146)]
+        for at in pick.sample(range(146), 5 if i % 10 else 3):
+            text[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(text)))
+    want = brute_force(rows)
+    assert len({c for _, _, c in want}) > 20
+    assert sorted(map(tuple, join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect())) == want
+    assert sum(counted) < 4 * n, counted
+
+
+def test_spare_cells_leave_each_pair_one(spark):
+    """Whatever two documents share enough of, the large cells that stay have one of them or the small cells do."""
+    pick = random.Random(31)
+    cells = {t: pick.sample(range(60), pick.choice([3, 9, 20, 30, 40])) for t in range(40)}
+    rows = [(t, 0, d, d, 200 + 50 * (d % 2), 0, len(docs), 1 + t % 2) for t, docs in cells.items() for d in docs]
+    schema = "token long, zone int, doc_id long, component long, size long, visitor int, documents long, weight long"
+    left = {(r.token, r.doc_id) for r in join.without_spare_cells(spark.createDataFrame(rows, schema), 75).collect()}
+    large = {(t, d) for t, docs in cells.items() for d in docs if len(docs) > join.LEAF}
+    assert left < large
+    for a in range(60):
+        for b in range(a):
+            common = [t for t, docs in cells.items() if a in docs and b in docs]
+            needed = join.common_least(200 + 50 * min(a % 2, b % 2))
+            small = sum(1 + t % 2 for t in common if len(cells[t]) <= join.LEAF)
+            if small < needed <= sum(1 + t % 2 for t in common):
+                assert any((t, a) in left and (t, b) in left for t in common)
