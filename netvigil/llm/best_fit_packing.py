@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netvigil.llm.chunks import WordEncoder
-from netvigil.llm.common import batches_of, column_of, kept, read_table
+from netvigil.llm.common import batches_of, column_of, kept, read_table, text_blocks
 
 CAPACITY = 4096
 END_ID = 1
+BLOCK_BYTES = 2 << 20  # of texts that a task holds as Python strings at a time; a longer text is one block
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, share string, place long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -143,7 +144,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_column:
                     yield doc_id, piece, at // 4, length, zlib.crc32(own), share, seen[length]
                     seen[length] += 1
 
-        yield from batches_of((pieces(batch) for batch in batches), PIECES)
+        yield from batches_of((pieces(part) for batch in batches for part in text_blocks(batch, 1, BLOCK_BYTES)), PIECES)
 
     return docs.select(column_of(docs, id_column, "long").alias("doc_id"),
                        column_of(docs, text_column, "string").alias("text")).mapInArrow(run, PIECES)

@@ -16,7 +16,9 @@ Two documents link when 100 * common >= ``percent`` * union. The steps:
 4. Of the cells that still hold two components (one of each that hold the same documents), a signature tree is built in
    each that is larger than a leaf: a node has the OR of its records' token bitmaps and the range of their sizes. Two
    nodes are traversed together only if their sizes and the largest overlap that
-   their bitmaps allow can reach the threshold. Candidates come in rounds, between which linked records become one.
+   their bitmaps allow can reach the threshold. Candidates come in rounds, between which linked records become one;
+   the first looks at few cells per document. Large cells that no link needs are left out, and the bitmaps there are
+   denser than elsewhere, so that texts near the limit are told apart before they become candidates.
    Pairs that meet in cells of the size of a leaf only are counted instead: a link takes ``l`` of them.
 5. The distinct candidate pairs are verified on whole sets, and the links' connected
    components are computed.

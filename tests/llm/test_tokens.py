@@ -166,6 +166,27 @@ def test_packing_of_documents(spark, documents):
     assert packing.pack(documents.limit(0), WORDS).count() == 0
 
 
+def test_pieces_are_made_in_blocks_of_texts(spark, documents, monkeypatch):
+    """A batch is not held whole as Python strings; ranks within a share go on from block to block."""
+    limit, sizes, cut = 400, spark.sparkContext.accumulator(0), packing.text_blocks
+
+    def watched(batch, column, most):
+        for part in cut(batch, column, most):
+            sizes.add(1)
+            yield part
+
+    monkeypatch.setattr(packing, "BLOCK_BYTES", limit)
+    monkeypatch.setattr(packing, "text_blocks", watched)
+    found = packing.token_pieces(documents.coalesce(1), WORDS, 64, "doc_id", "text").collect()
+    assert sizes.value > 5
+    places = {}
+    for r in found:
+        places.setdefault((r.share, r.length), []).append(r.place)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    plain = library_ids(WORDS)
+    assert sum(r.length for r in found) == sum(len(plain(row.text)) + 1 for row in documents.collect())
+
+
 def test_wavelet_shard_answers():
     pick = np.random.default_rng(5)
     for size, top in ((0, 1), (1, 1), (700, 2), (3000, 50257), (wavelet.BLOCK_BITS + 99, 300)):
