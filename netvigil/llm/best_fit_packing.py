@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netvigil.llm.chunks import WordEncoder
-from netvigil.llm.common import batches_of, column_of, kept, read_table, text_blocks
+from netvigil.llm.common import batches_of, column_of, kept, read_table, small_batches, text_blocks
 
 CAPACITY = 4096
 END_ID = 1
@@ -153,6 +153,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, id_column:
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_column: str = "doc_id",
          text_column: str = "text") -> DataFrame:
     """The place of every piece of every document in sequences of at most ``capacity`` tokens."""
+    small_batches(docs.sparkSession)
     pieces = kept(token_pieces(docs, tokenizer_path, capacity, id_column, text_column))
     shares = kept(pieces.groupBy("length", "share").agg(F.count("*").alias("pieces")))
     histogram = {r["length"]: r["pieces"]  # at most `capacity` rows

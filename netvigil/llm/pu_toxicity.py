@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netvigil.llm.common import batches_of, column_of, held_out, kept, read_table
+from netvigil.llm.common import batches_of, column_of, held_out, kept, read_table, small_batches
 
 POSITIVES, UNLABELLED, VOCABULARY = 4_000, 12_000, 5_000
 MODULUS, REMAINDER = 5, 0
@@ -115,6 +115,7 @@ def fit(texts: list[list[int]], toxic: np.ndarray, names: list[str], prior: floa
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           label_column: str = "toxic", positives: int = POSITIVES, unlabelled: int = UNLABELLED,
           vocabulary: int = VOCABULARY, modulus: int = MODULUS, remainder: int = REMAINDER) -> Model:
+    small_batches(docs.sparkSession)
     own = labels.select(column_of(labels, id_column, "long").alias("__nv_id"),
                         column_of(labels, label_column, "int").alias("__nv_label"))
     own = own.where(F.col("__nv_id").isNotNull() & F.col("__nv_label").isNotNull()
@@ -154,6 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, score) of every row."""
+    small_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -166,6 +168,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 
 def not_toxic(docs: DataFrame, model: Model, text_column: str = "text", below: float = TOXIC) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``below``, with their columns."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
     def own_score(texts):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netvigil.llm.chunks import for_this_worker
-from netvigil.llm.common import batches_of, column_of, held_out, read_table
+from netvigil.llm.common import batches_of, column_of, held_out, read_table, small_batches
 
 SAMPLE = 20_000
 MODULUS, REMAINDER = 4, 2
@@ -223,6 +223,7 @@ def measured(rows: DataFrame, key: str, text_column: str) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           label_column: str = "quality", sample: int = SAMPLE, modulus: int = MODULUS, remainder: int = REMAINDER) -> Model:
+    small_batches(docs.sparkSession)
     rows = labelled(docs, labels, id_column, label_column, sample, lambda i: ~held_out(i, modulus, remainder))
     found = sorted(tuple(r) for r in measured(rows, "__nv_label", text_column).collect())  # at most `sample` rows
     features = np.array([r[1] for r in found], float).reshape(len(found), len(FEATURES))
@@ -231,6 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, score) of every row."""
+    small_batches(docs.sparkSession)
 
     def run(batches):
         classes = for_this_worker("character classes", _character_classes)
@@ -246,6 +248,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 
 def accepted(docs: DataFrame, model: Model, text_column: str = "text", least: float = ACCEPTED) -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``least``, with their columns."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
     def own_score(texts):

@@ -43,7 +43,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from netvigil.llm.common import batches_of, column_of, read_table, text_blocks
+from netvigil.llm.common import batches_of, column_of, read_table, small_batches, text_blocks
 from netvigil.llm.components import components
 from netvigil.session import materialize
 
@@ -632,6 +632,7 @@ def tree_links(rows: DataFrame, links: DataFrame, own: DataFrame, words: int, pe
 def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_column: str = "doc_id",
                    text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
+    small_batches(docs.sparkSession)
     own = docs.select(column_of(docs, id_column, "long").alias("doc_id"), column_of(docs, text_column, "string").alias("text"))
     signed = written(signatures(own, words))
     rows = signed.where("shingles IS NULL")

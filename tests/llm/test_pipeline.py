@@ -4,12 +4,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from netvigil.llm import pu_toxicity, quality_gam
 from netvigil.llm.chunks import load_tokenizer
-from netvigil.llm.common import read_table
+from netvigil.llm.common import ARROW_BYTES, read_table, small_batches
 from tests.llm.test_joins import brute_force
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -86,3 +87,34 @@ def test_risk_never_learns_unlabelled_toxic_by_heart():
     """Half of the unlabelled texts are toxic; with the right prior the model still finds them."""
     model = pu_toxicity.fit([[0]] * 200 + [[1]] * 100, np.array([True] * 100 + [False] * 200), ["bad", "good"], prior=0.5)
     assert model.score("bad") > 0.5 > model.score("good")
+
+
+def batch_bytes(docs):
+    """The bytes of the Arrow batches in which the rows reach Python, largest first."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["bytes"])
+
+    return sorted((r["bytes"] for r in docs.mapInArrow(run, "bytes long").collect()), reverse=True)
+
+
+@pytest.mark.parametrize("name", ["quality", "toxicity", "near_dedup", "packing"])
+def test_long_texts_reach_python_in_small_batches(spark, name, tmp_path):
+    own = spark.newSession()  # without settings of other tests
+    own.range(4).selectExpr("id AS doc_id", "cast(id % 2 AS int) AS quality", "cast(id % 2 AS int) AS toxic").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    few = own.range(4).selectExpr("id AS doc_id", "concat('some words of text ', id) AS text")
+    dict(corpus_pipeline.STAGES)[name](own, few, str(tmp_path))
+    long_texts = own.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "repeat('a long text of words ', 500) AS text")
+    found = batch_bytes(long_texts)
+    assert sum(found) > 20_000_000 and found[0] < 6_000_000
+
+
+def test_a_limit_of_the_session_stays(spark):
+    own = spark.newSession()
+    own.conf.set(ARROW_BYTES, "1m")
+    small_batches(own)
+    assert own.conf.get(ARROW_BYTES) == "1m"
